@@ -341,30 +341,28 @@ ORACLES["activity_window"] = cte("activity") + f"""select {_EVENT}, scope from a
 where ts > timestamp '2024-01-14 00:00:00' and ts <= timestamp '2024-01-15 00:00:00'"""
 
 # Loads: the table each must leave behind.
-_ROWS = """, plan_rows as (select "0calday" as calday, zjdate__zjcpdate as compared_date,
- zjbjiara1 as department_code, zjhansu_p as sales_amount from plan),
-corrected as (select calday, compared_date, department_code,
- cast(case when department_code = 'A1' then sales_amount * 2 else sales_amount end as decimal(18,6)) as sales_amount
- from plan_rows)
+_ROWS = """, corrected as (select calday, compared_date, department_code, district_code,
+ cast(case when department_code = 'view' then sales_amount * 2 else sales_amount end as decimal(18,6)) as sales_amount
+ from ledger)
 """
-_PLAN_ROWS = cte("plan").rstrip() + _ROWS
+_PLAN_ROWS = cte("ledger").rstrip() + _ROWS
 ORACLES["full_refresh"] = _PLAN_ROWS + "select * from corrected"
-ORACLES["append_load"] = _PLAN_ROWS + "select * from plan_rows union all select * from corrected"
+ORACLES["append_load"] = _PLAN_ROWS + "select * from ledger union all select * from corrected"
 
 
 def _reloaded(first: str, last: str, new_last: str | None = None) -> str:
     gone = f"calday between date '{first}' and date '{last}'"
     new = f"calday between date '{first}' and date '{new_last or last}'"
-    return _PLAN_ROWS + f"""select * from plan_rows where not ({gone})
+    return _PLAN_ROWS + f"""select * from ledger where not ({gone})
 union all select * from corrected where {new}"""
 
 
-ORACLES["two_day_reload"] = _reloaded("1998-06-16", "1998-06-17")
-ORACLES["month_reload"] = _reloaded("1998-06-01", "1998-06-30", "1998-06-17")
-ORACLES["month_refresh"] = _reloaded("1998-06-01", "1998-06-30")
-ORACLES["slice_copy"] = _PLAN_ROWS + """select * from plan_rows
-where calday between date '1998-06-01' and date '1998-06-30'"""
-ORACLES["sharded_copy"] = _PLAN_ROWS + "select * from plan_rows"
+ORACLES["two_day_reload"] = _reloaded("2024-02-04", "2024-02-05")
+ORACLES["month_reload"] = _reloaded("2024-02-01", "2024-02-29", "2024-02-05")
+ORACLES["month_refresh"] = _reloaded("2024-02-01", "2024-02-29")
+ORACLES["slice_copy"] = _PLAN_ROWS + """select * from ledger
+where calday between date '2024-02-01' and date '2024-02-29'"""
+ORACLES["sharded_copy"] = _PLAN_ROWS + "select * from ledger"
 
 ORACLES["row_slices"] = cte("pos_store_daily") + """select company_code, store_code, jan_code, period, quantity,
  row_number from (select *, row_number() over
@@ -384,12 +382,11 @@ ORACLES["import_reconcile"] = f"""select {_RUN} as run, count(*) as total_paths,
  count(*) as output_records, count(*) filter (where value <= 90) as output_records_committed,
  count(*) filter (where value > 90) as output_records_failed, count(*) filter (where value > 90) = 0 as complete
 from events group by {_RUN}"""
-_MONTH_ROWS = """(select count(*) from lineitem join orders on l_orderkey = o_orderkey
-  where o_orderdate >= date '1998-06-01' and o_orderdate < date '1998-07-01')"""
-ORACLES["job_run_audit"] = f"""select 'refresh' as job, cast(null as date) as processed_date, {_LINES} as row_count,
- true as truncated, cast(null as date) as target_first, cast(null as date) as target_last, 'SUCCESS' as status,
- cast(null as varchar) as message
-union all select 'reload', date '1998-06-17', {_MONTH_ROWS}, false, date '1998-06-01', date '1998-06-30', 'SUCCESS', null
+ORACLES["job_run_audit"] = cte("ledger") + """select 'refresh' as job, cast(null as date) as processed_date,
+ (select count(*) from ledger) as row_count, true as truncated, cast(null as date) as target_first,
+ cast(null as date) as target_last, 'SUCCESS' as status, cast(null as varchar) as message
+union all select 'reload', date '2024-02-05', (select count(*) from ledger where calday >= date '2024-02-01'), false,
+ date '2024-02-01', date '2024-02-29', 'SUCCESS', null
 union all select 'empty', null, null, null, null, null, 'FAILURE', 'the extract holds no rows'"""
 
 ORACLES["date_list"] = """select o_custkey, strftime(unnest(generate_series(first, last, interval 1 day)), '%Y%m%d') as day_key

@@ -306,7 +306,7 @@ def visit_load(spark, sf):
     base = work_path(spark, "visit-load")
     names = (*visits.KPI_FACTS, visits.PHOTO)
     results = visits.load_visit_facts(
-        standins.visits(spark, sf), {n: f"{base}/{n}" for n in names}, f"{base}/staging")
+        standins.visits(spark, sf, month_days=True), {n: f"{base}/{n}" for n in names}, f"{base}/staging")
     counts = [spark.read.parquet(r.target).agg(F.lit(n).alias("fact"), F.count("*").alias("row_count"))
               for n, r in results.items()]
     return rows.append_frames(*counts)
@@ -383,18 +383,16 @@ def activity_window(spark, sf):
 
 # Loads. The tables live below the shared work folder.
 
-_LOAD = ("calday", "zjcustbrg", "zjmatrial", "cm_cy_nsr", "cm_ly_nsr")
+LOAD_DAY = dt.date(2024, 2, 5)
 
 
 def _load_rows(spark, sf):
-    return table(spark, sf, "plan").select(
-        F.col("0calday").alias("calday"), F.col("zjdate__zjcpdate").alias("compared_date"),
-        F.col("zjbjiara1").alias("department_code"), F.col("zjhansu_p").alias("sales_amount"))
+    return table(spark, sf, "ledger")
 
 
 def _corrected(df: DataFrame) -> DataFrame:
     """What a later extract of the same days holds: one department's amounts doubled."""
-    amount = F.when(F.col("department_code") == "A1", F.col("sales_amount") * 2).otherwise(F.col("sales_amount"))
+    amount = F.when(F.col("department_code") == "view", F.col("sales_amount") * 2).otherwise(F.col("sales_amount"))
     return df.withColumn("sales_amount", amount.cast("decimal(18,6)"))
 
 
@@ -406,7 +404,8 @@ def _loaded(spark, sf) -> str:
 
 def _read(spark, target: str) -> DataFrame:
     return spark.read.parquet(target).select(
-        F.col("calday").cast("date").alias("calday"), "compared_date", "department_code", "sales_amount")
+        F.col("calday").cast("date").alias("calday"), "compared_date", "department_code", "district_code",
+        "sales_amount")
 
 
 @query
@@ -433,7 +432,7 @@ def _reload(spark, sf, window: dates.Window, new: DataFrame) -> DataFrame:
 
 @query
 def two_day_reload(spark, sf):
-    window = dates.two_days(TARGET_DAY)
+    window = dates.two_days(LOAD_DAY)
     new = readers.slice_days(_corrected(_load_rows(spark, sf)), "calday", window)
     return _reload(spark, sf, window, new)
 
@@ -441,14 +440,14 @@ def two_day_reload(spark, sf):
 @query
 def month_reload(spark, sf):
     """The window reaches past the target day; days without new rows are emptied."""
-    window = dates.current_month(TARGET_DAY, dt.date(1998, 6, 30))
-    new = readers.slice_days(_corrected(_load_rows(spark, sf)), "calday", dates.month_to_date(TARGET_DAY))
+    window = dates.current_month(LOAD_DAY, dt.date(2024, 2, 29))
+    new = readers.slice_days(_corrected(_load_rows(spark, sf)), "calday", dates.month_to_date(LOAD_DAY))
     return _reload(spark, sf, window, new)
 
 
 @query
 def month_refresh(spark, sf):
-    window = dates.month_of(TARGET_DAY)
+    window = dates.month_of(LOAD_DAY)
     new = readers.slice_days(_corrected(_load_rows(spark, sf)), "calday", window)
     return _reload(spark, sf, window, new)
 
@@ -456,7 +455,7 @@ def month_refresh(spark, sf):
 @query
 def slice_copy(spark, sf):
     target = work_path(spark, "copy")
-    window = dates.month_of(TARGET_DAY)
+    window = dates.month_of(LOAD_DAY)
     source = _load_rows(spark, sf)
     for _ in range(2):
         loads.slice_copy(source, target, "calday", window)
@@ -510,10 +509,10 @@ def job_run_audit(spark, sf):
     runs = audit.JobRuns(spark, work_path(spark, "job-runs"))
     target = work_path(spark, "table")
     whole = _load_rows(spark, sf)
-    window = dates.month_of(TARGET_DAY)
+    window = dates.month_of(LOAD_DAY)
     month = readers.slice_days(whole, "calday", window)
     runs.run("refresh", lambda: loads.full_refresh(whole, target, day="calday"))
-    runs.run("reload", lambda: loads.reload_range(month, target, "calday", window), processed=TARGET_DAY)
+    runs.run("reload", lambda: loads.reload_range(month, target, "calday", window), processed=LOAD_DAY)
     try:
         runs.run("empty", lambda: loads.full_refresh(whole.where(F.lit(False)), target, day="calday"))
     except loads.GuardError:
@@ -564,10 +563,10 @@ def pulse_incremental(spark, sf):
     wanted = ["calday", "zjcustbrg", "zjmatrial", *[f"cm_{y}_{m}" for m in ("bapc", "nsr", "cogs", "gp")
                                                     for y in ("cy", "ly")]]
     landing, target = work_path(spark, "detail"), work_path(spark, "pulse")
-    detail.select(*wanted).repartition(2).write.parquet(landing)
+    detail.select(*wanted).repartitionByRange(2, "calday").write.parquet(landing)
     schema = spark.read.parquet(landing).schema
     stream = pulse_stream.pulse_incremental(
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(landing),
+        spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing),
         lambda s: s.read.schema(schema).parquet(landing),
         customers, materials, target, work_path(spark, "pulse-checkpoint"))
     stream.awaitTermination()

@@ -14,10 +14,26 @@ from shelfline import schemas
 from shelfline.operators import visits as V
 from shelfline.schemas import MARGIN_MEASURES
 
-BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+BASE = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
-_Q, _E, _D, _T = (f"cast({c} as decimal(12,2))"
-                  for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax"))
+# Rates have few digits, so that a price times a rate still fits a compact decimal.
+_CASTS = """cast(l_quantity as decimal(12,2)) as q, cast(l_extendedprice as decimal(12,2)) as e,
+ cast(l_discount as decimal(4,2)) as d, cast(l_tax as decimal(4,2)) as t"""
+#: Lines with their four amounts cast once.
+_LINES = f"(select *, {_CASTS} from {{lineitem}})"
+_Q, _E, _D, _T = "q", "e", "d", "t"
 _MEASURE = {
     "bapc": _Q, "barasu": f"{_Q} * 24", "nsr": f"{_E} * (1 - {_D})", "cogs": f"{_E} * 0.6",
     "pc": f"{_E} * {_T}", "rb": f"{_E} * {_D}", "gp": f"{_E} * (1 - {_D}) - {_E} * 0.6",
@@ -69,7 +85,7 @@ select substring(cast({_DAY} as string), 1, 4) as calyear,
  {_year_case("gp", "O")} as cm_cy_gp_bapc,
  {_signed("nsr")} as cm_nsr_vs_ly_diff_cl,
  {_signed("nsr", "0.01")} as cm_nsr_vs_ly_percent_cl
-from {{lineitem}} l join {{orders}} o on l_orderkey = o_orderkey
+from {_LINES} l join {{orders}} o on l_orderkey = o_orderkey
 """
 
 _BOTTLERS = ("13", "21", "22", "23", "24", "28", "32", "39", "35", "42")
@@ -141,7 +157,7 @@ select replace(substring(cast({_DAY} as string), 1, 7), '-', '') as `0calmonth`,
  concat('M', cast(o_custkey % 7 as string)) as zjbjicl_m,
  cast({_Q} as decimal(18,6)) as zjhansu_p, cast({_E} as decimal(18,6)) as zjbjinsrp,
  cast({_E} * {_D} as decimal(18,6)) as zjgross_p, cast({_E} * {_T} as decimal(18,6)) as zjbjimp_p
-from {{lineitem}} l join {{orders}} o on l_orderkey = o_orderkey
+from {_LINES} l join {{orders}} o on l_orderkey = o_orderkey
 """
 
 _WEEK = "cast(date_trunc('week', l_shipdate) as date)"
@@ -155,13 +171,13 @@ select cast(l_suppkey as string) as company_code, 'ALL' as store_code,
  cast(sum({_E} * {_T}) as decimal(34,4)) as sale_amount,
  cast(count(*) as decimal(38,4)) as number_of_visitors,
  cast({_WEEK} + interval '7' day as date) as load_date
-from {{lineitem}} l
+from {_LINES} l
 group by l_suppkey, l_partkey, {_WEEK}
 """
 SQL["pos_periods"] = f"""
 select distinct cast(l_suppkey as string) as company_code,
  case when l_suppkey % 2 = 0 then null else 'S1' end as store_code, {_WEEK} as period
-from {{lineitem}} l
+from {_LINES} l
 """
 SQL["pos_goods"] = """
 select concat('  ', cast(p_partkey as string), '   ') as sku, cast(p_size as decimal(34,4)) as quantity,
@@ -184,7 +200,7 @@ select cast(l_suppkey as string) as company_code, concat('S', cast(l_linenumber
  cast({_E} * {_D} as decimal(34,4)) as gross_profit,
  cast(cast(l_orderkey % 40 as decimal(38,0)) as decimal(38,0)) as number_of_visitors,
  cast(cast(l_shipdate as date) + interval '1' day as date) as load_date
-from {{lineitem}} l
+from {_LINES} l
 """
 
 # Order days move 20 years on, so that the recoded year lies inside the data.
@@ -210,7 +226,7 @@ SQL["routes"] = """
 select cast(o_custkey as string) as zkzkunnr, concat('W', cast(c_nationkey as string)) as zkzpdwerks,
  concat('R', cast(o_orderkey % 30 as string)) as zkzpdcroute,
  case o_orderkey % 4 when 0 then null when 1 then '' when 2 then cast(o_custkey as string)
-  else cast(floor(o_orderkey / 7) as string) end as zresalcod
+  else cast(cast(floor(o_orderkey / 7) as bigint) as string) end as zresalcod
 from {orders} o join {customer} c on o_custkey = c_custkey
 """
 SQL["route_customers"] = """
@@ -237,7 +253,7 @@ select cast(l_orderkey as string) as doc, l_linenumber as line, l_partkey as par
   else replace(cast(cast({_DAY} - interval '1' year as date) as string), '-', '') end as calday_prevyear,
  case when l_linestatus = 'O' then l_returnflag else null end as note,
  cast({_E} as decimal(18,6)) as amount
-from {{lineitem}} l join {{orders}} o on l_orderkey = o_orderkey
+from {_LINES} l join {{orders}} o on l_orderkey = o_orderkey
 """
 SQL["raw_wholesaler"] = f"""
 select cast(l_suppkey as string) as wholesaler_code, concat('W', cast(l_suppkey % 7 as string)) as wholesaler_name,
@@ -245,7 +261,7 @@ select cast(l_suppkey as string) as wholesaler_code, concat('W', cast(l_suppkey
  substring(replace(cast(cast(l_shipdate as date) as string), '-', ''), 3, 6) as delivery_date,
  concat('49', lpad(cast(l_partkey as string), 11, '0'), '-01') as jan_code,
  cast({_Q} as string) as can_quantity
-from {{lineitem}} l
+from {_LINES} l
 """
 SQL["raw_pos"] = """
 select cast(o_custkey as string) as account_code, cast(o_orderkey as string) as customer_code,
@@ -295,7 +311,7 @@ select case when c_custkey % 6 = 1 then concat('ext', cast(c_custkey as string))
 from {customer} c where c_mktsegment <> 'BUILDING'
 """
 SQL["jobs"] = """
-select cast(o_custkey as string) as userId, cast(floor(o_custkey / 8) as string) as managerId,
+select cast(o_custkey as string) as userId, cast(cast(floor(o_custkey / 8) as bigint) as string) as managerId,
  'C1' as company, concat('J', cast(o_orderkey % 40 as string)) as jobCode,
  lpad(cast(cast(floor(o_orderkey / 10) as bigint) as string), 10, '0') as department,
  concat('Title ', cast(o_orderkey % 40 as string)) as jobTitle,
@@ -305,6 +321,12 @@ select cast(o_custkey as string) as userId, cast(floor(o_custkey / 8) as string)
 from {orders} o
 """
 
+SQL["ledger"] = """
+select cast(ts + interval '15' day as date) as calday, cast(ts as date) as compared_date,
+ event_type as department_code, cast(user_id as string) as district_code,
+ cast(cast(value as decimal(12,2)) as decimal(18,6)) as sales_amount
+from {events} e
+"""
 SQL["activity"] = """
 select cast(event_id as string) as Id, cast(ts as string) as CreationTime, event_type as Operation,
  case when event_type = 'error' then null else concat('k', substring(props, 7, 2)) end as Workload,
@@ -341,18 +363,28 @@ select concat(cast(l_orderkey as string), '-', cast(l_linenumber as string), '-'
  case when l_linenumber % 3 = 0 then null else cast(l_suppkey as string) end as e1,
  l_quantity as numerator, l_quantity + l_linenumber as denominator,
  cast({_D} as string) as result, l_tax as score, l_returnflag as flag
-from {{lineitem}} l join {{orders}} o on l_orderkey = o_orderkey
+from {_LINES} l join {{orders}} o on l_orderkey = o_orderkey
 """
 
 
-def base(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in BASE}
+def read_base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A star-schema table.
+
+    The line table may arrive as one file of one row group, which Spark cannot
+    split. It is dealt out only if its scan has fewer splits than the session
+    has cores; a table of many files is read as it lies.
+    """
+    df = spark.read.schema(BASE[name]).parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name == "lineitem" and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A stand-in table."""
     text = SQL[name]
-    frames = {n: df for n, df in base(spark, sf_dir).items() if "{" + n + "}" in text}
+    frames = {n: read_base(spark, sf_dir, n) for n in BASE if "{" + n + "}" in text}
     return spark.sql(text, **frames)
 
 
@@ -363,14 +395,18 @@ def cte(*names: str) -> str:
     return "with " + ",\n".join(parts) + "\n"
 
 
-def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+def visits(spark: SparkSession, sf_dir: str, *, month_days: bool = False) -> DataFrame:
     """Nested visit documents, one per ``visit_rows`` row.
 
+    ``month_days`` dates all visits of a month on its first day.
+
     Every visit has the six parent KPIs, one KPI nobody asks for, and two scenes;
     children appear by the return flag. Nesting happens inside the row, so no
     group is collected.
     """
     rows = table(spark, sf_dir, "visit_rows")
+    if month_days:
+        rows = rows.withColumn("session_date", F.concat(F.substring("session_date", 1, 8), F.lit("01")))
     n, d, r, s = (F.col(c) for c in ("numerator", "denominator", "result", "score"))
     uid = lambda c: F.struct(c.alias("uid"))
     # Lines divisible by three carry one entity only.

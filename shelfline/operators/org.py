@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameReader, Observation
 from pyspark.sql import functions as F
 
-from shelfline.session import work_path
+from shelfline.session import materialise, work_path
 
 # The named levels, top first, as the source spells them.
 LEVELS = ("L0", "L1", "L2", "L2.5", "L3", "L4-1", "L4-2", "L4-3", "L4-4", "L5-1", "L5-2", "L6")
@@ -46,33 +46,30 @@ def climb(
     leave before the join, so nulls never form a hot key, and a parent shared
     by many nodes is a probe-side skew that AQE splits (or a broadcast).
     """
-    spark = tree.sparkSession
-    base = work_path(spark, "climb")
+    base = work_path(tree.sparkSession, "climb")
     columns = [node, parent, *carry]
-    steps = tree.select(*[F.col(c).alias(f"_t_{c}") for c in columns])
-    level = tree.select(F.col(node).alias("leaf"), F.lit(0).alias("depth"), *columns)
-    schema = level.schema
-    depth = 0
-    while True:
-        path = f"{base}/level={depth:03d}"
-        level.write.parquet(path)
-        done = spark.read.schema(schema).parquet(path)
-        if depth > 0 and done.isEmpty():
-            break
-        if depth == max_depth:
-            break
-        depth += 1
-        level = (
-            done.where(F.col(parent).isNotNull())
-            .join(steps, F.col(parent) == F.col(f"_t_{node}"), "inner")
-            .select("leaf", F.lit(depth).alias("depth"), *[F.col(f"_t_{c}").alias(c) for c in columns])
-        )
-    chain = spark.read.schema(schema).option("basePath", base).parquet(
-        *[f"{base}/level={d:03d}" for d in range(depth + 1)])
-    chain = chain.select(*schema.names)
-    going = chain.where(F.col("depth") == max_depth).join(
-        steps, F.col(parent) == F.col(f"_t_{node}"), "left_semi")
-    return Climb(chain, going.select("leaf").distinct())
+    first = materialise(tree.select(F.col(node).alias("leaf"), F.lit(0).alias("depth"), *columns), "tree")
+    steps = first.select(*[F.col(c).alias(f"_t_{c}") for c in columns])
+    stored = tree.sparkSession.read.schema(first.schema)
+    level, found = first, []
+    for depth in range(1, max_depth + 1):
+        path = f"{base}/depth-{depth:03d}"
+        seen = Observation(f"climb-{depth}")
+        (level.where(F.col(parent).isNotNull())
+         .join(steps, F.col(parent) == F.col(f"_t_{node}"), "inner")
+         .select("leaf", F.lit(depth).alias("depth"), *[F.col(f"_t_{c}").alias(c) for c in columns])
+         .observe(seen, F.count(F.lit(1)).alias("rows"))
+         .write.parquet(path))
+        if seen.get["rows"] == 0:
+            return Climb(_chain(first, stored, found), first.select("leaf").limit(0))
+        found.append(path)
+        level = stored.parquet(path)
+    going = level.join(steps, F.col(parent) == F.col(f"_t_{node}"), "left_semi")
+    return Climb(_chain(first, stored, found), going.select("leaf").distinct())
+
+
+def _chain(first: DataFrame, stored: DataFrameReader, paths: Sequence[str]) -> DataFrame:
+    return first.unionByName(stored.parquet(*paths)) if paths else first
 
 
 def level_columns(chain: DataFrame, names: DataFrame, levels: Sequence[str] = LEVELS) -> DataFrame:

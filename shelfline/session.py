@@ -25,7 +25,9 @@ def build_session(app: str = "shelfline", master: str | None = None, **conf: str
         # A hot key is split even when that costs one more exchange afterwards.
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.sources.partitionOverwriteMode": "static",
+        # The JVM does not compile methods above 8000 bytes; wide aggregates would
+        # otherwise run as one huge interpreted method.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         **conf,
     }
     for key, value in settings.items():
