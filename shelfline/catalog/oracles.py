@@ -31,7 +31,9 @@ group by d.calday, {', '.join(_PULSE_NAMES.values())}"""
 ORACLES["business_pulse_full"] = cte(*STAR) + _PULSE
 ORACLES["business_pulse"] = cte(*STAR) + _PULSE + " order by " + ", ".join(
     f"{k} nulls last" for k in sales.PULSE_KEYS) + " limit 50"
-ORACLES["pulse_incremental"] = ORACLES["business_pulse_full"]
+ORACLES["pulse_incremental"] = cte(*STAR).rstrip() + """,
+monthly as (select * replace (cast(date_trunc('month', calday) as date) as calday) from detail)
+""" + _PULSE.replace("from detail d", "from monthly d")
 
 _BRANCH = {
     "ej": """m.zjbudtf[1:1] in ('X', 'Y') and c.zjdfflg[1:1] = '0'
@@ -389,8 +391,10 @@ union all select 'reload', date '2024-02-05', (select count(*) from ledger where
  date '2024-02-01', date '2024-02-29', 'SUCCESS', null
 union all select 'empty', null, null, null, null, null, 'FAILURE', 'the extract holds no rows'"""
 
-ORACLES["date_list"] = """select o_custkey, strftime(unnest(generate_series(first, last, interval 1 day)), '%Y%m%d') as day_key
-from (select o_custkey, min(o_orderdate) as first, max(o_orderdate) as last from orders group by o_custkey)"""
+ORACLES["date_list"] = """select o_orderpriority,
+ strftime(unnest(generate_series(first, last, interval 1 day)), '%Y%m%d') as day_key
+from (select o_orderpriority, min(o_orderdate) as first, max(o_orderdate) as last from orders
+ group by o_orderpriority)"""
 ORACLES["date_windows"] = """select day, (day - interval 1 day)::date as day_before, strftime(day, '%Y%m%d') as day_key,
  strftime(day - interval 1 day, '%Y%m%d') as day_before_key, strftime(day, '%Y%m') as month_key,
  date_trunc('month', day)::date as month_first, last_day(day) as month_last,

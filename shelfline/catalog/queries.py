@@ -378,7 +378,8 @@ def activity_window(spark, sf):
     """Events of one daily pull."""
     events = table(spark, sf, "activity")
     since = readers.changed_since(events, "ts", ACTIVITY_RUN - dt.timedelta(days=1))
-    return since.where(F.col("ts") <= F.lit(ACTIVITY_RUN)).select(*schemas.ACTIVITY_EVENT.names, "scope")
+    upto = F.lit(ACTIVITY_RUN.isoformat(sep=" ")).cast("timestamp_ntz")
+    return since.where(F.col("ts") <= upto).select(*schemas.ACTIVITY_EVENT.names, "scope")
 
 
 # Loads. The tables live below the shared work folder.
@@ -523,11 +524,11 @@ def job_run_audit(spark, sf):
 
 @query
 def date_list(spark, sf):
-    """All day keys between the first and last order of each customer."""
-    orders = readers.read_source(spark, f"{sf}/orders.parquet", columns=["o_custkey", "o_orderdate"])
-    spans = orders.groupBy("o_custkey").agg(
+    """All day keys between the first and last order of each priority."""
+    orders = readers.read_source(spark, f"{sf}/orders.parquet", columns=["o_orderpriority", "o_orderdate"])
+    spans = orders.groupBy("o_orderpriority").agg(
         F.min("o_orderdate").cast("date").alias("first"), F.max("o_orderdate").cast("date").alias("last"))
-    return dates.date_list(spans, "first", "last").select("o_custkey", "day_key")
+    return dates.date_list(spans, "first", "last").select("o_orderpriority", "day_key")
 
 
 @query
@@ -559,7 +560,9 @@ def activity_ingest(spark, sf):
 
 @query
 def pulse_incremental(spark, sf):
+    """Rows arrive in two batches; all days of a month are dated on its first."""
     detail, customers, materials = _star(spark, sf)
+    detail = detail.withColumn("calday", F.trunc("calday", "month"))
     wanted = ["calday", "zjcustbrg", "zjmatrial", *[f"cm_{y}_{m}" for m in ("bapc", "nsr", "cogs", "gp")
                                                     for y in ("cy", "ly")]]
     landing, target = work_path(spark, "detail"), work_path(spark, "pulse")

@@ -95,7 +95,7 @@ def epoch_to_wall(col: Column | str, tz: str = "Asia/Tokyo") -> Column:
     """
     c = (F.col(col) if isinstance(col, str) else col).cast("string")
     seconds = F.when(c.rlike("^[0-9]+$"), c.try_cast("bigint"))
-    epoch = F.lit(dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     utc = epoch + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
     return F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
 

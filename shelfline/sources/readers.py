@@ -82,7 +82,9 @@ def slice_month(df: DataFrame, column: str, month: str) -> DataFrame:
 
 
 def changed_since(df: DataFrame, column: str, moment: dt.datetime) -> DataFrame:
-    return df.where(F.col(column) > F.lit(moment))
+    """Rows later than ``moment``, which is read in the column's own type and zone."""
+    kind = df.schema[column].dataType
+    return df.where(F.col(column) > F.lit(moment.isoformat(sep=" ")).cast(kind))
 
 
 # Employment states of people who have not left.
