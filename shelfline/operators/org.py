@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, DataFrameReader, Observation
+from pyspark.sql import DataFrame, DataFrameReader
 from pyspark.sql import functions as F
 
 from shelfline.session import materialise, work_path
@@ -54,16 +54,15 @@ def climb(
     level, found = first, []
     for depth in range(1, max_depth + 1):
         path = f"{base}/depth-{depth:03d}"
-        seen = Observation(f"climb-{depth}")
         (level.where(F.col(parent).isNotNull())
          .join(steps, F.col(parent) == F.col(f"_t_{node}"), "inner")
          .select("leaf", F.lit(depth).alias("depth"), *[F.col(f"_t_{c}").alias(c) for c in columns])
-         .observe(seen, F.count(F.lit(1)).alias("rows"))
          .write.parquet(path))
-        if seen.get["rows"] == 0:
+        reached = stored.parquet(path)
+        if reached.isEmpty():
             return Climb(_chain(first, stored, found), first.select("leaf").limit(0))
         found.append(path)
-        level = stored.parquet(path)
+        level = reached
     going = level.join(steps, F.col(parent) == F.col(f"_t_{node}"), "left_semi")
     return Climb(_chain(first, stored, found), going.select("leaf").distinct())
 
