@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions.clean import blank_matching, leading_digit_codes
-from shelfline.operators.joins import full_outer, measured
+from shelfline.operators.joins import full_outer
 from shelfline.operators.org import Climb, climb, level_columns
 from shelfline.operators.rows import keep_first
+from shelfline.session import materialise
 
 # New names of department and master columns.
 DEPARTMENT_NAMES = {
@@ -43,7 +44,6 @@ def levels(dept: DataFrame, *, max_depth: int = 16) -> tuple[DataFrame, Climb]:
         dept.select(F.col("SectionCD").alias("code"), F.col("SectionNameEN").alias("name_en"),
                     F.col("name_localized").alias("name_jp")),
         "code", ["name_en", "name_jp"])
-    names, = measured(names)
     chain = climbed.chain.select("leaf", "depth", F.col("SectionCD").alias("code"), F.col("LCD").alias("level"))
     finished = chain.join(climbed.unfinished, "leaf", "left_anti")
     return level_columns(finished, names), climbed
@@ -56,9 +56,10 @@ def hr_master(person: DataFrame, email: DataFrame, job: DataFrame, dept: DataFra
     ``dept`` is the output of :func:`departments`. Of several jobs or e-mails of a
     person the first by (e-mail, job, section) columns is kept.
     """
-    placed, _ = levels(dept, max_depth=max_depth)
+    # Written once each: read several times below, and then of known size to Spark.
+    dept = materialise(dept, "departments")
+    placed = materialise(levels(dept, max_depth=max_depth)[0], "levels")
     section = dept.drop("ParentSectionCD", "cust_string17", "SectionNameJP")
-    section, placed = measured(section, placed)
     people = full_outer(person.drop("startDate", "endDate", "challengeStatus"), email, "personIdExternal")
     joined = (
         people.join(job, F.col("personIdExternal") == F.col("userId"), "inner")
