@@ -15,12 +15,14 @@ from shelfline.session import materialise
 def with_row_number(df: DataFrame, order_by: Sequence[str], name: str = "row_number") -> DataFrame:
     """Dense row numbers from 0 in a global order, without a one-task window.
 
-    Rows are range-sorted and written once, with the task number and the
-    position in the task as values. The row count per task then gives each task
-    its offset; that table has one row per task. An arrival number breaks ties,
-    so even a large group of copies spreads over several ranges.
+    Rows are range-sorted and written, with the task number and the position in
+    the task as values. The row count per task then gives each task its offset;
+    that table has one row per task. An arrival number breaks ties, so even a
+    large group of copies spreads over several ranges. It is written before the
+    sort, so that a task repeated after the loss of an executor sends every row
+    to the same range again.
     """
-    arrival = df.withColumn("_arrival", F.monotonically_increasing_id())
+    arrival = materialise(df.withColumn("_arrival", F.monotonically_increasing_id()), "arrival")
     ranged = arrival.orderBy(*order_by, "_arrival").withColumn("_place", F.monotonically_increasing_id())
     placed = materialise(
         ranged.select(*df.columns, F.shiftrightunsigned("_place", 33).alias("_task"),

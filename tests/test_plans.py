@@ -67,3 +67,37 @@ def test_schemas():
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert build_session().conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+
+
+def test_a_hot_key_is_split_where_the_master_is_too_large(spark, folder, monkeypatch):
+    """A third of the rows share one customer; the join is by shuffle and AQE cuts that partition."""
+    from shelfline.operators import joins
+    from shelfline.sources.report import ReportBranch, branch_rows
+
+    n = 300_000
+    key = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string"))
+    spark.range(n).select(
+        key.alias("zjcustbrg"), F.lit("m").alias("zjmatrial"), F.sha2(F.col("id").cast("string"), 256).alias("text"),
+        F.lit("7828").alias("comp_code")).repartition(8).write.parquet(folder("fact"))
+    spark.range(n).select(F.col("id").cast("string").alias("zjcust")).unionByName(
+        spark.createDataFrame([("hot",)], "zjcust string")).select(
+        "zjcust", F.lit("0:n").alias("zjdfflg"), F.lit("13").alias("zjdivold2"),
+        F.lit("x").alias("zjddexfl___t")).write.parquet(folder("customers"))
+    materials = spark.createDataFrame([("m", "X:x")], "zjmate string, zjbudtf string")
+    monkeypatch.setattr(joins.measured, "__kwdefaults__", {"limit": 0})
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1MB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1MB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        out = branch_rows(spark.read.parquet(folder("fact")), spark.read.parquet(folder("customers")), materials,
+                          [ReportBranch("b", ("X",), ("0",))]).select("zjcustbrg", "text")
+        assert len(out.collect()) == n
+        assert "skew=true" in plan(out)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
