@@ -88,28 +88,37 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
-def shingle_hashes(column: pa.Array, words: int = SHINGLE_WORDS):
-    """Yield per row the sorted distinct hashes of its word shingles.
+def shingle_runs(column: pa.Array, words: int = SHINGLE_WORDS):
+    """Yield (first row, hashes, row of each hash) of the word shingles of runs of rows, in text order.
 
     A-Z count as a-z. A row with fewer words gives its whole sequence as one
     shingle, a row without words none.
     """
-    for _, data, offsets in utf8_parts(column):
+    for first, data, offsets in utf8_parts(column):
         data = LOWER[data]
         start, end, row = word_spans(data, offsets)
         word = span_hash(prefix_hash(data), start, end)
         bounds = np.searchsorted(row, np.arange(len(offsets)))
+        number = np.diff(bounds)
         total = np.zeros(max(0, len(word) - words + 1), np.uint64)
         for k in range(words):
             total += word[k : k + len(total)] * _WORD_FACTORS[k]
-        total = mix(total + np.uint64(words))
-        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            if b - a >= words:
-                yield np.unique(total[a : b - words + 1])
-            elif b > a:
-                yield mix(np.array([np.sum(word[a:b] * _WORD_FACTORS[: b - a])], np.uint64) + np.uint64(b - a))
-            else:
-                yield np.zeros(0, np.uint64)
+        whole = row[: len(total)] == row[words - 1 :] if len(total) else np.zeros(0, bool)
+        hashes, rows = mix(total[whole] + np.uint64(words)), row[: len(total)][whole]
+        if len(short := np.flatnonzero((number > 0) & (number < words))):
+            extra = [np.sum(word[bounds[r] : bounds[r + 1]] * _WORD_FACTORS[: number[r]]) + np.uint64(number[r]) for r in short]
+            hashes, rows = np.concatenate([hashes, mix(np.array(extra, np.uint64))]), np.concatenate([rows, short])
+            order = np.argsort(rows, kind="stable")
+            hashes, rows = hashes[order], rows[order]
+        yield first, hashes, rows, len(number)
+
+
+def shingle_hashes(column: pa.Array, words: int = SHINGLE_WORDS):
+    """Yield per row the sorted distinct hashes of its word shingles."""
+    for _, hashes, rows, number in shingle_runs(column, words):
+        bounds = np.searchsorted(rows, np.arange(number + 1)).tolist()
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            yield np.unique(hashes[a:b])
 
 
 def text_bytes(docs: DataFrame, column: str = "text") -> int:

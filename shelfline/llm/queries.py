@@ -1,8 +1,14 @@
 """The registered queries of this package, and the SQL of those that SQL can express."""
 
-from shelfline.llm import jaccard_join
+from shelfline.llm import decontaminate, jaccard_join, packing, quality, secrets
 
 QUERIES = {
+    "op1_quality": quality.op1_quality,
+    "op2_packing": packing.op2_packing,
     "op4_jaccard_join": jaccard_join.op4_jaccard_join,
+    "op7_decontaminate": decontaminate.op7_decontaminate,
+    "op9_secrets": secrets.op9_secrets,
+}
+ORACLES = {
+    "op7_decontaminate": decontaminate.ORACLE,
 }
-ORACLES: dict[str, str] = {}
