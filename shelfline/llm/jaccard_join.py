@@ -34,20 +34,33 @@ from pyspark.sql import functions as F
 from shelfline.llm.common import SIMILARITY, binary_column, components, in_blocks, mix, shingle_hashes, text_bytes
 from shelfline.session import materialise
 
-#: Bytes of the hashes by which shingles are counted; a clash only weakens the order and the bound.
-COUNT_BYTES = 6
-_COUNT_SHIFT = np.uint64(64 - 8 * COUNT_BYTES)
-BUCKET_BYTES = 16 << 20
+#: Bits of the hashes by which shingles are counted; a clash only weakens the order and the bound.
+COUNT_BITS = 40
+_COUNT_SHIFT = np.uint64(64 - COUNT_BITS)
+BUCKET_SHINGLES = 3_000_000
+
+
+def _low_bytes(values: np.ndarray, width: int) -> bytes:
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
 
 
 def _pack(values: np.ndarray) -> bytes:
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :COUNT_BYTES]).tobytes()
+    """Sorted values as three-byte steps, or in full where a step is too wide for that."""
+    steps = np.diff(values)
+    if len(steps) and steps.max() < 1 << 24:
+        return b"s" + _low_bytes(values[:1], 5) + _low_bytes(steps, 3)
+    return b"w" + _low_bytes(values, 5)
 
 
 def _unpack(blob: bytes) -> np.ndarray:
-    out = np.zeros((len(blob) // COUNT_BYTES, 8), np.uint8)
-    out[:, :COUNT_BYTES] = np.frombuffer(blob, np.uint8).reshape(-1, COUNT_BYTES)
-    return out.view("<u8").ravel()
+    def read(data, width):
+        out = np.zeros((len(data) // width, 8), np.uint8)
+        out[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
+        return out.view("<u8").ravel()
+
+    if blob[:1] == b"w":
+        return read(blob[1:], 5)
+    return np.cumsum(np.concatenate([read(blob[1:6], 5), read(blob[6:], 3)]), dtype=np.uint64)
 
 
 def _block_shingles(buckets: int):
@@ -58,7 +71,7 @@ def _block_shingles(buckets: int):
         def flush():
             for block, parts in held.items():
                 values, counts = np.unique(np.concatenate(parts), return_counts=True)
-                cut = np.searchsorted(values, np.arange(buckets + 1, dtype=np.float64) * (2.0 ** (8 * COUNT_BYTES) / buckets))
+                cut = np.searchsorted(values, np.arange(buckets + 1, dtype=np.float64) * (2.0**COUNT_BITS / buckets))
                 cut[-1] = len(values)
                 spans = [(k, a, b) for k, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
                 yield pa.RecordBatch.from_arrays(
@@ -94,23 +107,23 @@ def _count_bucket(table: pa.Table) -> pa.Table:
         here = total[at : at + len(part)]
         at += len(part)
         if (keep := here > 1).any():
-            rows.append((block, _pack(part[keep]), np.minimum(here[keep], 2**32 - 1).astype(np.uint32).tobytes()))
+            rows.append((block, _pack(part[keep]), np.minimum(here[keep], 255).astype(np.uint8).tobytes()))
     return pa.table({"block": pa.array([r[0] for r in rows], pa.int32()), "shingles": pa.array([r[1] for r in rows], pa.binary()), "counts": pa.array([r[2] for r in rows], pa.binary())})
 
 
 def _judge_block(similarity: int):
     def run(docs: pa.Table, shared: pa.Table) -> pa.Table:
         known = np.concatenate([np.zeros(0, np.uint64), *(_unpack(x) for x in shared.column("shingles").to_pylist())])
-        count = np.concatenate([np.zeros(0, np.uint32), *(np.frombuffer(x, np.uint32) for x in shared.column("counts").to_pylist())])
+        count = np.concatenate([np.zeros(0, np.uint8), *(np.frombuffer(x, np.uint8) for x in shared.column("counts").to_pylist())])
         known, at = np.unique(known, return_index=True)
-        count = np.append(count[at], 1).astype(np.uint32)
+        count = np.append(count[at], 1).astype(np.uint8)
         known = np.append(known, np.uint64(2**64 - 1))
         out: dict[str, list] = {k: [] for k in ("n", "f1", "f2", "n_shared", "shingles", "counts")}
         for values in shingle_hashes(docs.column("text")):
             n = len(values)
             short = values >> _COUNT_SHIFT
             place = np.searchsorted(known, short)
-            df = np.where(known[place] == short, count[place], np.uint32(1))
+            df = np.where(known[place] == short, count[place], np.uint8(1))
             n_shared = int((df > 1).sum())
             keep = n > 0 and 100 * n_shared >= similarity * n
             out["n"].append(n)
@@ -129,7 +142,7 @@ def shingle_sets(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """Per document its set size and fingerprint; the set itself only where it may link."""
     total = text_bytes(docs)
     rows, n_blocks = in_blocks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), total)
-    buckets = max(n_blocks, math.ceil(total / 6 * COUNT_BYTES / BUCKET_BYTES))
+    buckets = max(n_blocks, math.ceil(total / 6 / BUCKET_SHINGLES))
     sent = rows.select("block", "text").mapInArrow(_block_shingles(buckets), "bucket int, block int, shingles binary, counts binary")
     shared = sent.groupBy("bucket").applyInArrow(_count_bucket, "block int, shingles binary, counts binary")
     return rows.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(
@@ -146,7 +159,7 @@ def _prefixes(similarity: int):
             for n, blob, counts in zip(sizes.tolist(), batch.column("shingles").to_pylist(), batch.column("counts").to_pylist(), strict=True):
                 values = np.frombuffer(blob, np.uint64)
                 length = n - -(-similarity * n // 100) + 1
-                prefix = values[np.lexsort((values, np.frombuffer(counts, np.uint32)))[:length]]
+                prefix = values[np.lexsort((values, np.frombuffer(counts, np.uint8)))[:length]]
                 factors = mix(np.arange(1, length + 1, dtype=np.uint64))
                 keys.append(int(mix(np.array([np.sum(mix(prefix) * factors)], np.uint64)).astype(np.int64)[0]))
                 prefixes.append(prefix.astype(np.int64))

@@ -164,7 +164,7 @@ def site_rates(scored: DataFrame) -> tuple[DataFrame, float]:
     hosts = hosts.withColumn("host_rate", (F.col("hs") + k_host * rate) / (F.col("hn") + k_host))
     both = paths.alias("p").join(hosts.alias("h"), F.col("p._host").eqNullSafe(F.col("h._host"))).select("p._host", "_path", "n", "s", "hn", "host_rate")
     k_path = _strength(both.select("n", "s", F.col("host_rate").alias("m")))
-    return materialise(both.withColumn("k", F.lit(k_path)), "rates"), rate
+    return materialise(both.select("_host", "_path", F.col("n").alias("_n"), F.col("s").alias("_s"), F.lit(k_path).alias("_k"), F.col("host_rate").alias("_host_rate")), "rates"), rate
 
 
 def _strength(groups: DataFrame) -> float:
@@ -180,14 +180,13 @@ def _strength(groups: DataFrame) -> float:
 
 
 def posterior(scored: DataFrame, rates: DataFrame, rate: float) -> DataFrame:
-    """``scored`` with ``path_rate`` (the document itself left out), ``bad`` and ``keep``."""
+    """``scored`` with ``_host_rate``, ``_path_rate`` (the document itself left out) and ``_bad``."""
     p = 1 / (1 + F.exp(-F.col("_odds")))
-    joined = scored.alias("d").join(rates.alias("r"), F.col("d._host").eqNullSafe(F.col("r._host")) & F.col("d._path").eqNullSafe(F.col("r._path"))).select("d.*", "n", "s", "k", "host_rate")
-    path = F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), (F.col("s") - p + F.col("k") * F.col("host_rate")) / (F.col("n") - 1 + F.col("k"))))
-    joined = joined.withColumn("path_rate", path)
-    shift = F.log(F.col("path_rate") / (1 - F.col("path_rate"))) - float(np.log(rate / (1 - rate)))
-    bad = 1 / (1 + F.exp(-(F.col("_odds") + F.greatest(F.lit(-MOST_SHIFT), F.least(F.lit(MOST_SHIFT), shift)))))
-    return joined.withColumn("bad", bad).withColumn("keep", ~(F.col("bad") > REJECT_AT)).drop("n", "s", "k")
+    joined = scored.alias("d").join(rates.alias("r"), F.col("d._host").eqNullSafe(F.col("r._host")) & F.col("d._path").eqNullSafe(F.col("r._path"))).select("d.*", "_n", "_s", "_k", "_host_rate")
+    path = F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), (F.col("_s") - p + F.col("_k") * F.col("_host_rate")) / (F.col("_n") - 1 + F.col("_k"))))
+    joined = joined.withColumn("_path_rate", path)
+    shift = F.log(F.col("_path_rate") / (1 - F.col("_path_rate"))) - float(np.log(rate / (1 - rate)))
+    return joined.withColumn("_bad", 1 / (1 + F.exp(-(F.col("_odds") + F.greatest(F.lit(-MOST_SHIFT), F.least(F.lit(MOST_SHIFT), shift))))))
 
 
 def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", sample_rows: int = SAMPLE_ROWS, whole: bool = False) -> DataFrame:
@@ -202,8 +201,9 @@ def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
     if whole:
         names = docs.columns
         docs = docs.select(*(F.col(f"`{c}`") for c in names), F.col(host).cast("string").alias("_host"), F.col(path).cast("string").alias("_path"))
-        return posterior(evidence(docs, weights), rates, rate).where("keep").select(*names)
-    return posterior(scored, rates, rate).select("doc_id", F.col("_odds").alias("evidence"), "host_rate", "path_rate", "bad", "keep")
+        return posterior(evidence(docs, weights), rates, rate).where(F.col("_bad") <= REJECT_AT).select(*(F.col(f"`{c}`") for c in names))
+    return posterior(scored, rates, rate).select(
+        "doc_id", F.col("_odds").alias("evidence"), F.col("_host_rate").alias("host_rate"), F.col("_path_rate").alias("path_rate"), F.col("_bad").alias("bad"), (F.col("_bad") <= REJECT_AT).alias("keep"))
 
 
 def op1_quality(spark, sf_dir: str) -> DataFrame:
