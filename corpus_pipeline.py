@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfline.llm import decontaminate, jaccard_join, packing, quality, secrets
-from shelfline.session import materialise
+from shelfline.llm.common import materialise
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.session import materialise
+from shelfline import session
 
 #: Words of a shingle, and the least similarity of near duplicates in hundredths.
 SHINGLE_WORDS, SIMILARITY = 5, 75
@@ -27,6 +27,20 @@ IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
+CLEAN_SHUFFLE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """A written table in the shared folder; the shuffle files it took are removed with the write."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEAN_SHUFFLE)
+    conf.set(CLEAN_SHUFFLE, "true")
+    try:
+        return session.materialise(df, name)
+    finally:
+        conf.set(CLEAN_SHUFFLE, before)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread 64-bit values over all bits (the finaliser of splitmix64)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -136,6 +150,107 @@ def binary_column(arrays: list[np.ndarray]) -> pa.Array:
     return pa.array([a.tobytes() for a in arrays], pa.binary())
 
 
+#: Bits of the hashes by which values are counted; a clash only makes a value look shared.
+COUNT_BITS = 40
+_COUNT_SHIFT = np.uint64(64 - COUNT_BITS)
+
+
+def _low_bytes(values: np.ndarray, width: int) -> bytes:
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+
+
+def _pack(values: np.ndarray) -> bytes:
+    """Sorted values as three-byte steps, or in full where a step is too wide for that."""
+    steps = np.diff(values)
+    if len(steps) and steps.max() < 1 << 24:
+        return b"s" + _low_bytes(values[:1], 5) + _low_bytes(steps, 3)
+    return b"w" + _low_bytes(values, 5)
+
+
+def _unpack(blob: bytes) -> np.ndarray:
+    def read(data, width):
+        out = np.zeros((len(data) // width, 8), np.uint8)
+        out[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
+        return out.view("<u8").ravel()
+
+    if blob[:1] == b"w":
+        return read(blob[1:], 5)
+    return np.cumsum(np.concatenate([read(blob[1:6], 5), read(blob[6:], 3)]), dtype=np.uint64)
+
+
+def _send_values(buckets: int, values_of):
+    def run(batches):
+        held: dict[int, list[np.ndarray]] = {}
+        size = 0
+
+        def flush():
+            for block, parts in held.items():
+                values, counts = np.unique(np.concatenate(parts), return_counts=True)
+                cut = np.searchsorted(values, (np.arange(buckets + 1) * (2.0**COUNT_BITS / buckets)).astype(np.uint64))
+                cut[-1] = len(values)
+                spans = [(k, a, b) for k, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)) if b > a]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k for k, _, _ in spans], pa.int32()), pa.array([block] * len(spans), pa.int32()),
+                     pa.array([_pack(values[a:b]) for _, a, b in spans], pa.binary()), binary_column([np.minimum(counts[a:b], 255).astype(np.uint8) for _, a, b in spans])],
+                    names=["bucket", "block", "packed", "counts"])
+
+        for batch in batches:
+            for block, values in zip(batch.column("block").to_pylist(), values_of(batch.column("text")), strict=True):
+                held.setdefault(block, []).append(values >> _COUNT_SHIFT)
+                size += len(values)
+            if size > 4_000_000:
+                yield from flush()
+                held, size = {}, 0
+        yield from flush()
+
+    return run
+
+
+def _count_bucket(table: pa.Table) -> pa.Table:
+    """Send back the values of the bucket that occur twice or more, with their number."""
+    parts = [_unpack(x) for x in table.column("packed").to_pylist()]
+    values = np.concatenate(parts)
+    counts = np.concatenate([np.frombuffer(x, np.uint8) for x in table.column("counts").to_pylist()]).astype(np.int64)
+    order = np.argsort(values, kind="stable")
+    ordered = values[order]
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    total = np.empty(len(values), np.int64)
+    total[order] = np.repeat(np.add.reduceat(counts[order], first), np.diff(np.append(first, len(values))))
+    rows, at = [], 0
+    for block, part in zip(table.column("block").to_pylist(), parts, strict=True):
+        here = total[at : at + len(part)]
+        at += len(part)
+        if (keep := here > 1).any():
+            rows.append((block, _pack(part[keep]), np.minimum(here[keep], 255).astype(np.uint8).tobytes()))
+    return pa.table({"block": pa.array([r[0] for r in rows], pa.int32()), "packed": pa.array([r[1] for r in rows], pa.binary()), "counts": pa.array([r[2] for r in rows], pa.binary())})
+
+
+def shared_values(blocks: DataFrame, buckets: int, values_of) -> DataFrame:
+    """Per block the hashes of its texts that occur twice or more in all blocks, with their number.
+
+    Every block sends each of its values once to a bucket by value, so a value that
+    all documents have costs a bucket one entry for each block.
+    """
+    sent = blocks.select("block", "text").mapInArrow(_send_values(buckets, values_of), "bucket int, block int, packed binary, counts binary")
+    return sent.groupBy("bucket").applyInArrow(_count_bucket, "block int, packed binary, counts binary")
+
+
+def unpack_shared(shared: pa.Table):
+    """A function from hashes to their numbers (255 at most) in all blocks; 1 for what only one has."""
+    known = np.concatenate([np.zeros(0, np.uint64), *(_unpack(x) for x in shared.column("packed").to_pylist())])
+    count = np.concatenate([np.zeros(0, np.uint8), *(np.frombuffer(x, np.uint8) for x in shared.column("counts").to_pylist())])
+    known, at = np.unique(known, return_index=True)
+    count = np.append(count[at], np.uint8(1))
+    known = np.append(known, np.uint64(2**64 - 1))
+
+    def number(values: np.ndarray) -> np.ndarray:
+        short = values >> _COUNT_SHIFT
+        place = np.searchsorted(known, short)
+        return np.where(known[place] == short, count[place], np.uint8(1))
+
+    return number
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Smallest reachable id of each node of ``edges`` (``a``, ``b`` longs): ``node``, ``label``.
 

@@ -25,8 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import SIMILARITY, binary_column, shingle_hashes, shingle_runs
-from shelfline.session import materialise
+from shelfline.llm.common import SIMILARITY, binary_column, materialise, shingle_hashes, shingle_runs
 
 #: Shingles of one block of items; 16 bytes each travel to every task.
 BLOCK_SHINGLES = 1 << 20

@@ -31,99 +31,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import SIMILARITY, binary_column, components, in_blocks, mix, shingle_hashes, text_bytes
-from shelfline.session import materialise
+from shelfline.llm.common import SIMILARITY, components, in_blocks, materialise, mix, shared_values, shingle_hashes, text_bytes, unpack_shared
 
-#: Bits of the hashes by which shingles are counted; a clash only weakens the order and the bound.
-COUNT_BITS = 40
-_COUNT_SHIFT = np.uint64(64 - COUNT_BITS)
+#: Distinct shingles of all blocks that one bucket should get.
 BUCKET_SHINGLES = 3_000_000
 
-
-def _low_bytes(values: np.ndarray, width: int) -> bytes:
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
-
-
-def _pack(values: np.ndarray) -> bytes:
-    """Sorted values as three-byte steps, or in full where a step is too wide for that."""
-    steps = np.diff(values)
-    if len(steps) and steps.max() < 1 << 24:
-        return b"s" + _low_bytes(values[:1], 5) + _low_bytes(steps, 3)
-    return b"w" + _low_bytes(values, 5)
-
-
-def _unpack(blob: bytes) -> np.ndarray:
-    def read(data, width):
-        out = np.zeros((len(data) // width, 8), np.uint8)
-        out[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
-        return out.view("<u8").ravel()
-
-    if blob[:1] == b"w":
-        return read(blob[1:], 5)
-    return np.cumsum(np.concatenate([read(blob[1:6], 5), read(blob[6:], 3)]), dtype=np.uint64)
-
-
-def _block_shingles(buckets: int):
-    def run(batches):
-        held: dict[int, list[np.ndarray]] = {}
-        size = 0
-
-        def flush():
-            for block, parts in held.items():
-                values, counts = np.unique(np.concatenate(parts), return_counts=True)
-                cut = np.searchsorted(values, np.arange(buckets + 1, dtype=np.float64) * (2.0**COUNT_BITS / buckets))
-                cut[-1] = len(values)
-                spans = [(k, a, b) for k, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k for k, _, _ in spans], pa.int32()), pa.array([block] * len(spans), pa.int32()),
-                     pa.array([_pack(values[a:b]) for _, a, b in spans], pa.binary()), binary_column([np.minimum(counts[a:b], 255).astype(np.uint8) for _, a, b in spans])],
-                    names=["bucket", "block", "shingles", "counts"])
-
-        for batch in batches:
-            for block, values in zip(batch.column("block").to_pylist(), shingle_hashes(batch.column("text")), strict=True):
-                held.setdefault(block, []).append(values >> _COUNT_SHIFT)
-                size += len(values)
-            if size > 4_000_000:
-                yield from flush()
-                held, size = {}, 0
-        yield from flush()
-
-    return run
-
-
-def _count_bucket(table: pa.Table) -> pa.Table:
-    """Send back the shingles of the bucket that two documents or more have, with their number."""
-    parts = [_unpack(x) for x in table.column("shingles").to_pylist()]
-    values = np.concatenate(parts)
-    counts = np.concatenate([np.frombuffer(x, np.uint8) for x in table.column("counts").to_pylist()]).astype(np.int64)
-    order = np.argsort(values, kind="stable")
-    ordered = values[order]
-    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    sums = np.add.reduceat(counts[order], first)
-    total = np.empty(len(values), np.int64)
-    total[order] = np.repeat(sums, np.diff(np.append(first, len(values))))
-    rows, at = [], 0
-    for block, part in zip(table.column("block").to_pylist(), parts, strict=True):
-        here = total[at : at + len(part)]
-        at += len(part)
-        if (keep := here > 1).any():
-            rows.append((block, _pack(part[keep]), np.minimum(here[keep], 255).astype(np.uint8).tobytes()))
-    return pa.table({"block": pa.array([r[0] for r in rows], pa.int32()), "shingles": pa.array([r[1] for r in rows], pa.binary()), "counts": pa.array([r[2] for r in rows], pa.binary())})
-
-
 def _judge_block(similarity: int):
     def run(docs: pa.Table, shared: pa.Table) -> pa.Table:
-        known = np.concatenate([np.zeros(0, np.uint64), *(_unpack(x) for x in shared.column("shingles").to_pylist())])
-        count = np.concatenate([np.zeros(0, np.uint8), *(np.frombuffer(x, np.uint8) for x in shared.column("counts").to_pylist())])
-        known, at = np.unique(known, return_index=True)
-        count = np.append(count[at], 1).astype(np.uint8)
-        known = np.append(known, np.uint64(2**64 - 1))
+        known = unpack_shared(shared)
         out: dict[str, list] = {k: [] for k in ("n", "f1", "f2", "n_shared", "shingles", "counts")}
         for values in shingle_hashes(docs.column("text")):
             n = len(values)
-            short = values >> _COUNT_SHIFT
-            place = np.searchsorted(known, short)
-            df = np.where(known[place] == short, count[place], np.uint8(1))
+            df = known(values)
             n_shared = int((df > 1).sum())
             keep = n > 0 and 100 * n_shared >= similarity * n
             out["n"].append(n)
@@ -142,9 +61,7 @@ def shingle_sets(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """Per document its set size and fingerprint; the set itself only where it may link."""
     total = text_bytes(docs)
     rows, n_blocks = in_blocks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), total)
-    buckets = max(n_blocks, math.ceil(total / 6 / BUCKET_SHINGLES))
-    sent = rows.select("block", "text").mapInArrow(_block_shingles(buckets), "bucket int, block int, shingles binary, counts binary")
-    shared = sent.groupBy("bucket").applyInArrow(_count_bucket, "block int, shingles binary, counts binary")
+    shared = shared_values(rows, max(n_blocks, math.ceil(total / 6 / BUCKET_SHINGLES)), shingle_hashes)
     return rows.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(
         _judge_block(similarity), "doc_id long, n long, f1 long, f2 long, n_shared long, shingles binary, counts binary")
 

@@ -30,8 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import LOWER, mix, prefix_hash, span_hash, utf8_parts, word_spans
-from shelfline.session import materialise
+from shelfline.llm.common import LOWER, materialise, mix, prefix_hash, span_hash, utf8_parts, word_spans
 
 ORDER = 5
 CHUNK_BYTES = 24 << 20

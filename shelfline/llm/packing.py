@@ -26,7 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.session import materialise
+from shelfline.llm.common import materialise
+
 
 SEQUENCE, END_ID = 4096, 2
 TOKENIZER = "word_bpe_49k.json"

@@ -26,7 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.session import materialise
+from shelfline.llm.common import materialise
+
 
 # Names by script and gender: surrogates, and given names that mark a person.
 NAMES = {

@@ -22,8 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import IS_SPACE, LOWER, prefix_hash, span_hash, utf8_parts, word_spans
-from shelfline.session import materialise
+from shelfline.llm.common import IS_SPACE, LOWER, materialise, prefix_hash, span_hash, utf8_parts, word_spans
 
 #: The model is fitted on about this many labelled rows, drawn by hash of the key.
 SAMPLE_ROWS = 6000

@@ -29,8 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import in_blocks, mix, prefix_hash, shared_values, span_hash, text_bytes, unpack_shared, utf8_parts
-from shelfline.session import materialise
+from shelfline.llm.common import in_blocks, materialise, mix, prefix_hash, shared_values, span_hash, text_bytes, unpack_shared, utf8_parts
 
 LENGTH = 200
 
@@ -83,7 +82,7 @@ def _judge(docs: pa.Table, shared: pa.Table) -> pa.Table:
     rows: dict[str, list] = {k: [] for k in ("n_bytes", "sha", "text", "bucket", "block", "place", "first", "last")}
     for _, data, offsets in utf8_parts(docs.column("text")):
         place, bucket, first, last, running = anchors(data, offsets)
-        keep = known(bucket)[0] > 1 if len(bucket) else np.zeros(0, bool)
+        keep = known(bucket) > 1 if len(bucket) else np.zeros(0, bool)
         place, bucket, first, last = place[keep], bucket[keep], first[keep], last[keep]
         block = mix(span_hash(running, first, last + LENGTH) + (place - first).astype(np.uint64)) if len(place) else bucket
         cut = np.searchsorted(place, offsets)

@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.session import materialise
+from shelfline.llm.common import materialise
+
 
 SCALE, TOP, EVERY = 64, 20, 20
 #: Bounds of the fitted sample, the pivots, the rows of an annulus, and a block of queries.

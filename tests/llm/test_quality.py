@@ -33,7 +33,7 @@ def test_held_out_accuracy_and_kept_rows(spark):
 
 def test_sparse_sites_stay_near_the_rate_above(spark):
     docs, marks = labelled(spark)
-    extra = spark.createDataFrame([(5000, "IN THE!! ERRE!! ONTI!! STALE!!", "en", "lone", 1, 1, 1, 1, 1, 1, "", 0.0)], cases.SCHEMA)
+    extra = spark.createDataFrame([(5000, " ".join(["INRE!! THETI!! ERRE!! ONTI!! STALE!!"] * 8), "en", "lone", 1, 1, 1, 1, 1, 1, "", 0.0)], cases.SCHEMA)
     marks = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
     got = {r.doc_id: r for r in classify(docs.union(extra), marks).collect()}
     assert got[5000].path_rate < 0.5 < got[5000].bad
