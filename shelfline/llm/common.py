@@ -69,7 +69,7 @@ def span_hash(running: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return mix((running[end] - running[start]) * _powers(len(running))[1][start])
 
 
-def utf8_parts(column: pa.Array, limit: int = 1 << 20):
+def utf8_parts(column: pa.Array, limit: int = 1 << 18):
     """Yield (first row, bytes, offsets) for runs of rows of about ``limit`` bytes; null counts as empty."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     column = column.fill_null("") if column.null_count else column
@@ -231,7 +231,8 @@ def shared_values(blocks: DataFrame, buckets: int, values_of) -> DataFrame:
     Every block sends each of its values once to a bucket by value, so a value that
     all documents have costs a bucket one entry for each block.
     """
-    sent = blocks.select("block", "text").mapInArrow(_send_values(buckets, values_of), "bucket int, block int, packed binary, counts binary")
+    sent = blocks.mapInArrow(  # all columns, so that both uses of the blocks share one exchange
+        _send_values(buckets, values_of), "bucket int, block int, packed binary, counts binary")
     return sent.groupBy("bucket").applyInArrow(_count_bucket, "block int, packed binary, counts binary")
 
 
