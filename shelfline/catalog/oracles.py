@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from shelfline.catalog.standins import cte
-from shelfline.plans import sales
 
 ORACLES: dict[str, str] = {}
 
@@ -21,71 +20,121 @@ def _totals(names: dict[str, str], coalesce: bool = False) -> str:
     return ", ".join(f"cast({one.format(c=c)} as decimal(28,6)) as {n}" for n, c in names.items())
 
 
-# Marts over sales detail: joins first, then one grouping, as plain SQL says it.
-_PULSE_NAMES = {**{n: f"c.{c}" for n, c in sales.PULSE_CUSTOMER.items()},
-                **{n: f"m.{c}" for n, c in sales.PULSE_MATERIAL.items()}}
-_PULSE_SUMS = {m: "d.cm_{1}_{0}".format(*m.rsplit("_", 1)) for m in sales.PULSE_MEASURES}
+# Marts over sales detail: joins first, then one grouping, as plain SQL says it. All
+# names stand here anew, so that a wrong mapping in the library does not pass.
+_PULSE_NAMES = {
+    "region": "c.zero_region___t", "channel_lv2": "c.zjbjiclv2___t", "sales_center": "c.zjsreigce", "customer_id": "c.zjcust",
+    "maker": "m.zjbevmnc___t", "category": "m.zjcatcd___t", "subcategory_jp": "m.zjsubcatc___t", "subcategory_en": "m.zjsbcatcd___t",
+    "product_type": "m.zjnewprdc___t", "brand": "m.zjejbrand___t", "jan_code": "m.zjancd", "product_code": "m.zjmate",
+    "product_name_jp": "m.zjmate___t", "package": "m.zjpackcd___t", "package_type": "m.zjddctcd___t", "package_size": "m.zjddcscd___t",
+    "rpp_package": "m.zjrpppkg___t", "release_date": "m.zjreldt",
+}
+_PULSE_SUMS = {
+    "bapc_cy": "d.cm_cy_bapc", "bapc_ly": "d.cm_ly_bapc", "nsr_cy": "d.cm_cy_nsr", "nsr_ly": "d.cm_ly_nsr",
+    "cogs_cy": "d.cm_cy_cogs", "cogs_ly": "d.cm_ly_cogs", "gp_cy": "d.cm_cy_gp", "gp_ly": "d.cm_ly_gp",
+}
 _PULSE = f"""select d.calday as calday, {_named(_PULSE_NAMES)}, {_totals(_PULSE_SUMS)}
 from detail d left join customers c on d.zjcustbrg = c.zjcust left join materials m on d.zjmatrial = m.zjmate
 group by d.calday, {', '.join(_PULSE_NAMES.values())}"""
 ORACLES["business_pulse_full"] = cte(*STAR) + _PULSE
 ORACLES["business_pulse"] = cte(*STAR) + _PULSE + " order by " + ", ".join(
-    f"{k} nulls last" for k in sales.PULSE_KEYS) + " limit 50"
+    f"{k} nulls last" for k in ("calday", *_PULSE_NAMES)) + " limit 50"
 ORACLES["pulse_incremental"] = cte(*STAR).rstrip() + """,
-monthly as (select * replace (cast(date_trunc('month', calday) as date) as calday) from detail)
-""" + _PULSE.replace("from detail d", "from monthly d")
+dated as (select * replace (case when zjcustbrg[-1:] = '7' then null else calday end as calday) from detail)
+""" + _PULSE.replace("from detail d", "from dated d")
 
+_X, _Y, _Z = "'X:バジェット対象(飲料製品)'", "'Y:バジェット対象(飲料以外・KO-EAST/FV)'", "'Z:バジェット対象(飲料以外・FVのみ)'"
 _BRANCH = {
-    "ej": """m.zjbudtf[1:1] in ('X', 'Y') and c.zjdfflg[1:1] = '0'
+    "ej": f"""m.zjbudtf in ({_X}, {_Y}) and c.zjdfflg = '0:通常'
  and c.zjdivold2 in ('13', '21', '22', '23', '24', '28', '32', '39') and c.zjddexfl___t = '送信対象'""",
-    "wj": """m.zjbudtf[1:1] = 'X' and c.zjdfflg[1:1] = '0'
+    "wj": f"""m.zjbudtf = {_X} and c.zjdfflg = '0:通常'
  and c.zjdivold2 in ('35', '42') and c.zjddexfl___t = '送信対象'""",
-    "fv": "m.zjbudtf[1:1] in ('X', 'Y', 'Z') and c.zjdfflg[1:1] in ('2', '3')",
+    "fv": f"m.zjbudtf in ({_X}, {_Y}, {_Z}) and c.zjdfflg in ('2: Vending_OCS (223)', '3: 営業本部外')",
 }
-_NARROW = "d.calday, d.year_ind, d.comp_code, d.zjcustbrg, d.zjmatrial, d.cm_cy_nsr, d.cm_ly_nsr"
-_branch_sql = {b: f"select {_NARROW} {JOINED} where {rule}" for b, rule in _BRANCH.items()}
+_branch_sql = {b: f"select d.* {JOINED} where {rule}" for b, rule in _BRANCH.items()}
 for _b, _sql in _branch_sql.items():
     ORACLES[f"sales_branch_{_b}"] = cte(*STAR) + _sql
 ORACLES["sales_filtered_union"] = cte(*STAR) + " union all ".join(_branch_sql.values())
 
-ORACLES["general_report"] = cte(*STAR) + f"""select d.calday, d.zjcustbrg, d.zjmatrial, c.zjdivcd, m.zjancd,
- d.cm_cy_bapc, d.cm_ly_bapc {JOINED}
-where d.calmonth = '1998-06' and m.zjbudtf[1:1] in ('X', 'Y') and c.zjdfflg[1:1] in ('0', '2')
- and c.zjddexfl___t = '送信対象'"""
+ORACLES["general_report"] = cte(*STAR) + f"""select d.*, c.*, m.* {JOINED}
+where d.calmonth = '1998-06' and m.zjbudtf in ({_X}, {_Y})
+ and c.zjdfflg in ('0:通常', '2: Vending_OCS (223)') and c.zjddexfl___t = '送信対象'"""
 
-_ALCOHOL = {**{n: f"d.{c}" for n, c in sales.ALCOHOL_DETAIL.items()},
-            **{n: f"c.{c}" for n, c in sales.ALCOHOL_CUSTOMER.items()},
-            **{n: f"m.{c}" for n, c in sales.ALCOHOL_MATERIAL.items()},
-            **{n: f"d.{c}" for n, c in sales.ALCOHOL_MEASURES.items()}}
+_ALCOHOL_MEASURES = """d.cm_cy_bapc as bapc_cy, d.cm_ly_bapc as bapc_ly, d.cm_cy_nsr as nsr_cy, d.cm_ly_nsr as nsr_ly,
+ d.cm_cy_gp as gp_cy, d.cm_ly_gp as gp_ly, d.cm_cy_cogs as cogs_cy, d.cm_ly_cogs as cogs_ly,
+ d.cm_cy_rb as rpp_rebate_cy, d.cm_ly_rb as rpp_rebate_ly, d.cm_cy_pc as purchase_price_cy, d.cm_ly_pc as purchase_price_ly"""
 _ALCOHOL_WHERE = f"{JOINED} where m.zjcatcd___t = 'ｱﾙｺｰﾙ'"
-ORACLES["alcohol_sales_detail"] = cte(*STAR) + f"select {_named(_ALCOHOL)} {_ALCOHOL_WHERE}"
-ORACLES["alcohol_sales_detail_v2"] = cte(*STAR) + "select " + _named(
-    {n: c for n, c in _ALCOHOL.items() if n not in sales.ALCOHOL_V2_WITHOUT}) + " " + _ALCOHOL_WHERE
-
-_R = ", ".join(sales.ROLLUP_KEYS)
+ORACLES["alcohol_sales_detail"] = cte(*STAR) + f"""select d.calmonth as yearmonth, d.calday as date,
+ c._zero_region as prefecture_code, c._zero_region___t as prefecture_name_en, c.zjsreigp___t as prefecture_name_jp,
+ c.zjdivgcd as sales_region_code, c.zjdivgcd___t as sales_region_name, c.zjdivcd as sales_district_code,
+ c.zjdivcd___t as sales_district_name, c.zjregione as sales_district_name_en, c.zjrgncd as sales_branch_code,
+ c.zjrgncd___t as sales_branch_name, c.zjslsctcd as sales_center_code, c.zjslsctcd___t as sales_center_name,
+ c.zjresidne___t as sales_center_name_english, c.zjsrtanto as sales_person_code, c.zjsrtanto___t as sales_person_name,
+ c.zjchncd as bottler_channel_code, c.zjchncd___t as bottler_channel, c.zjbjiclv1 as channel_lv_1_code,
+ c.zjbjiclv1___t as channel_lv_1, c.zjbjiclv2 as channel_lv_2_code, c.zjbjiclv2___t as channel_lv_2,
+ c.zjbjicl_m as channel_lv_3_code, c.zjbjicl_m___t as channel_lv_3, c.zjdlrc as customer_code,
+ c.zjdlrc___t as customer_name, m.zjejbrand as brand_code, m.zjejbrand___t as brand_name, m.zjdbrdcd___t as brand_name_en,
+ m.zjancd as jan_code, m.zjmatagsp as product_code, m.zjmatagg___t as product_name,
+ m.zjddctcd as ddis_container_type_code, m.zjddctcd___t as ddis_container_type_name,
+ m.zjddcscd as ddid_container_size_code, m.zjddcscd___t as ddid_container_size_name,
+ m.zjpackcd as bottler_package_code, m.zjpackcd___t as bottler_package_name,
+ m.zjddpkcd as ddis_package_code, m.zjddpkcd___t as ddis_package_name, m.zjcatcd as category_code,
+ m.zjcatcd___t as category_name, m.zjsbcatcd as sub_category_code, m.zjsbcatcd___t as sub_category_name,
+ {_ALCOHOL_MEASURES} {_ALCOHOL_WHERE}"""
+ORACLES["alcohol_sales_detail_v2"] = cte(*STAR) + f"""select d.calmonth as yearmonth, d.calday as date,
+ c._zero_region as prefecture_code, c._zero_region___t as prefecture_name_en, c.zjsreigp___t as prefecture_name_jp,
+ c.zjdivgcd as sales_region_code, c.zjdivgcd___t as sales_region_name, c.zjdivcd as sales_district_code,
+ c.zjdivcd___t as sales_district_name, c.zjrgncd as sales_branch_code, c.zjrgncd___t as sales_branch_name,
+ c.zjslsctcd as sales_center_code, c.zjslsctcd___t as sales_center_name, c.zjchncd as bottler_channel_code,
+ c.zjchncd___t as bottler_channel_name, c.zjbjiclv1 as channel_lv_1_code, c.zjbjiclv1___t as channel_lv_1_name,
+ c.zjbjiclv2 as channel_lv_2_code, c.zjbjiclv2___t as channel_lv_2_name, c.zjbjicl_m as channel_lv_3_code,
+ c.zjbjicl_m___t as channel_lv_3_name, c.zjdlrc as customer_code, c.zjdlrc___t as customer_name, m.zjancd as jan_code,
+ m.zjmatagsp as product_code, m.zjmatagg___t as product_name, m.zjejbrand as brand_code, m.zjejbrand___t as brand_name,
+ m.zjcatcd as category_code, m.zjcatcd___t as category_name, m.zjsbcatcd as sub_category_code,
+ m.zjsbcatcd___t as sub_category_name, {_ALCOHOL_MEASURES} {_ALCOHOL_WHERE}"""
+
+_R = """calday, bw_calday_week, calday_prevyear, calday_week_prevyear, zjmatrial, comp_code, zjcustbrg, zj445qatr,
+ zj445week, werks, ww202, plant_t"""
+_ROLLUP_SUMS = {f"cm_{y}_{m}": f"cm_{y}_{m}" for y in ("cy", "ly") for m in (
+    "bapc", "barasu", "nsr", "cogs", "pc", "rb", "gp", "fscom", "logistics_cst", "sal_del_cst", "cen_shp_cst", "cent_fee",
+    "bs_en_fee", "trp_cst", "mp", "jr_opr_cst", "jr_tr_fee")}
 ORACLES["sales_rollup_12key"] = cte("detail") + f"""select {_R}, count(zjmatrial) as num_transactions,
- {_totals({m: m for m in sales.ROLLUP_MEASURES})} from detail where bw_calday_week is not null group by {_R}"""
+ {_totals(_ROLLUP_SUMS)} from detail where bw_calday_week is not null group by {_R}"""
 
-_PLAN_KEYS = {n: f'"{c}"' for n, c in sales.PLAN_KEYS.items()}
-ORACLES["business_plan_rollup"] = cte("plan") + f"""select {_named(_PLAN_KEYS)}, {_totals(sales.PLAN_MEASURES)}
-from plan group by {', '.join(_PLAN_KEYS.values())}"""
+ORACLES["business_plan_rollup"] = cte("plan") + """select "0calday" as calday, zjdate__zjcpdate as compared_date,
+ zjbjiara1 as department_code, zjbjiara2 as district_code, zjbjicl_m as l3_code,
+ cast(sum(zjhansu_p) as decimal(28,6)) as sales_amount, cast(sum(zjbjinsrp) as decimal(28,6)) as actual_sales_price,
+ cast(sum(zjgross_p) as decimal(28,6)) as sales_revenue, cast(sum(zjbjimp_p) as decimal(28,6)) as revenue_limit
+from plan group by "0calday", zjdate__zjcpdate, zjbjiara1, zjbjiara2, zjbjicl_m"""
 
 _DAILY_RULES = (
     _BRANCH["ej"].replace("in ('13'", "in ('', '13'"),
     _BRANCH["wj"],
     _BRANCH["fv"] + " and c.zjddexfl___t = '送信対象' and d.comp_code = '7828'",
 )
+_DAILY_KEYS = {
+    "calday": "bw_calday_week", "calday_prevyear": "calday_week_prevyear", "sales_region_code": "zjdivgcd",
+    "sales_region_name": "zjdivgcd___t", "sales_district_code": "zjdivcd", "sales_district_name": "zjdivcd___t",
+    "sales_branch_code": "zjrgncd", "sales_branch_name": "zjrgncd___t", "channel_l2_code": "zjbjiclv2",
+    "channel_l2_name": "zjbjiclv2___t", "channel_l3_code": "zjbjicl_m", "channel_l3_name": "zjbjicl_m___t",
+}
+_DAILY_SUMS = {
+    "bapc_cy": "cm_cy_bapc", "bapc_ly": "cm_ly_bapc", "bapc_vs_ly": "cm_bapc_vs_ly_diff_cl",
+    "bapc_vs_ly_percentage": "cm_bapc_vs_ly_percent_cl", "gp_bapc": "cm_cy_gp_bapc", "nsr_cy": "cm_cy_nsr",
+    "nsr_ly": "cm_ly_nsr", "nsr_vs_ly": "cm_nsr_vs_ly_diff_cl", "nsr_vs_ly_percentage": "cm_nsr_vs_ly_percent_cl",
+    "gp": "cm_cy_gp", "gp_ly": "cm_ly_gp",
+}
 
 
 def _daily(extra: dict[str, str], days: str = "true") -> str:
-    keys = sales.DAILY_KEYS | extra
-    branch = "select " + _named(keys) + ", " + _totals(sales.DAILY_MEASURES, coalesce=True) + (
-        f" {JOINED} where {days} and {{rule}} group by " + ", ".join(keys.values()))
+    keys = _DAILY_KEYS | extra
+    branch = "select " + _named(keys) + ", " + _totals(_DAILY_SUMS, coalesce=True) + (
+        f" {JOINED} where {days} and d.calmonth = strftime(d.bw_calday_week, '%Y-%m') and {{rule}} group by " + ", ".join(keys.values()))
     return cte(*STAR) + " union all ".join(branch.format(rule=r) for r in _DAILY_RULES)
 
 
 ORACLES["daily_sales"] = _daily({})
-ORACLES["daily_sales_by_sku"] = _daily(sales.SKU_KEY)
+ORACLES["daily_sales_by_sku"] = _daily({"sku_code": "zjancd"})
 ORACLES["daily_sales_mtd"] = _daily({}, "d.bw_calday_week between date '1998-06-01' and date '1998-06-17'")
 
 # Scans.
@@ -273,8 +322,11 @@ from usage_counts group by email"""
 _DEPT = """, dept as (select externalCode as code, parent, customString8 as lcd, customString1 as name_en,
  name_localized as name_jp from departments
  where customString8 is not null and regexp_matches(externalCode, '^[0-9]{10}')),
-chain as (select code as leaf, 0 as depth, code, parent, lcd from dept
- union all select c.leaf, c.depth + 1, d.code, d.parent, d.lcd from chain c join dept d on c.parent = d.code)
+walk as (select code as leaf, 0 as depth, code, parent, lcd, [code] as seen from dept
+ union all select c.leaf, c.depth + 1, d.code, d.parent, d.lcd, list_append(c.seen, d.code)
+  from walk c join dept d on c.parent = d.code where not list_contains(c.seen, d.code)),
+cyclic as (select distinct leaf from walk where list_contains(seen, parent)),
+chain as (select leaf, depth, code, parent, lcd from walk where leaf not in (select leaf from cyclic))
 """
 
 
@@ -294,6 +346,8 @@ from chain c join dept d on c.code = d.code group by c.leaf"""
 ORACLES["org_chain"] = _recursive("departments") + _DEPT + """select leaf, depth, code as SectionCD,
  parent as ParentSectionCD, lcd as LCD from chain"""
 ORACLES["hr_org_levels"] = _recursive("departments") + _DEPT + _HIER
+ORACLES["hr_unplaced"] = _recursive("departments") + _DEPT + """select code as SectionCD, parent as ParentSectionCD,
+ lcd as LCD, name_en as SectionNameEN from dept where code in (select leaf from cyclic)"""
 
 _OUTER = "coalesce(p.personIdExternal, e.personIdExternal)"
 ORACLES["person_email_outer"] = cte("persons", "emails") + f"""select {_OUTER} as personIdExternal, p.nationality,
@@ -333,7 +387,7 @@ ranked as (select *, row_number() over (partition by pid order by emailAddress n
  from people join jobs on pid = userId join dept on department = code
  where emplStatus in ('1987', '1991', '1996'))
 select {', '.join(_hr_column(n, 'r.' + c) for n, c in _PERSON.items())}, {', '.join(_LEVEL_OUT)}
-from ranked r join hier h on r.code = h.identifier where rn = 1"""
+from ranked r left join hier h on r.code = h.identifier where rn = 1"""
 
 # Activity.
 _EVENT = "CreationTime, Id, Operation, Workload, UserId"

@@ -49,40 +49,32 @@ def business_pulse_full(spark, sf):
     return sales.business_pulse(*_star(spark, sf))
 
 
-def _narrow_star(spark, sf):
-    """Detail cut to a handful of columns, to keep the result readable."""
-    detail, customers, materials = _star(spark, sf)
-    names = ("calday", "year_ind", "comp_code", "zjcustbrg", "zjmatrial", "cm_cy_nsr", "cm_ly_nsr")
-    return detail.select(*names), customers, materials
-
-
 @query
 def sales_branch_ej(spark, sf):
-    return sales.sales_branch(*_narrow_star(spark, sf), "ej")
+    return sales.sales_branch(*_star(spark, sf), "ej")
 
 
 @query
 def sales_branch_wj(spark, sf):
-    return sales.sales_branch(*_narrow_star(spark, sf), "wj")
+    return sales.sales_branch(*_star(spark, sf), "wj")
 
 
 @query
 def sales_branch_fv(spark, sf):
-    return sales.sales_branch(*_narrow_star(spark, sf), "fv")
+    return sales.sales_branch(*_star(spark, sf), "fv")
 
 
 @query
 def sales_filtered_union(spark, sf):
-    return sales.sales_union(*_narrow_star(spark, sf))
+    return sales.sales_union(*_star(spark, sf))
 
 
 @query
 def general_report(spark, sf):
     detail, customers, materials = _star(spark, sf)
-    rows_ = report.general_report(
-        detail, customers, materials, month="1998-06", budget_flags=("X", "Y"), data_flags=("0", "2"),
-        sending=report.SENDING)
-    return rows_.select("calday", "zjcustbrg", "zjmatrial", "zjdivcd", "zjancd", "cm_cy_bapc", "cm_ly_bapc")
+    return report.general_report(
+        detail, customers, materials, month="1998-06", budget_flags=(report.BUDGET_DRINKS, report.BUDGET_OTHER),
+        data_flags=(report.DATA_USUAL, report.DATA_VENDING), sending=report.SENDING)
 
 
 @query
@@ -353,6 +345,12 @@ def hr_org_levels(spark, sf):
     return hr.levels(_departments(spark, sf))[0]
 
 
+@query
+def hr_unplaced(spark, sf):
+    """Sections of a cycle or leading into one."""
+    return hr.unplaced(_departments(spark, sf)).select("SectionCD", "ParentSectionCD", "LCD", "SectionNameEN")
+
+
 @query
 def hr_master(spark, sf):
     jobs = readers.active_jobs(table(spark, sf, "jobs")).drop("emplStatus")
@@ -560,9 +558,9 @@ def activity_ingest(spark, sf):
 
 @query
 def pulse_incremental(spark, sf):
-    """Rows arrive in two batches; all days of a month are dated on its first."""
+    """Rows arrive in two batches; those of some customers have no day."""
     detail, customers, materials = _star(spark, sf)
-    detail = detail.withColumn("calday", F.trunc("calday", "month"))
+    detail = detail.withColumn("calday", F.when(~F.col("zjcustbrg").endswith("7"), F.col("calday")))
     wanted = ["calday", "zjcustbrg", "zjmatrial", *[f"cm_{y}_{m}" for m in ("bapc", "nsr", "cogs", "gp")
                                                     for y in ("cy", "ly")]]
     landing, target = work_path(spark, "detail"), work_path(spark, "pulse")

@@ -67,7 +67,7 @@ select substring(cast({_DAY} as string), 1, 4) as calyear,
  substring(cast({_DAY} as string), 1, 7) as calmonth,
  {_DAY} as calday,
  cast(l_shipdate as date) as budat,
- {_DAY} as bw_calday_week,
+ cast({_DAY} + interval '2' day as date) as bw_calday_week,
  case when l_linestatus = 'O' then 'CY' else 'LY' end as year_ind,
  concat('78', lpad(cast(l_suppkey % 100 as string), 2, '0')) as comp_code,
  cast(o_custkey as string) as zjcustbrg,
@@ -101,7 +101,8 @@ select cast(c_custkey as string) as zjcust, r_name as zero_region___t,
  concat('M', cast(c_custkey % 5 as string)) as zjbjicl_m,
  concat('Channel ', cast(c_custkey % 5 as string)) as zjbjicl_m___t,
  n_name as zjsreigce, {_BOTTLER} as zjdivold2,
- case c_custkey % 3 when 0 then '0:通常' when 1 then '2: Vending' else '3: 営業本部外' end as zjdfflg,
+ case when c_custkey % 13 = 0 then concat(cast(c_custkey % 3 as string), ': other label')
+  else case c_custkey % 3 when 0 then '0:通常' when 1 then '2: Vending_OCS (223)' else '3: 営業本部外' end end as zjdfflg,
  case when c_custkey % 7 = 0 then '対象外' else '送信対象' end as zjddexfl___t,
  concat('G', cast(r_regionkey as string)) as zjdivgcd, r_name as zjdivgcd___t,
  concat('D', cast(n_nationkey as string)) as zjdivcd, n_name as zjdivcd___t,
@@ -144,8 +145,9 @@ select cast(p_partkey as string) as zjmate, p_name as zjmate___t,
  substring(p_type, 1, 1) as zjsbcatcd, concat(p_type, ' sub') as zjsbcatcd___t,
  concat(p_type, ' 小') as zjsubcatc___t,
  cast(p_partkey as string) as zjmatagsp, p_name as zjmatagg___t,
- case p_size % 4 when 0 then 'X:飲料製品' when 1 then 'Y:飲料以外' when 2 then 'Z:その他' else 'N:対象外' end
-  as zjbudtf
+ case when p_size % 11 = 0 then 'X:other label'
+  else case p_size % 4 when 0 then 'X:バジェット対象(飲料製品)' when 1 then 'Y:バジェット対象(飲料以外・KO-EAST/FV)'
+   when 2 then 'Z:バジェット対象(飲料以外・FVのみ)' else 'N:対象外' end end as zjbudtf
 from {part} p
 """
 
@@ -278,7 +280,9 @@ from {events} e group by user_id, cast(ts as date)
 """
 
 # Organisation: a tree of eight children per node over the customer keys. Some
-# sections have no level, some an old code; both are dropped before the climb.
+# sections have no level, some an old code; both are dropped before the climb. The
+# nations add a chain deeper than any tree of levels, whose lower half has a level
+# that is not listed, and the regions a cycle with three sections leading into it.
 _LEVEL = "case {d} " + " ".join(
     f"when {i} then '{lv}'" for i, lv in enumerate(
         ("L0", "L1", "L2", "L2.5", "L3", "L4-1", "L4-2", "L4-3", "L4-4", "L5-1", "L5-2", "L6"))) + " end"
@@ -294,6 +298,21 @@ select case when c_custkey % 2 = 0 then concat('部', c_mktsegment) else concat(
  concat('Section ', cast(c_custkey as string)) as customString1,
  case when c_custkey > 0 and c_custkey % 97 = 0 then null else {_LEVEL.format(d=_DEPTH)} end as customString8
 from {{customer}} c
+union all
+select concat('深', cast(n_nationkey as string)), case when n_nationkey = 0 then null
+  else concat('90000000', lpad(cast(n_nationkey - 1 as string), 2, '0')) end,
+ concat('90000000', lpad(cast(n_nationkey as string), 2, '0')), 'x', n_name, concat('Deep ', cast(n_nationkey as string)),
+ case when n_nationkey = 0 then 'L0' when n_nationkey = 1 then 'L1' else 'L7' end from {{nation}} n
+union all
+select concat('輪', cast(r_regionkey as string)), concat('910000000', cast((r_regionkey + 1) % 5 as string)),
+ concat('910000000', cast(r_regionkey as string)), 'x', r_name, concat('Loop ', cast(r_regionkey as string)), 'L3'
+from {{region}} r
+union all
+select '端', case when n_nationkey = 0 then '9100000000' else concat('920000000', cast(n_nationkey - 1 as string)) end,
+ concat('920000000', cast(n_nationkey as string)), 'x', n_name, concat('Tail ', cast(n_nationkey as string)), 'L4-1'
+from {{nation}} n where n_nationkey < 3
+union all
+select '独', null, '9300000000', 'x', r_name, 'Alone', 'L7' from {{region}} r where r_regionkey = 0
 """
 SQL["persons"] = """
 select cast(c_custkey as string) as personIdExternal, '2020-01-01' as startDate, '9999-12-31' as endDate,
@@ -313,7 +332,10 @@ from {customer} c where c_mktsegment <> 'BUILDING'
 SQL["jobs"] = """
 select cast(o_custkey as string) as userId, cast(cast(floor(o_custkey / 8) as bigint) as string) as managerId,
  'C1' as company, concat('J', cast(o_orderkey % 40 as string)) as jobCode,
- lpad(cast(cast(floor(o_orderkey / 10) as bigint) as string), 10, '0') as department,
+ case when o_orderkey % 50 = 7 then concat('90000000', lpad(cast(o_orderkey % 25 as string), 2, '0'))
+  when o_orderkey % 50 = 9 then concat('910000000', cast(o_orderkey % 5 as string))
+  when o_orderkey % 50 = 11 then '9300000000'
+  else lpad(cast(cast(floor(o_orderkey / 10) as bigint) as string), 10, '0') end as department,
  concat('Title ', cast(o_orderkey % 40 as string)) as jobTitle,
  concat('役', cast(o_orderkey % 40 as string)) as customString2,
  case when o_orderkey % 4 = 0 then null else 'Common' end as customString25, '共通' as customString24,
@@ -368,17 +390,8 @@ from {_LINES} l join {{orders}} o on l_orderkey = o_orderkey
 
 
 def read_base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A star-schema table.
-
-    The line table may arrive as one file of one row group, which Spark cannot
-    split. It is dealt out only if its scan has fewer splits than the session
-    has cores; a table of many files is read as it lies.
-    """
-    df = spark.read.schema(BASE[name]).parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name == "lineitem" and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    """A star-schema table, read as it lies."""
+    return spark.read.schema(BASE[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -155,11 +155,6 @@ def recode(col: Column | str, mapping: Mapping[str, str]) -> Column:
     return c if out is None else out.otherwise(c)
 
 
-def code_of(col: Column | str) -> Column:
-    """The code in front of the colon of a ``code:label`` value."""
-    return F.substring_index(F.col(col) if isinstance(col, str) else col, ":", 1)
-
-
 def leading_digit_codes(df: DataFrame, code: str, level: str) -> DataFrame:
     """Rows with a level and a code that starts with ten digits."""
     return df.where(F.col(level).isNotNull() & F.col(code).rlike("^[0-9]{10}"))

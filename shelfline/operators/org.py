@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, DataFrameReader
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.session import materialise, work_path
@@ -23,52 +23,53 @@ def level_column(level: str) -> str:
 class Climb:
     """``chain``: one row per section and ancestor, depth 0 being the section.
 
-    ``unfinished``: sections whose climb was still going at the depth cap, that
-    is, members of a cycle or of a tree deeper than the cap.
+    ``cyclic``: ``leaf`` of the sections that are part of a cycle or lead into
+    one. They have no place in the tree and no rows in the chain.
     """
 
     chain: DataFrame
-    unfinished: DataFrame
+    cyclic: DataFrame
 
 
-def climb(
-    tree: DataFrame,
-    node: str,
-    parent: str,
-    carry: Sequence[str] = (),
-    *,
-    max_depth: int = 16,
-) -> Climb:
-    """Follow parent pointers from every node until no parent is found.
+def climb(tree: DataFrame, node: str, parent: str, carry: Sequence[str] = ()) -> Climb:
+    """Follow parent pointers from every node until no parent is found, however deep.
 
     Each level is one equi-join of the open rows with the tree, written below
-    one folder; the climb ends at the first empty level. Rows without a parent
-    leave before the join, so nulls never form a hot key, and a parent shared
-    by many nodes is a probe-side skew that AQE splits (or a broadcast).
+    one folder; the climb ends at the first empty level. A section that meets
+    itself is part of a cycle, and rows that stand on such a section climb no
+    further, so every cycle ends the climb after its own length. Rows without a
+    parent leave before the join, so nulls never form a hot key, and a parent
+    shared by many nodes is a probe-side skew that AQE splits (or a broadcast).
     """
     base = work_path(tree.sparkSession, "climb")
     columns = [node, parent, *carry]
     first = materialise(tree.select(F.col(node).alias("leaf"), F.lit(0).alias("depth"), *columns), "tree")
     steps = first.select(*[F.col(c).alias(f"_t_{c}") for c in columns])
     stored = tree.sparkSession.read.schema(first.schema)
-    level, found = first, []
-    for depth in range(1, max_depth + 1):
-        path = f"{base}/depth-{depth:03d}"
+    looped = first.select(F.col("leaf").alias("_loop")).limit(0)
+    level, found, loops, depth = first, [], False, 0
+    while True:
+        depth += 1
+        path = f"{base}/depth-{depth:05d}"
         (level.where(F.col(parent).isNotNull())
          .join(steps, F.col(parent) == F.col(f"_t_{node}"), "inner")
          .select("leaf", F.lit(depth).alias("depth"), *[F.col(f"_t_{c}").alias(c) for c in columns])
          .write.parquet(path))
-        reached = stored.parquet(path)
-        if reached.isEmpty():
-            return Climb(_chain(first, stored, found), first.select("leaf").limit(0))
+        level = stored.parquet(path)
+        rows, met = level.agg(F.count(F.lit(1)), F.count_if(F.col(node) == F.col("leaf"))).first()
+        if not rows:
+            break
         found.append(path)
-        level = reached
-    going = level.join(steps, F.col(parent) == F.col(f"_t_{node}"), "left_semi")
-    return Climb(_chain(first, stored, found), going.select("leaf").distinct())
-
-
-def _chain(first: DataFrame, stored: DataFrameReader, paths: Sequence[str]) -> DataFrame:
-    return first.unionByName(stored.parquet(*paths)) if paths else first
+        if met:
+            members = level.where(F.col(node) == F.col("leaf")).select(F.col("leaf").alias("_loop")).distinct()
+            looped, loops = materialise(looped.unionByName(members).distinct(), "loops"), True
+        if loops:
+            level = level.join(looped, F.col(node) == F.col("_loop"), "left_anti")
+    chain = first.unionByName(stored.parquet(*found)) if found else first
+    if not loops:
+        return Climb(chain, first.select("leaf").limit(0))
+    cyclic = materialise(chain.join(looped, F.col(node) == F.col("_loop"), "left_semi").select("leaf").distinct(), "cyclic")
+    return Climb(chain.join(cyclic, "leaf", "left_anti"), cyclic)
 
 
 def level_columns(chain: DataFrame, names: DataFrame, levels: Sequence[str] = LEVELS) -> DataFrame:
@@ -76,10 +77,11 @@ def level_columns(chain: DataFrame, names: DataFrame, levels: Sequence[str] = LE
 
     ``chain`` needs ``leaf, depth, code, level``; ``names`` needs ``code,
     name_en, name_jp``. Where a level occurs twice in a chain the nearer one
-    counts. The level list is fixed, so the pivot needs no pass to find it.
+    counts. A leaf without any listed level has a row of nulls. The level list is
+    fixed, so the pivot needs no pass to find it.
     """
     spellings = {lv: level_column(lv) for lv in levels}
-    placed = chain.where(F.col("level").isin(*levels)).join(names, "code", "left")
+    placed = chain.join(names, "code", "left")
     entry = F.struct("depth", "code", "name_en", "name_jp")
     wide = placed.groupBy("leaf").pivot("level", list(levels)).agg(F.min(entry))
     columns = []

@@ -26,6 +26,7 @@ MASTER_NAMES = {
     "customString24": "JobTitleCommonJP", "name_localized": "SectionNameJP",
     "SectionCD": "SectionCD", "SectionNameEN": "SectionNameEN", "LCD": "LCode",
 }
+# Levels whose names are blanked where they are only a label.
 CLEANED_LEVELS = ("0", "1", "2", "2_5", "3", "4_1", "4_2", "4_3", "4_4")
 LEVEL_LABEL = r"\w+[0-9]{1}"
 EMPTY = " "
@@ -37,28 +38,33 @@ def departments(raw: DataFrame) -> DataFrame:
     return leading_digit_codes(named, "SectionCD", "LCD")
 
 
-def levels(dept: DataFrame, *, max_depth: int = 16) -> tuple[DataFrame, Climb]:
+def levels(dept: DataFrame) -> tuple[DataFrame, Climb]:
     """One row per section with its ancestors placed in level columns, and the climb."""
-    climbed = climb(dept, "SectionCD", "ParentSectionCD", ["LCD"], max_depth=max_depth)
+    climbed = climb(dept, "SectionCD", "ParentSectionCD", ["LCD"])
     names = keep_first(
         dept.select(F.col("SectionCD").alias("code"), F.col("SectionNameEN").alias("name_en"),
                     F.col("name_localized").alias("name_jp")),
         "code", ["name_en", "name_jp"])
     chain = climbed.chain.select("leaf", "depth", F.col("SectionCD").alias("code"), F.col("LCD").alias("level"))
-    finished = chain.join(climbed.unfinished, "leaf", "left_anti")
-    return level_columns(finished, names), climbed
+    return level_columns(chain, names), climbed
 
 
-def hr_master(person: DataFrame, email: DataFrame, job: DataFrame, dept: DataFrame,
-              *, max_depth: int = 16) -> DataFrame:
+def unplaced(dept: DataFrame) -> DataFrame:
+    """The sections that a cycle keeps out of the tree, for the report table."""
+    cyclic = climb(dept, "SectionCD", "ParentSectionCD").cyclic
+    return dept.join(cyclic, F.col("SectionCD") == F.col("leaf"), "left_semi")
+
+
+def hr_master(person: DataFrame, email: DataFrame, job: DataFrame, dept: DataFrame) -> DataFrame:
     """One row per person with an active job in a current department.
 
     ``dept`` is the output of :func:`departments`. Of several jobs or e-mails of a
-    person the first by (e-mail, job, section) columns is kept.
+    person the first by (e-mail, job, section) columns is kept. A section without a
+    place in the tree leaves its people with blank levels.
     """
     # Written once each: read several times below, and then of known size to Spark.
     dept = materialise(dept, "departments")
-    placed = materialise(levels(dept, max_depth=max_depth)[0], "levels")
+    placed = materialise(levels(dept)[0], "levels")
     section = dept.drop("ParentSectionCD", "cust_string17", "SectionNameJP")
     people = full_outer(person.drop("startDate", "endDate", "challengeStatus"), email, "personIdExternal")
     joined = (
@@ -67,7 +73,7 @@ def hr_master(person: DataFrame, email: DataFrame, job: DataFrame, dept: DataFra
     )
     ties = ["emailAddress", "department", "jobCode", "managerId"]
     first = keep_first(joined, "personIdExternal", ties)
-    master = first.join(placed, F.col("SectionCD") == F.col("identifier"), "inner")
+    master = first.join(placed, F.col("SectionCD") == F.col("identifier"), "left")
     levelled = [c for c in placed.columns if c != "identifier"]
     named = master.select(*[F.col(c).alias(n) for c, n in MASTER_NAMES.items()], *levelled)
     cleaned = blank_matching(named, [f"L{n}NameJP" for n in CLEANED_LEVELS], LEVEL_LABEL)

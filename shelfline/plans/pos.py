@@ -9,11 +9,16 @@ from pyspark.sql import functions as F
 
 from shelfline.functions.clean import year_week_text
 from shelfline.operators.joins import measured
+from shelfline.session import materialise
 
 
 def weekly_with_periods(weekly: DataFrame, periods: DataFrame) -> DataFrame:
-    """Weekly rows whose company and period are listed for the whole company."""
-    listed, = measured(periods.where(F.col("store_code").isNull()).select("company_code", "period"))
+    """Weekly rows whose company and period are listed for the whole company.
+
+    The list is written once: it may be derived from a fact, which would be read
+    again to measure it and again to join it.
+    """
+    listed, = measured(materialise(periods.where(F.col("store_code").isNull()).select("company_code", "period"), "periods"))
     return weekly.join(listed, ["company_code", "period"], "inner").select(*weekly.columns)
 
 

@@ -294,7 +294,7 @@ personIdExternal startDate endDate nationality gender customString5 customString
 lastName middleName firstName maritalStatus challengeStatus
 """))
 HR_JOB = _ddl(_same("string", """
-userId managerId company jobCode department jobTitle customString2 customString25 customString24
+userId managerId company jobCode department jobTitle customString2 customString25 customString24 emplStatus
 """))
 HR_EMAIL = _ddl("personIdExternal string, emailAddress string")
 def hr_page(entity: T.StructType) -> T.StructType:

@@ -27,6 +27,11 @@ class LoadResult:
     last: dt.date | None = None
 
 
+def first_line(error: Exception) -> str:
+    """The first line of the error's text, or its kind where it has none."""
+    return next(iter(str(error).splitlines()), "") or type(error).__name__
+
+
 @dataclass
 class JobRuns:
     """The ``job_runs`` table: one row per run, success or failure."""
@@ -41,7 +46,7 @@ class JobRuns:
         try:
             result = load()
         except Exception as error:
-            self._append(job, started, processed, None, FAILURE, str(error).splitlines()[0])
+            self._append(job, started, processed, None, FAILURE, first_line(error))
             raise
         self._append(job, started, processed, result, SUCCESS, None)
         return result

@@ -9,6 +9,7 @@ are idempotent: a rerun gives the same table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -26,26 +27,37 @@ Transform = Callable[[DataFrame], DataFrame] | None
 
 
 def _stage(df: DataFrame, target: str, *, transform: Transform, schema: T.StructType | None,
-           max_rows: int | None, outside: Column | None = None) -> tuple[DataFrame, int]:
+           max_rows: int | None, outside: Column | None = None) -> tuple[DataFrame, int, str]:
     """Write the input beside the target, check it, and hand back the written rows.
 
-    The staging folder is the same on every run, so leftovers never pile up.
+    Every run has a staging folder of its own, so that two runs on one target do
+    not meet; :func:`_unstage` removes it after the load, refused or not.
     """
     df = apply_transform(df, transform)
     if schema is not None:
         require_columns(df, schema)
         df = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-    staging = target.rstrip("/") + "__staging"
+    staging = f"{target.rstrip('/')}__staging/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(staging)
     staged = df.sparkSession.read.schema(df.schema).parquet(staging)
     # Counting written Parquet reads footers, or the one column of the slice test.
     strays = F.lit(False) if outside is None else outside
     rows, stray_rows = staged.agg(F.count(F.lit(1)), F.count_if(strays)).first()
-    require_rows(rows)
-    require_at_most(rows, max_rows)
-    if stray_rows:
-        raise GuardError(f"{stray_rows} rows lie outside the slice")
-    return staged, rows
+    try:
+        require_rows(rows)
+        require_at_most(rows, max_rows)
+        if stray_rows:
+            raise GuardError(f"{stray_rows} rows lie outside the slice")
+    except GuardError:
+        _unstage(df.sparkSession, staging)
+        raise
+    return staged, rows, staging
+
+
+def _unstage(spark: SparkSession, staging: str) -> None:
+    """Remove the staging folder of one run, by the file system it lies in."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(staging)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def lay_out(df: DataFrame, day: str | None, sort_keys: Sequence[str]) -> DataFrame:
@@ -72,9 +84,14 @@ def _write(df: DataFrame, target: str, mode: str, day: str | None, sort_keys: Se
 def full_refresh(df: DataFrame, target: str, *, day: str | None = None, sort_keys: Sequence[str] = (),
                  transform: Transform = None, schema: T.StructType | None = None,
                  max_rows: int | None = None) -> LoadResult:
-    """Replace the whole table."""
-    staged, rows = _stage(df, target, transform=transform, schema=schema, max_rows=max_rows)
+    """Replace the whole table.
+
+    Spark deletes the old files before it writes the new ones: a failure of that
+    last write leaves the staged rows, from which the load can be repeated.
+    """
+    staged, rows, staging = _stage(df, target, transform=transform, schema=schema, max_rows=max_rows)
     _write(staged, target, "overwrite", day, sort_keys)
+    _unstage(df.sparkSession, staging)
     return LoadResult(target, rows, True)
 
 
@@ -82,8 +99,9 @@ def append(df: DataFrame, target: str, *, day: str | None = None, sort_keys: Seq
            transform: Transform = None, schema: T.StructType | None = None,
            max_rows: int | None = None) -> LoadResult:
     """Add rows; a rerun adds them again."""
-    staged, rows = _stage(df, target, transform=transform, schema=schema, max_rows=max_rows)
+    staged, rows, staging = _stage(df, target, transform=transform, schema=schema, max_rows=max_rows)
     _write(staged, target, "append", day, sort_keys)
+    _unstage(df.sparkSession, staging)
     return LoadResult(target, rows, False)
 
 
@@ -97,12 +115,13 @@ def reload_range(df: DataFrame, target: str, day: str, window: Window, *, sort_k
     too; there are at most as many of those as the window has days.
     """
     outside = ~F.col(day).between(F.lit(window.first), F.lit(window.last)) | F.col(day).isNull()
-    staged, rows = _stage(df, target, transform=transform, schema=schema, max_rows=max_rows, outside=outside)
+    staged, rows, staging = _stage(df, target, transform=transform, schema=schema, max_rows=max_rows, outside=outside)
     filled = {r[0] for r in staged.select(day).distinct().collect()}
     _write(staged, target, "overwrite", day, sort_keys, dynamic=True)
     nothing = staged.drop(day).limit(0)
     for stale in sorted(_stored_days(staged.sparkSession, target, day, window) - filled):
         nothing.write.mode("overwrite").parquet(f"{target.rstrip('/')}/{day}={stale.isoformat()}")
+    _unstage(df.sparkSession, staging)
     return LoadResult(target, rows, False, window.first, window.last)
 
 

@@ -9,11 +9,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline.functions.dates import Window
+from shelfline.operators.rows import with_row_number
+from shelfline.sinks.guards import GuardError
 
 
 def read_source(
@@ -63,8 +66,17 @@ def read_jdbc(
 
 def query_scan(spark: SparkSession, text: str, params: Mapping[str, object] | None = None,
                **tables: DataFrame) -> DataFrame:
-    """Run SQL text with ``:named`` parameters over the given frames as ``{tables}``."""
-    return spark.sql(text, args=dict(params or {}), **tables)
+    """Run SQL text with ``:named`` parameters over the given frames as ``{tables}``.
+
+    Readers cannot write: a text that is anything but a query is refused. Spark
+    runs a command while it plans it, so the text is tried as a subquery first,
+    where its grammar allows queries only.
+    """
+    body = text.strip().rstrip(";")
+    try:
+        return spark.sql(f"select * from (\n{body}\n) as _query", args=dict(params or {}), **tables)
+    except ParseException as error:
+        raise GuardError("only a query may be read") from error
 
 
 def slice_days(df: DataFrame, column: str, window: Window) -> DataFrame:
@@ -96,8 +108,12 @@ def active_jobs(df: DataFrame, column: str = "emplStatus") -> DataFrame:
 
 
 def sample(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
-    """The first ``n`` rows of a stated order (each task keeps at most ``n``)."""
-    return df.orderBy(*order_by).limit(n)
+    """The first ``n`` rows of a stated order.
+
+    Rows are numbered by a range sort: a sorted limit would send ``n`` rows of
+    every task to a single one.
+    """
+    return with_row_number(df, order_by, "_number").where(F.col("_number") < n).drop("_number")
 
 
 def read_csv_files(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,

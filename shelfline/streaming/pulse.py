@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from shelfline.plans.sales import business_pulse
+from shelfline.plans.sales import business_pulse, on_days
 from shelfline.sinks.loads import lay_out
 
 
@@ -16,11 +15,11 @@ def refresh_days(days: DataFrame, detail: DataFrame, customers: DataFrame, mater
                  target: str) -> None:
     """Recompute the pulse of the given days and replace just those days.
 
-    The days (one row per touched day) are broadcast as a semi-join, which also
-    prunes the day partitions of ``detail`` at run time. Replacing whole days
-    makes a repeated batch harmless.
+    ``days`` has one row per touched day, null for rows without a day. The days
+    become literals of the scan's filter, so only their partitions are read.
+    Replacing whole days makes a repeated batch harmless.
     """
-    touched = detail.join(F.broadcast(days), "calday", "left_semi")
+    touched = detail.where(on_days("calday", [r[0] for r in days.collect()]))
     pulse = business_pulse(touched, customers, materials)
     (lay_out(pulse, "calday", ("customer_id", "product_code"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -36,7 +35,7 @@ def pulse_incremental(new_rows: DataFrame, read_detail: Callable[[SparkSession],
     since the last batch are seen.
     """
     def refresh(batch: DataFrame, _: int) -> None:
-        days = batch.select("calday").where(F.col("calday").isNotNull()).distinct()
+        days = batch.select("calday").distinct()
         refresh_days(days, read_detail(batch.sparkSession), customers, materials, target)
 
     return (

@@ -87,12 +87,12 @@ def test_climb_reports_cycles(spark):
     tree = spark.createDataFrame(
         [("r", None, "L0", "R", "r"), ("a", "r", "L1", "A", "a"), ("b", "a", "L2.5", "B", "b"),
          ("x", "y", "L1", "X", "x"), ("y", "x", "L2", "Y", "y"), ("o", "gone", "L2", "O", "o")], TREE)
-    climbed = org.climb(tree, "SectionCD", "ParentSectionCD", ["LCD"], max_depth=5)
+    climbed = org.climb(tree, "SectionCD", "ParentSectionCD", ["LCD"])
     chain = {(r.leaf, r.depth): r.SectionCD for r in climbed.chain.collect()}
     assert chain[("b", 1)] == "a" and chain[("b", 2)] == "r" and ("b", 3) not in chain
     assert ("o", 1) not in chain
-    assert {r.leaf for r in climbed.unfinished.collect()} == {"x", "y"}
-    placed, _ = hr.levels(tree, max_depth=5)
+    assert {r.leaf for r in climbed.cyclic.collect()} == {"x", "y"}
+    placed, _ = hr.levels(tree)
     by_leaf = {r.identifier: r for r in placed.collect()}
     assert set(by_leaf) == {"r", "a", "b", "o"}
     assert (by_leaf["b"].L0Code, by_leaf["b"].L1NameEN, by_leaf["b"].L2_5NameJP) == ("r", "A", "b")
@@ -100,11 +100,21 @@ def test_climb_reports_cycles(spark):
     assert len(placed.columns) == 37
 
 
+def test_climb_has_no_depth_limit(spark):
+    rows = [(f"s{k:02d}", f"s{k - 1:02d}" if k else None, "L0" if k == 0 else "L7", "N", "n") for k in range(21)]
+    loop = [("p", "q", "L1", "P", "p"), ("q", "r", "L1", "Q", "q"), ("r", "q", "L1", "R", "r"), ("t", "p", "L2", "T", "t"), ("only", None, "L7", "O", "o")]
+    placed, climbed = hr.levels(spark.createDataFrame(rows + loop, TREE))
+    by_leaf = {r.identifier: r.L0Code for r in placed.collect()}
+    assert {k: v for k, v in by_leaf.items() if k != "only"} == {f"s{k:02d}": "s00" for k in range(21)}
+    assert by_leaf["only"] is None
+    assert {r.leaf for r in climbed.cyclic.collect()} == {"p", "q", "r", "t"}
+
+
 def test_nearer_section_wins_a_level(spark):
     tree = spark.createDataFrame([("r", None, "L0", "R", "r"), ("a", "r", "L1", "A", "a"), ("b", "a", "L1", "B", "b")], TREE)
     placed, climbed = hr.levels(tree)
     assert {r.identifier: r.L1Code for r in placed.collect()} == {"r": None, "a": "a", "b": "b"}
-    assert climbed.unfinished.isEmpty()
+    assert climbed.cyclic.isEmpty()
 
 
 def test_null_key_master_is_no_partner(spark):

@@ -50,6 +50,34 @@ def test_slices_prune_partitions(spark, folder):
     assert [r.v for r in cut.collect()] == [2]
 
 
+def test_report_days_prune_partitions(spark, folder):
+    detail, customers, materials = (table(spark, SF_DIR, n) for n in ("detail", "customers", "materials"))
+    detail.where("calmonth in ('1998-05', '1998-06')").repartition("calday").write.partitionBy("calday").parquet(folder("d"))
+    stored = spark.read.parquet(folder("d"))
+    day = dt.date(1998, 6, 17)
+    text = plan(sales.daily_sales(stored, customers, materials, first=day, last=day, ordered=False))
+    assert re.search(r"PartitionFilters: \[[^]]*calday#\d+ >= 1998-06-01", text) and re.search(r"calday#\d+ <= 1998-06-30", text)
+    days = [r[0] for r in stored.select("calday").distinct().orderBy("calday").limit(2).collect()]
+    text = plan(stored.where(sales.on_days("calday", days)))
+    assert re.search(rf"PartitionFilters: \[[^]]*calday#\d+ IN \({days[0]},{days[1]}\)", text) or re.search(rf"PartitionFilters: \[[^]]*>= {days[0]}", text)
+    text = plan(sales.business_pulse(stored, customers, materials, limit=3))
+    assert re.search(r"PartitionFilters: \[[^]]*calday#\d+ >= \d", text)
+
+
+def test_sample_has_no_sorted_limit(spark):
+    text = plan(readers.sample(table(spark, SF_DIR, "detail").select("calday", "zjcustbrg"), 100, ["calday", "zjcustbrg"]))
+    assert "TakeOrdered" not in text and "RoundRobin" not in text
+
+
+def test_readers_refuse_commands(spark, folder):
+    from shelfline.sinks.guards import GuardError
+
+    for text in ("drop table x", "create table y as select 1", f"insert overwrite directory '{folder('z')}' using parquet select 1", "select 1) as _q; drop table x"):
+        with pytest.raises(GuardError):
+            readers.query_scan(spark, text)
+    assert readers.query_scan(spark, "with a as (select :n as n) select n from a;", {"n": 3}).first().n == 3
+
+
 def test_filters_reach_the_scan(spark):
     lines = readers.read_source(spark, f"{SF_DIR}/lineitem.parquet", columns=["l_suppkey"])
     text = plan(lines.where(F.col("l_suppkey") == 3))

@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry_point
+from shelfline.catalog.oracles import ORACLES as SQL
+from shelfline.catalog.queries import QUERIES
 from tests.oracle import connect, differences
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,7 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(SQL) <= set(entry_point.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
