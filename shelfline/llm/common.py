@@ -87,10 +87,10 @@ def utf8_parts(column: pa.Array, limit: int = 1 << 18):
         first = last
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of each word ``[^\\x20\\x09-\\x0D]+``; words do not cross rows."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of each word ``[^\\x20\\x09-\\x0D]+`` (or as ``breaks`` says); words do not cross rows."""
     inside = np.zeros(len(data) + 2, bool)
-    inside[1:-1] = ~IS_SPACE[data]
+    inside[1:-1] = ~breaks[data]
     edge = inside[1:] != inside[:-1]
     starts, ends = np.flatnonzero(edge & inside[1:]), np.flatnonzero(edge & inside[:-1])
     # A row that begins inside a word splits it.

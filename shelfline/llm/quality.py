@@ -1,7 +1,7 @@
 """Quality classifier with hierarchical empirical Bayes over sites.
 
-A document's own evidence is the log odds of a logistic model over word presence
-and coarse shape features, fitted on a bounded sample of labelled rows. A row is
+A document's own evidence is the log odds of a logistic model over the presence of
+words (runs of letters) and coarse shape features, fitted on a bounded sample of labelled rows. A row is
 bad if its label says low quality or toxic. The evidence of all documents is then
 summed by host and by path within the host. A host's rate of bad documents is
 shrunk towards the global rate and a path's rate towards its host's; the strength
@@ -40,6 +40,8 @@ _UPPER = np.zeros(256, bool)
 _UPPER[65:91] = True
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in ".,'-"]] = True
+_NO_LETTER = np.ones(256, bool)
+_NO_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = False
 _DIGIT = np.zeros(256, bool)
 _DIGIT[48:58] = True
 
@@ -48,7 +50,7 @@ def features(column: pa.Array):
     """Yield (first row, row count, row of feature, feature) for runs of rows."""
     for first, raw, offsets in utf8_parts(column):
         n = len(offsets) - 1
-        start, end, row = word_spans(raw, offsets)
+        start, end, row = word_spans(raw, offsets, _NO_LETTER)
         word = (span_hash(prefix_hash(LOWER[raw]), start, end) >> np.uint64(64 - WORD_BITS)).astype(np.int64)
         keys, times = np.unique((row.astype(np.int64) << WORD_BITS) | word, return_counts=True)
         rows, words = keys >> WORD_BITS, keys & ((1 << WORD_BITS) - 1)
