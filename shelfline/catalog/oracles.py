@@ -433,6 +433,21 @@ select cast(n // 10000 as bigint) as part, cast(count(*) over (partition by n //
 ORACLES["csv_round_trip"] = cte("pos_goods") + """select sku, large_manufacturer, middle_category, large_pkg,
  cast(quantity as decimal(18,4)) as quantity from pos_goods"""
 
+ORACLES["people_pages"] = cte("persons") + "select * from persons"
+ORACLES["usage_load"] = cte("usage_counts") + """select email, cast(null as date) as day_of_usage,
+ cast(sum(n) as float) as usage_ar from usage_counts group by email
+union all select email, day, cast(n as float)
+ from (select * from (select distinct email from usage_counts), (select distinct day from usage_counts))
+ left join usage_counts using (email, day)
+union all select email, date '2099-01-01', cast(sum(n) as float) from usage_counts group by email"""
+ORACLES["rejected_rows"] = cte("activity", "raw_transactions") + """select 'document' as kind, Id as key, 'doc' as reason
+from activity where Workload is null
+union all select 'day', doc || '-' || cast(line as varchar), 'calday' from raw_transactions where line = 7"""
+ORACLES["guarded_loads"] = cte("ledger") + """select job, 'FAILURE' as status, message, (select count(*) from ledger) as row_count
+from (values ('columns', 'missing columns [], unknown columns [''district_code'']'),
+ ('cap', 'the extract holds 3 rows, more than the cap of 2'), ('transform', 'transform must be callable'),
+ ('command', 'only a query may be read')) as t(job, message)"""
+
 _RUN = "cast(cast(ts as date) as varchar) || '/' || event_type"
 ORACLES["import_reconcile"] = f"""select {_RUN} as run, count(*) as total_paths, count(*) as input_records,
  count(*) as output_records, count(*) filter (where value <= 90) as output_records_committed,

@@ -13,7 +13,7 @@ from shelfline.catalog import standins
 from shelfline.catalog.standins import table
 from shelfline.functions import clean, dates
 from shelfline.operators import org, reshape, rows, visits
-from shelfline.plans import equipment, hr, pos, sales
+from shelfline.plans import equipment, hr, jobs, pos, sales
 from shelfline.session import work_path
 from shelfline.sinks import audit, export, loads
 from shelfline.sources import landed, readers, report
@@ -357,6 +357,14 @@ def hr_master(spark, sf):
     return hr.hr_master(table(spark, sf, "persons"), table(spark, sf, "emails"), jobs, _departments(spark, sf))
 
 
+@query
+def people_pages(spark, sf):
+    """Persons through landed pages of JSON text."""
+    page = F.struct(F.struct(F.array(F.struct("*")).alias("results")).alias("d"))
+    pages = table(spark, sf, "persons").select(F.to_json(page).alias("doc"))
+    return landed.people(landed.parse_json(pages, "doc", schemas.hr_page(schemas.HR_PERSON)))
+
+
 @query
 def person_email_outer(spark, sf):
     from shelfline.operators.joins import full_outer
@@ -502,6 +510,52 @@ def import_reconcile(spark, sf):
     return audit.reconcile(standins.import_logs(spark, sf), "run", "line")
 
 
+@query
+def usage_load(spark, sf):
+    """One usage sheet with a total column, loaded to its two tables."""
+    totals, days = work_path(spark, "usage-totals"), work_path(spark, "usage-days")
+    jobs.load_usage(standins.usage_wide(spark, sf, with_total=True), totals, days)
+    total = spark.read.parquet(totals).select("email", F.lit(None).cast("date").alias("day_of_usage"), F.col("usage_ar").cast("float"))
+    return total.unionByName(spark.read.parquet(days).select("email", "day_of_usage", "usage_ar"))
+
+
+@query
+def rejected_rows(spark, sf):
+    """Rows that can't be read: cut documents, and days that are no days."""
+    texts = table(spark, sf, "activity").select(
+        "Id", F.concat(F.lit('{"root": [{"Id": "'), "Id", F.when(F.col("Workload").isNull(), F.lit("")).otherwise(F.lit('"}]}'))).alias("doc"))
+    _, documents = landed.split_json(texts, "doc", schemas.ACTIVITY_DOCUMENT)
+    raw = table(spark, sf, "raw_transactions")
+    raw = raw.withColumn("calday", F.when(F.col("line") == 7, F.lit("20211345")).otherwise(F.col("calday")))
+    _, days = clean.split_unreadable(raw)
+    return rows.append_frames(
+        documents.select(F.lit("document").alias("kind"), F.col("Id").alias("key"), F.lit("doc").alias("reason")),
+        days.select(F.lit("day").alias("kind"), F.concat_ws("-", "doc", F.col("line").cast("string")).alias("key"), "reason"))
+
+
+@query
+def guarded_loads(spark, sf):
+    """What refused loads report; the table they aimed at keeps its rows."""
+    runs = audit.JobRuns(spark, work_path(spark, "job-runs"))
+    target = work_path(spark, "table")
+    whole = _load_rows(spark, sf)
+    loads.full_refresh(whole, target)
+    wanted = whole.drop("district_code").schema
+    refused = {
+        "columns": lambda: loads.full_refresh(whole, target, schema=wanted),
+        "cap": lambda: loads.full_refresh(whole.limit(3), target, max_rows=2),
+        "transform": lambda: loads.full_refresh(whole, target, transform="no function"),
+        "command": lambda: readers.query_scan(spark, "drop table nothing"),
+    }
+    for job, load in refused.items():
+        try:
+            runs.run(job, load)
+        except (loads.GuardError, TypeError):
+            pass
+    left = spark.read.parquet(target).agg(F.count("*").alias("row_count"))
+    return runs.table().select("job", "status", "message").crossJoin(left)  # one row
+
+
 @query
 def job_run_audit(spark, sf):
     """Reports of a refresh, a reload and a refused load, without their times."""

@@ -68,23 +68,45 @@ def apply_transaction_rules(
     blank: dt.date | None = LEAP_DAY,
     zero: dt.date | None = None,
     null_text: str | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     """Month and day rules over the columns that exist in ``df``.
 
+    With ``strict`` a row with an unreadable day fails the job, as loads want it;
+    otherwise such a day becomes null. :func:`split_unreadable` sets such rows apart.
+
     The blank day is a parameter because the sources disagree: one writes the
     leap day, another a far-future day. ``null_text`` fills null text columns
     (daily sales and equipment want ``''``); typed columns keep their nulls.
     """
-    exprs = {c: parse_day(f"`{c}`", blank=blank, zero=zero) for c in _present(df, day_cols)}
+    days = _present(df, day_cols)
+    exprs = {c: parse_day(f"`{c}`", blank=blank, zero=zero) for c in days}
+    if strict:
+        exprs = {c: F.when(_unreadable(c, day), F.raise_error(F.concat(F.lit(f"unreadable day in {c}: "), F.col(f"`{c}`")))).otherwise(day)
+                 for c, day in exprs.items()}
     exprs |= {c: month_text(f"`{c}`") for c in _present(df, month_cols)}
     out = df.withColumns(exprs) if exprs else df
     return out if null_text is None else out.na.fill(null_text)
 
 
-def clean_equipment(df: DataFrame) -> DataFrame:
+def _unreadable(name: str, day: Column) -> Column:
+    text = F.col(f"`{name}`")
+    return text.isNotNull() & (text != "") & day.isNull()
+
+
+def split_unreadable(df: DataFrame, day_cols: Iterable[str] = DAY_COLUMNS, *, blank: dt.date | None = LEAP_DAY,
+                     zero: dt.date | None = None) -> tuple[DataFrame, DataFrame]:
+    """(readable, rejected): rejected rows have the columns at fault in ``reason``."""
+    faults = F.array_compact(F.array(*[
+        F.when(_unreadable(c, parse_day(f"`{c}`", blank=blank, zero=zero)), F.lit(c)) for c in _present(df, day_cols)]))
+    judged = df.withColumn("reason", F.concat_ws(",", faults))
+    return judged.where("reason = ''").drop("reason"), judged.where("reason <> ''")
+
+
+def clean_equipment(df: DataFrame, *, strict: bool = False) -> DataFrame:
     """Equipment placement: zero days are open-ended, null text becomes empty."""
     return apply_transaction_rules(
-        df, EQUIPMENT_DAY_COLUMNS, (), blank=None, zero=OPEN_DAY, null_text=""
+        df, EQUIPMENT_DAY_COLUMNS, (), blank=None, zero=OPEN_DAY, null_text="", strict=strict
     )
 
 

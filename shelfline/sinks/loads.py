@@ -132,6 +132,16 @@ def _stored_days(spark: SparkSession, target: str, day: str, window: Window) ->
     return {r[0] for r in wanted.distinct().collect()}
 
 
+def replace_slices(df: DataFrame, target: str, by: Sequence[str], *, transform: Transform = None,
+                   max_rows: int | None = None) -> LoadResult:
+    """Replace the slices (partitions of ``by``) that the input has rows for; a repeated pull changes nothing."""
+    staged, rows, staging = _stage(df, target, transform=transform, schema=None, max_rows=max_rows)
+    (staged.hint("rebalance", *[F.col(c) for c in by]).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(target))
+    _unstage(df.sparkSession, staging)
+    return LoadResult(target, rows, False)
+
+
 def slice_copy(source: DataFrame, target: str, day: str, window: Window, *,
                sort_keys: Sequence[str] = ()) -> LoadResult:
     """Copy a day slice of one table to another, replacing it there."""
@@ -153,19 +163,27 @@ def many_targets(parts: DataFrame, kind: str, staging: str, *,
 
     ``parts`` is written once, partitioned by ``kind``. Each target is then built
     from the one partition ``reads`` names for it. Nothing is cached, so losing
-    an executor costs only its running tasks. Row caps are checked for all
-    targets before the first is written.
+    an executor costs only its running tasks. Emptiness and row caps are checked
+    for all targets before the first is written. Every target replaces the days it
+    gets rows for, so a retry after a failure between two targets repeats nothing.
     """
     spark = parts.sparkSession
+    staging = f"{staging.rstrip('/')}/{uuid.uuid4().hex}"
     layout = T.StructType([f for f in parts.schema.fields if f.name != kind] + [T.StructField(kind, T.StringType())])
     parts.write.mode("overwrite").partitionBy(kind).parquet(staging)
     landed = spark.read.schema(layout).parquet(staging)
     built = {n: build(landed.where(F.col(kind) == reads[n]).drop(kind)) for n, build in builders.items()}
     counts = {n: df.count() for n, df in built.items()}
-    for count in counts.values():
-        require_at_most(count, max_rows)
+    try:
+        require_rows(sum(counts.values()))
+        for count in counts.values():
+            require_at_most(count, max_rows)
+    except GuardError:
+        _unstage(spark, staging)
+        raise
     for name, df in built.items():
-        _write(df, paths[name], "append", days[name], ())
+        _write(df, paths[name], "overwrite", days[name], (), dynamic=True)
+    _unstage(spark, staging)
     return {n: LoadResult(paths[n], counts[n], False) for n in built}
 
 

@@ -121,7 +121,9 @@ def read_csv_files(spark: SparkSession, paths: str | Sequence[str], schema: T.St
     """Numbered CSV files as one scan: a glob or list of paths, no loop, no union.
 
     Empty cells are null. With ``header`` the first line of every file is dropped.
+    A line that does not fit the schema fails the job; ``mode="PERMISSIVE"`` with a
+    column for ``columnNameOfCorruptRecord`` sets such lines apart instead.
     """
-    settings = {"nullValue": "", "emptyValue": "", "mode": "PERMISSIVE", **options}
+    settings = {"nullValue": "", "emptyValue": "", "mode": "FAILFAST", **options}
     reader = spark.read.schema(schema).option("header", header).option("enforceSchema", True)
     return reader.options(**settings).csv(paths if isinstance(paths, str) else list(paths))

@@ -1,6 +1,7 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfline.functions import clean, dates
@@ -122,3 +123,13 @@ def test_week_text(spark):
     df = spark.createDataFrame([(dt.date(2021, 9, 30),)], "d date")
     assert df.select(*clean.year_week_text("d")).first() == ("2021", "09305")
     assert df.select(F.lit(1)).count() == 1
+
+
+def test_unreadable_days_are_refused_or_set_apart(spark):
+    df = spark.createDataFrame([(1, "20240105"), (2, "20241345"), (3, ""), (4, None)], "k int, calday string")
+    good, bad = clean.split_unreadable(df)
+    assert [r.k for r in good.orderBy("k").collect()] == [1, 3, 4]
+    assert [(r.k, r.reason) for r in bad.collect()] == [(2, "calday")]
+    assert clean.apply_transaction_rules(good, strict=True).count() == 3
+    with pytest.raises(Exception, match="unreadable day in calday"):
+        clean.apply_transaction_rules(df, strict=True).collect()

@@ -67,6 +67,9 @@ def test_facts(documents):
 def test_load_writes_what_the_facts_hold(spark, documents, folder):
     paths = {n: folder(n) for n in (*V.KPI_FACTS, V.PHOTO)}
     results = V.load_visit_facts(documents, paths, folder("staging"), prefix=P, max_rows=10)
+    V.load_visit_facts(documents, paths, folder("staging"), prefix=P)  # a rerun changes nothing
+    with pytest.raises(GuardError):
+        V.load_visit_facts(documents.limit(0), paths, folder("staging"), prefix=P)
     for name, df in V.visit_facts(documents, prefix=P).items():
         assert results[name].row_count == df.count()
         stored = spark.read.schema(df.schema).parquet(paths[name]).select(*df.columns)
@@ -115,13 +118,16 @@ def test_people_pages_and_hr_job(spark, tmp_path, folder):
     person = page("person", schemas.HR_PERSON, {"personIdExternal": "1", "lastName": "A"}, {"personIdExternal": "2"})
     email = page("email", schemas.HR_EMAIL, {"personIdExternal": "1", "emailAddress": "a@example.com"},
                  {"personIdExternal": None, "emailAddress": "n@example.com"})
-    job = page("job", schemas.HR_JOB, {"userId": "1", "department": "0000000002", "jobCode": "J2"},
-               {"userId": "1", "department": "0000000001", "jobCode": "J1"},
-               {"userId": "2", "department": "old"})
+    job = page("job", schemas.HR_JOB, {"userId": "1", "department": "0000000002", "jobCode": "J2", "emplStatus": "1991"},
+               {"userId": "1", "department": "0000000001", "jobCode": "J1", "emplStatus": "1987"},
+               {"userId": "1", "department": "0000000001", "jobCode": "J0", "emplStatus": "2000"},
+               {"userId": "2", "department": "old", "emplStatus": "1996"})
     dept = page("dept", schemas.HR_DEPARTMENT,
                 {"externalCode": "0000000001", "customString8": "L0", "name_localized": "本社1", "customString1": "HQ"},
                 {"externalCode": "0000000002", "parent": "0000000001", "customString8": "L1", "name_localized": "営業"},
                 {"externalCode": "old", "customString8": "L1"}, {"externalCode": "0000000003"})
+    with pytest.raises(GuardError):
+        jobs.load_hr_master(person, email, job.drop("emplStatus"), dept, folder("hr"))
     assert jobs.load_hr_master(person, email, job, dept, folder("hr")).row_count == 1
     row = spark.read.parquet(folder("hr")).first()
     assert (row.EmployeeCode, row.Email, row.DepartmentCode) == ("1", "a@example.com", "0000000001")
@@ -134,7 +140,11 @@ def test_activity_documents(spark, tmp_path):
     day.mkdir(parents=True)
     event = {"CreationTime": "t", "Id": "1", "Operation": "o", "Workload": "w", "UserId": "u", "Extra": 1}
     (day / "x.json").write_text(json.dumps({"root": [event, {**event, "Id": None}, {**event, "Id": "2"}]}))
-    events = landed.activity_events(landed.activity_documents(spark, str(tmp_path / "*" / "*")))
+    documents = landed.activity_documents(spark, str(tmp_path / "*" / "*"))
+    for _ in range(2):
+        assert jobs.load_activity(documents, str(tmp_path / "loaded")).row_count == 2
+    assert spark.read.parquet(str(tmp_path / "loaded")).where("scope = 'Audit.General'").count() == 2
+    events = landed.activity_events(documents)
     assert {(r.scope, r.day_key, r.Id) for r in events.collect()} == {
         ("Audit.General", "20240115", "1"), ("Audit.General", "20240115", "2")}
 
