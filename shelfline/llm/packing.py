@@ -18,6 +18,7 @@ key are packed one by one. A pattern never splits a piece.
 from __future__ import annotations
 
 import heapq
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -31,7 +32,8 @@ from shelfline.llm.common import materialise
 
 SEQUENCE, END_ID = 4096, 2
 TOKENIZER = "word_bpe_49k.json"
-CACHED_WORDS = 400_000
+#: Words, and parts of words, that a Python worker remembers.
+CACHED_WORDS = 300_000
 #: Characters that str.split takes for white space and the tokenizer does not, and the start of a special token.
 _ODD = ("<|", "\x1c", "\x1d", "\x1e", "\x1f")
 
@@ -44,35 +46,83 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-@lru_cache(2)
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
+class WordIds:
+    """Ids of words, as bytes, remembered for the words and for their parts.
+
+    The tokenizer lower-cases, drops white space and splits words into runs of
+    letters, single digits and runs of the rest; nothing joins across these. So
+    unknown words are split here and only unknown parts go through its merges.
+    Words with characters beyond ``LAST`` go through the whole tokenizer. Both
+    memories drop their older half when full.
+    """
 
-    return Tokenizer.from_file(path), {}
+    # The tokenizer's own split, for lower-cased text up to LAST.
+    LAST = "\u017f"
+    LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ſ"
+    DIGITS = "0-9²³¹¼-¾"
+    PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^\s{LETTERS}{DIGITS}]+")
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.words, self.old_words, self.parts, self.old_parts = {}, {}, {}, {}
+        # Byte-level vocabularies write each byte as a visible character.
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = iter(range(256, 512))
+        self.shown = {i: chr(i) if i in shown else chr(next(hidden)) for i in range(256)}
+
+    def _part(self, part: str) -> bytes:
+        ids = self.parts.get(part)
+        if ids is None:
+            ids = self.old_parts.get(part)
+            if ids is None:
+                text = part if part.isascii() and part.isprintable() else part.encode().decode("latin-1").translate(self.shown)
+                ids = np.array([t.id for t in self.model.tokenize(text)], "<u4").tobytes()
+            if len(self.parts) > CACHED_WORDS // 2:
+                self.old_parts, self.parts = self.parts, {}
+            self.parts[part] = ids
+        return ids
+
+    def __call__(self, word: str) -> bytes:
+        ids = self.old_words.get(word)
+        if ids is None:
+            if max(word) > self.LAST:
+                ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+            else:
+                low = word.lower()
+                ids = self._part(low) if low.isalpha() else b"".join([self._part(x) for x in self.PARTS.findall(low)])
+        if len(self.words) > CACHED_WORDS // 2:
+            self.old_words, self.words = self.words, {}
+        self.words[word] = ids
+        return ids
 
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-def token_ids(texts: list[str], path: str) -> list[np.ndarray]:
-    """Ids of whole texts, without special tokens.
+    def of(self, text: str) -> bytes:
+        if any(o in text for o in _ODD):
+            return self.whole(text)
+        known = self.words
+        return b"".join([known.get(w) or self(w) for w in text.split()])
 
-    This tokenizer drops white space and never joins across it, so a text is the
-    join of its words; words are encoded once. Texts with odd characters are
-    encoded whole.
-    """
-    tokenizer, cache = _tokenizer(path)
-    if len(cache) > CACHED_WORDS:
-        cache.clear()
-    words = [None if any(o in t for o in _ODD) else t.split() for t in texts]
-    new = list({w for ws in words if ws for w in ws if w not in cache})
-    for k in range(0, len(new), 10_000):
-        for w, e in zip(new[k : k + 10_000], tokenizer.encode_batch(new[k : k + 10_000], add_special_tokens=False), strict=True):
-            cache[w] = np.array(e.ids, "<u4").tobytes()
-    return [np.frombuffer(b"".join([cache[w] for w in ws]), "<u4") if ws is not None else np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4") for t, ws in zip(texts, words, strict=True)]
+
+@lru_cache(2)
+def word_ids(path: str) -> WordIds:
+    return WordIds(path)
+
+
+def token_ids(texts: list[str], path: str) -> list[np.ndarray]:
+    """Ids of whole texts, without special tokens."""
+    ids = word_ids(path)
+    return [np.frombuffer(ids.of(t), "<u4") for t in texts]
 
 
 def _pieces(path: str, sequence: int, end_id: int):
     def run(batches):
         part, seen = TaskContext.get().partitionId(), {}
-        kind = "<u2" if max(_tokenizer(path)[0].get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
+        kind = "<u2" if max(word_ids(path).tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
         for batch in batches:
             for a in range(0, batch.num_rows, 500):
                 some = batch.slice(a, 500)

@@ -41,6 +41,15 @@ def test_pieces_cover_every_document_and_fill_sequences(spark):
     assert crc == {(1, 0): zlib.crc32(ids.tobytes())}
 
 
+def test_ids_equal_the_tokenizer():
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
+    signs = [chr(c) for c in range(33, 0x250) if not chr(c).isspace()]
+    texts = ["".join(f"a{c}B{c}{c}1 " for c in signs), " ".join(signs), "it's we'll I'D 'tis don't''s ab'dc _x_ a_b x² ½ ＡＢ e\u0301 Ω ﬁ İ ſ \u212b",
+             "".join(signs), "日本語テキスト ΣΑΣ приВЕТ", *(r[1] or "" for r in cases.rows(7, 40))]
+    for text, ids in zip(texts, packing.token_ids(texts, packing.tokenizer_path()), strict=True):
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_histogram_keeps_every_length_with_little_padding():
     rnd = random.Random(1)
     for lengths in ([min(4096, max(1, int(rnd.lognormvariate(6.5, 1)))) for _ in range(5000)], [10] * 1001, [4096] * 5, [4000, 97, 96, 1], [1]):
