@@ -39,26 +39,30 @@ BEFORE, END = 0xFE, 0xFF
 FOLDS, HELD_OUT = 7, 2
 #: N-grams or words that a bucket should hold.
 BUCKET_ROWS = 4_000_000
-_GRAM_BYTES = ORDER + 1
 _END_WORD = np.uint64(1)
 
 
-def _low_bytes(values: np.ndarray) -> bytes:
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_GRAM_BYTES]).tobytes()
+def _press(values: np.ndarray) -> bytes:
+    """Whole numbers compressed byte plane by byte plane: the upper ones are nearly constant."""
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes())
 
 
-def _from_low_bytes(blob: bytes) -> np.ndarray:
-    out = np.zeros((len(blob) // _GRAM_BYTES, 8), np.uint8)
-    out[:, :_GRAM_BYTES] = np.frombuffer(blob, np.uint8).reshape(-1, _GRAM_BYTES)
-    return out.view("<u8").ravel()
+def _unpress(blob: bytes) -> np.ndarray:
+    import zstandard
+
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel()
 
 
-def _codes(kind: int, blob: bytes) -> np.ndarray:
-    return np.frombuffer(blob, "<u8") if kind else _from_low_bytes(blob)
+def _codes(blob: bytes) -> np.ndarray:
+    return np.cumsum(_unpress(blob), dtype=np.uint64)
 
 
-def _blob(kind: int, codes: np.ndarray) -> bytes:
-    return codes.astype("<u8").tobytes() if kind else _low_bytes(codes)
+def _blob(codes: np.ndarray) -> bytes:
+    """Ascending codes, as their steps."""
+    return _press(np.diff(codes, prepend=np.uint64(0)))
 
 
 def gram_codes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -198,7 +202,7 @@ def _send(buckets: int):
                     bucket = (mix(codes) % np.uint64(buckets)).astype(np.int64)
                     order = np.argsort(bucket, kind="stable")
                     cut = np.searchsorted(bucket[order], np.arange(buckets + 1)).tolist()
-                    rows = [(2 * k + kind, chunk, kind, _blob(kind, codes[order[a:b]]), counts[order[a:b]].astype("<u4").tobytes()) for k, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
+                    rows = [(2 * k + kind, chunk, kind, _blob(codes[order[a:b]]), _press(counts[order[a:b]])) for k, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), SENT_TYPES, strict=True)], names=SENT_NAMES)
 
     return run
@@ -212,14 +216,14 @@ SENT = "bucket int, chunk long, kind int, codes binary, counts binary"
 def _sum_bucket(table: pa.Table) -> pa.Table:
     """The bucket's totals; n-grams split by the last two bytes of their context."""
     kind = table.column("kind")[0].as_py()
-    parts = [_codes(kind, x) for x in table.column("codes").to_pylist()]
-    codes, counts = _add_up(parts, [np.frombuffer(x, "<u4").astype(np.int64) for x in table.column("counts").to_pylist()])
+    parts = [_codes(x) for x in table.column("codes").to_pylist()]
+    codes, counts = _add_up(parts, [_unpress(x).astype(np.int64) for x in table.column("counts").to_pylist()])
     bucket = table.column("bucket")[0].as_py()
     pair = ((codes >> np.uint64(8)) & np.uint64(0xFFFF)).astype(np.int64) if not kind else np.zeros(len(codes), np.int64)
     order = np.argsort(pair, kind="stable")
     codes, counts, pair = codes[order], counts[order], pair[order]
     first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
-    rows = [(bucket, int(pair[a]), kind, _blob(kind, codes[a:b]), counts[a:b].astype("<i8").tobytes(), int((counts[a:b] > 0).sum()), int(counts[a:b].sum())) for a, b in zip(first, np.append(first[1:], len(pair)), strict=True)]
+    rows = [(bucket, int(pair[a]), kind, _blob(codes[a:b]), _press(counts[a:b]), int((counts[a:b] > 0).sum()), int(counts[a:b].sum())) for a, b in zip(first, np.append(first[1:], len(pair)), strict=True)]
     return pa.table({n: pa.array(c, t) for n, c, t in zip(
         ("bucket", "pair", "kind", "codes", "counts", "known", "total"), zip(*rows, strict=True),
         (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64()), strict=True)})
@@ -233,7 +237,7 @@ def _pairs(batches):
     counts = np.zeros(1 << 16, np.int64)
     for batch in batches:
         for codes, number in zip(batch.column("codes").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-            counts += np.bincount((_from_low_bytes(codes) & np.uint64(0xFFFF)).astype(np.int64), np.frombuffer(number, "<i8"), 1 << 16).astype(np.int64)
+            counts += np.bincount((_codes(codes) & np.uint64(0xFFFF)).astype(np.int64), _unpress(number), 1 << 16).astype(np.int64)
     at = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["pair", "n"])
 
@@ -300,8 +304,8 @@ def codes_at(codes: np.ndarray, place: np.ndarray, n: int) -> np.ndarray:
 def _score(table: pa.Table, stats: pa.Table, train_tokens: int, vocabulary: int):
     known: dict[int, tuple[list, list]] = {0: ([], []), 1: ([], [])}
     for kind, codes, values in zip(stats.column("kind").to_pylist(), stats.column("codes").to_pylist(), stats.column("numbers").to_pylist(), strict=True):
-        known[kind][0].append(_codes(kind, codes))
-        known[kind][1].append(np.frombuffer(values, "<f4" if not kind else "<i8"))
+        known[kind][0].append(_codes(codes))
+        known[kind][1].append(np.frombuffer(values, "<f4") if not kind else _unpress(values).astype(np.int64))
     none = np.zeros(0, np.uint64)
     grams = CodeMap(np.concatenate([none, *known[0][0]]), np.concatenate([np.zeros(0, np.float32), *known[0][1]]), np.float32(0))
     words = CodeMap(np.concatenate([none, *known[1][0]]), np.concatenate([np.zeros(0, np.int64), *known[1][1]]), 0)
@@ -347,10 +351,10 @@ def score_documents(docs: DataFrame, held_out=None, chunk_bytes: int = CHUNK_BYT
     table = spark.sparkContext.broadcast(pairs.reshape(256, 256))
 
     def lengths(group: pa.Table) -> pa.Table:
-        codes = [_from_low_bytes(x) for x in group.column("codes").to_pylist()]
+        codes = [_codes(x) for x in group.column("codes").to_pylist()]
         every = np.concatenate(codes)
         order = np.argsort(every)
-        counts = np.concatenate([np.frombuffer(x, "<i8") for x in group.column("counts").to_pylist()]).astype(float)
+        counts = np.concatenate([_unpress(x) for x in group.column("counts").to_pylist()]).astype(float)
         values = np.empty(len(every), "<f4")
         values[order] = code_lengths(every[order], counts[order], table.value)
         cut = np.cumsum([0] + [len(c) for c in codes])
@@ -361,11 +365,13 @@ def score_documents(docs: DataFrame, held_out=None, chunk_bytes: int = CHUNK_BYT
 
     def answer(asked: pa.Table, told: pa.Table) -> pa.Table:
         kind = asked.column("kind")[0].as_py() if asked.num_rows else 0
-        codes = np.concatenate([np.zeros(0, np.uint64), *(_codes(kind, x) for x in told.column("codes").to_pylist())])
-        values = np.concatenate([np.zeros(0, "<i8" if kind else "<f4"), *(np.frombuffer(x, "<i8" if kind else "<f4") for x in told.column("numbers").to_pylist())])
+        codes = np.concatenate([np.zeros(0, np.uint64), *(_codes(x) for x in told.column("codes").to_pylist())])
+        numbers = told.column("numbers").to_pylist()
+        values = np.concatenate([np.zeros(0, "<u8"), *map(_unpress, numbers)] if kind else [np.zeros(0, "<f4"), *(np.frombuffer(x, "<f4") for x in numbers)])
         order = np.argsort(codes)
         codes, values = codes[order], values[order]
-        numbers = [values[np.searchsorted(codes, _codes(kind, x))].tobytes() for x in asked.column("codes").to_pylist()]
+        own = [values[np.searchsorted(codes, _codes(x))] for x in asked.column("codes").to_pylist()]
+        numbers = [_press(x) if kind else x.tobytes() for x in own]
         return pa.table({"chunk": asked.column("chunk"), "kind": asked.column("kind"), "codes": asked.column("codes"), "numbers": pa.array(numbers, pa.binary())})
 
     returned = sent.select("bucket", "chunk", "kind", "codes").groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(answer, "chunk long, kind int, codes binary, numbers binary")
