@@ -11,12 +11,14 @@ else in the corpus. Suffixes are sorted into buckets only as deep as that:
    reach: all strings with one anchor span a block of bytes, whose identifier is
    composed from those of its q-grams. Suffixes with the same block are repeated
    as a whole; one of them stays to represent the block.
-3. What is left open is refined again with the same identifiers, now for every
-   single string: the pair of the bucket at its start and the bucket q bytes on.
-   Only buckets with different blocks get here.
-
-Steps 2 and 3 are aggregates by identifier, so no bucket meets in one task. A pair
-of identifiers has 128 bits. Null counts as empty; texts shorter than ``LENGTH``
+3. Buckets with different blocks are refined again, in cells of ``CELL`` strings: a
+   cell's new bucket is what all its strings share. Cells alone in their bucket are
+   done, equal cells are repeated as a whole, and what is still open goes on.
+4. That is refined once more, for every single string: the pair of the bucket at its
+   start and the bucket q bytes on.
+
+All steps are aggregates by identifier, so no bucket meets in one task. A bucket and
+its refinement have 128 bits together. Null counts as empty; texts shorter than ``LENGTH``
 keep all bytes. Rows repeated with one key are documents of their own.
 """
 
@@ -31,7 +33,8 @@ from pyspark.sql import functions as F
 
 from shelfline.llm.common import in_blocks, materialise, mix, prefix_hash, shared_values, span_hash, text_bytes, unpack_shared, utf8_parts
 
-LENGTH = 200
+#: Bytes of a repeated string, and strings of a cell between whole blocks and single strings.
+LENGTH, CELL = 200, 16
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH):
@@ -99,26 +102,69 @@ def _judge(docs: pa.Table, shared: pa.Table) -> pa.Table:
     return pa.table({"doc_id": docs.column("doc_id"), **{k: pa.array(v, kinds[k]) for k, v in rows.items()}})
 
 
+def _pieces_of(batch: pa.RecordBatch):
+    """Rows of texts with the fields of their open pieces as arrays."""
+    for row, text, open_ in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist(), batch.column("open").to_pylist(), strict=True):
+        yield row, prefix_hash(np.frombuffer(text, np.uint8)), *(np.array([s[c] for s in open_], np.int64) for c in ("place", "first", "last", "alone"))
+
+
+def _runs(size: np.ndarray) -> np.ndarray:
+    """0 to n - 1 for each n of ``size``."""
+    return np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+
+
+def _cells(batches):
+    """The cells of each open block: what all strings of a cell share, and what they span."""
+    for whole in batches:
+        for k in range(0, whole.num_rows, 200):
+            out = [[np.zeros(0, np.int64)] for _ in range(7)]
+            for row, running, place, first, last, alone in _pieces_of(whole.slice(k, 200)):
+                low, high = (place - last) // CELL, (place - first) // CELL
+                size = high - low + 1
+                cell = np.repeat(low, size) + _runs(size)
+                place, first, last, alone = (np.repeat(x, size) for x in (place, first, last, alone))
+                start = place - cell * CELL - CELL + 1  # of the first string of a whole cell
+                shared = span_hash(running, start + CELL - 1, start + LENGTH) + mix(cell.astype(np.uint64))
+                a, b = np.maximum(first, start), np.minimum(last, start + CELL - 1)
+                span = mix(span_hash(running, a, b + LENGTH) + ((a - start) * CELL + (b - start)).astype(np.uint64))
+                for x, y in zip(out, (np.full(len(a), row), place, a, b, alone, mix(shared).astype(np.int64), span.astype(np.int64)), strict=True):
+                    x.append(y)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["row", "place", "first", "last", "alone", "bucket", "block"])
+
+
 def _strings(batches):
-    """Each string of an open suffix with its pair of identifiers."""
+    """Each string of an open cell with its pair of identifiers."""
     q = LENGTH // 2
     for whole in batches:
         for k in range(0, whole.num_rows, 200):
-            batch = whole.slice(k, 200)
             out = [[np.zeros(0, np.int64)] for _ in range(5)]
-            for row, text, suffixes in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist(), batch.column("open").to_pylist(), strict=True):
-                running = prefix_hash(np.frombuffer(text, np.uint8))
-                first, last, alone = (np.array([s[c] for s in suffixes], np.int64) for c in ("first", "last", "alone"))
+            for row, running, _, first, last, alone in _pieces_of(whole.slice(k, 200)):
                 size = last - first + 1
-                start = np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
-                out[0].append(np.full(len(start), row))
-                out[1].append(start)
-                out[2].append(np.repeat(alone, size))
-                out[3].append(span_hash(running, start, start + q).astype(np.int64))
-                out[4].append(span_hash(running, start + q, start + LENGTH).astype(np.int64))
+                start = np.repeat(first, size) + _runs(size)
+                for x, y in zip(out, (np.full(len(start), row), start, np.repeat(alone, size), span_hash(running, start, start + q).astype(np.int64), span_hash(running, start + q, start + LENGTH).astype(np.int64)), strict=True):
+                    x.append(y)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["row", "start", "alone", "b1", "b2"])
 
 
+def _refined(pieces: DataFrame, suspects: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """One refinement of ``pieces`` (row, place, first, last, alone, bucket, block).
+
+    Returns the spans of repeated pieces, and per row the text and the pieces that
+    stay open: one of each block in the buckets that hold several. ``alone`` is 1
+    where the piece is not known to be repeated.
+    """
+    blocks = pieces.groupBy("bucket", "block").agg(
+        F.count("*").alias("many"), F.max("alone").alias("some"), F.min(F.struct("row", "place", "first", "last")).alias("one"))
+    blocks = materialise(blocks, name)
+    several = blocks.where("many > 1 and some = 1").select("bucket", "block")
+    spans = pieces.where("alone = 1").join(several, ["bucket", "block"]).select("row", "first", (F.col("last") + LENGTH).alias("last"))
+    alone = (F.col("many") == 1).cast("long") * F.col("some")
+    open_ = blocks.groupBy("bucket").agg(F.count("*").alias("kinds"), F.max(alone).alias("some")).where("kinds > 1 and some = 1").select("bucket")
+    left = blocks.withColumn("alone", alone).join(open_, "bucket").select("one.*", "alone")
+    left = left.groupBy("row").agg(F.collect_list(F.struct("place", "first", "last", "alone")).alias("open"))
+    return spans, left.join(suspects.select("row", "text"), "row").select("row", "text", "open")
+
+
 def _cut(batches):
     """Remove the union of the spans of each row."""
     for whole in batches:
@@ -156,21 +202,15 @@ def repeated(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         _judge, "doc_id long, n_bytes long, sha string, text binary, bucket array<long>, block array<long>, place array<long>, first array<long>, last array<long>")
     judged = materialise(judged.withColumn("row", F.monotonically_increasing_id()), "anchors")
     suspects = judged.where("text is not null")
-    suffixes = suspects.select("row", F.explode(F.arrays_zip("bucket", "block", "first", "last")).alias("s")).select("row", "s.*")
-
-    blocks = materialise(suffixes.groupBy("bucket", "block").agg(F.count("*").alias("many"), F.min(F.struct("row", "first", "last")).alias("one")), "blocks")
-    several = blocks.where("many > 1").select("bucket", "block")
-    as_blocks = suffixes.join(several, ["bucket", "block"]).select("row", "first", (F.col("last") + LENGTH).alias("last"))
-
-    open_ = blocks.groupBy("bucket").agg(F.count("*").alias("kinds")).where("kinds > 1").select("bucket")
-    left = blocks.join(open_, "bucket").select("one.*", (F.col("many") == 1).cast("long").alias("alone"))
-    left = left.groupBy("row").agg(F.collect_list(F.struct("first", "last", "alone")).alias("open"))
-    strings = left.join(suspects.select("row", "text"), "row").select("row", "text", "open").mapInArrow(_strings, "row long, start long, alone long, b1 long, b2 long")
-    strings = materialise(strings, "strings")
+    suffixes = suspects.select("row", F.explode(F.arrays_zip("bucket", "block", "place", "first", "last")).alias("s")).select("row", "s.*", F.lit(1).cast("long").alias("alone"))
+    as_blocks, left = _refined(suffixes, suspects, "blocks")
+    cells = materialise(left.mapInArrow(_cells, "row long, place long, first long, last long, alone long, bucket long, block long"), "cells")
+    as_cells, left = _refined(cells, suspects, "cell-blocks")
+    strings = materialise(left.mapInArrow(_strings, "row long, start long, alone long, b1 long, b2 long"), "strings")
     twice = strings.groupBy("b1", "b2").agg(F.count("*").alias("many"), F.max("alone").alias("any")).where("many > 1 and any = 1").select("b1", "b2")
     as_strings = strings.where("alone = 1").join(twice, ["b1", "b2"]).select("row", F.col("start").alias("first"), (F.col("start") + LENGTH).alias("last"))
 
-    marked = as_blocks.union(as_strings).groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("marked"))
+    marked = as_blocks.union(as_cells).union(as_strings).groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("marked"))
     changed = suspects.select("row", "doc_id", "n_bytes", "text").join(marked, "row", "left").select("doc_id", "n_bytes", "text", "marked").mapInArrow(_cut, CUT)
     whole = judged.where("text is null").select("doc_id", "n_bytes", F.col("sha").alias("kept_sha256"))
     return changed, whole
