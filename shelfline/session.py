@@ -51,9 +51,25 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+#: Work paths handed out by this driver and not yet removed.
+_MADE: list[str] = []
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Remove all work tables of this driver; call it once their results are read or written.
+
+    Results are lazy and read these tables, so nothing can remove them earlier.
+    """
+    while _MADE:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
