@@ -66,12 +66,14 @@ FOUND = "array<struct<start:int,end:int,kind:string,value:string>>"
 
 
 def entities(text: str) -> list[tuple[int, int, str, str]]:
-    """Spans (start, end, kind, normal form) that do not overlap; a longer kind list entry gives way to an earlier one."""
+    """Spans (start, end, kind, text) that do not overlap; earlier kinds come first."""
     taken: list[tuple[int, int, str, str]] = []
     for kind, pattern in _COMPILED:
-        for m in pattern.finditer(text):
-            if not any(a < m.end() and m.start() < b for a, b, _, _ in taken):
-                taken.append((m.start(), m.end(), kind, m[0]))
+        found = [(m.start(), m.end(), kind, m[0]) for m in pattern.finditer(text)]
+        for start, end, _, _ in found:
+            # Later kinds neither see nor reach across what is taken.
+            text = text[:start] + "\0" * (end - start) + text[end:]
+        taken += found
     return sorted(taken)
 
 

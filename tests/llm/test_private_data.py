@@ -22,6 +22,11 @@ def test_surrogates_keep_the_format():
 TEXTS = ["mail dikcoc.41@mail7.example.com, +1 (736) 555-2678; é 61.131.143.218 end", "again dikcoc.41@mail7.example.com.", "card 4777431686562174 x", "Frau Keller and Anna Moreau met Анна Соколов", "Version 2.0. of 1999", "1.2.3.4"]
 
 
+def test_neighbours_do_not_hide_each_other():
+    text = "61.131.143.218 4777431686562174 4291222221165632 +1 (736) 555-2678 a@b.example.com"
+    assert [k for _, _, k, _ in p.entities(text)] == ["ip", "card", "card", "phone", "email"]
+
+
 def test_mentions_agree_and_nothing_is_left(spark):
     rows = [(500 + k, t, *([None] * 10)) for k, t in enumerate(TEXTS)] + cases.rows(1, 30)
     docs = spark.createDataFrame(rows, cases.SCHEMA)
