@@ -88,7 +88,7 @@ class WordIds:
     def __call__(self, word: str) -> bytes:
         ids = self.old_words.get(word)
         if ids is None:
-            if max(word) > self.LAST:
+            if not word.isascii() and max(word) > self.LAST:
                 ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
             else:
                 low = word.lower()
