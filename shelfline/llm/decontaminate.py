@@ -141,7 +141,7 @@ def op7_decontaminate(spark, sf_dir: str) -> DataFrame:
 def _shingle_sql(table: str, key: str) -> str:
     lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     return f"""
-  SELECT DISTINCT {key}, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))
+  SELECT DISTINCT {key}, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
                                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g
   FROM (SELECT {key}, regexp_extract_all({lower}, '[^\\x20\\x09-\\x0D]+') AS w FROM {table})"""
 
