@@ -15,8 +15,9 @@ fixed size.
 
 Vectors that are null or hold null or non-finite components, and rows without a
 key, take no part. Missing components of shorter vectors count as 0. Rows with the
-query's own key are not its candidates. A query key that occurs on several rows is
-searched for each of them, and their distinct results are ranked together.
+query's own key are not its candidates. Rows are ranked, not keys: a candidate key
+that occurs on several rows takes a rank for each, and the candidates of a query key
+that occurs on several rows count once for each of these and are ranked together.
 """
 
 from __future__ import annotations
@@ -77,8 +78,8 @@ def _products(q: np.ndarray, x: np.ndarray, exact: bool) -> np.ndarray:
 class Block:
     """A block of queries and their best rows so far."""
 
-    def __init__(self, keys, vectors, top, pivots, k, exact):
-        self.keys, self.vectors, self.top, self.k, self.exact = keys, vectors, top, k, exact
+    def __init__(self, keys, vectors, copies, top, pivots, k, exact):
+        self.keys, self.vectors, self.copies, self.top, self.k, self.exact = keys, vectors, copies, top, k, exact
         self.to_pivot = _distance(np.concatenate([vectors, np.zeros((len(vectors), 1))], 1), pivots)
         self.square = (vectors * vectors).sum(1)
         self.worst = np.full(len(keys), -(2**62), np.int64)
@@ -119,13 +120,15 @@ class Block:
 
 
 def _fewest(keys: np.ndarray, vectors: np.ndarray, k: int):
-    """Of equal vectors only the first keys can be among the best: k, and one for a query's own."""
+    """Of equal vectors only the first rows by key can be among the best: k of one key, and as many more as may be a query's own."""
     order = np.argsort(keys, kind="stable")
     keys, vectors = keys[order], vectors[order]
     _, group = np.unique(np.ascontiguousarray(vectors).view(np.dtype((np.void, vectors.dtype.itemsize * vectors.shape[1]))).ravel(), return_inverse=True)
     order = np.argsort(group, kind="stable")
+    new = np.append(True, (np.diff(group[order]) != 0) | (np.diff(keys[order]) != 0))
+    order = order[np.arange(len(order)) - np.flatnonzero(new)[np.cumsum(new) - 1] < k]
     first = np.searchsorted(group[order], group[order], "left")
-    keep = order[np.arange(len(order)) - first < k + 1]
+    keep = order[np.arange(len(order)) - first < 2 * k]
     return keys[keep], vectors[keep]
 
 
@@ -133,8 +136,10 @@ def top_products(vectors: DataFrame, scale: int = SCALE, k: int = TOP, every: in
     """``query_id``, ``rank``, ``vec_id``, ``score``: the best ``k`` for each row whose key is divisible by ``every``."""
     spark = vectors.sparkSession
     ready = materialise(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInArrow(_integers(scale), "vec_id long, v binary, norm double"), "vectors")
-    facts = ready.agg(F.count("*").alias("n"), F.max("norm").alias("top"), F.max(F.length("v")).alias("bytes"), F.sum((F.col("vec_id") % every == 0).cast("long")).alias("queries")).first()
-    if not facts["queries"]:
+    facts = ready.agg(F.count("*").alias("n"), F.max("norm").alias("top"), F.max(F.length("v")).alias("bytes")).first()
+    queries = ready.where(F.col("vec_id") % every == 0).groupBy("vec_id", "v").agg(F.least(F.count("*"), F.lit(k)).alias("copies"))
+    queries = materialise(queries, "queries")
+    if not (n_queries := queries.count()):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     width, top, exact = facts["bytes"] // 8, facts["top"], facts["top"] < 2.0**52
     share = min(1.0, sample / facts["n"])
@@ -150,14 +155,14 @@ def top_products(vectors: DataFrame, scale: int = SCALE, k: int = TOP, every: in
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("v"), pa.array(near.astype(np.int32)), pa.array(away[np.arange(len(near)), near])], names=["vec_id", "v", "pivot", "away"])
 
     index = ready.select("vec_id", "v").mapInArrow(key, "vec_id long, v binary, pivot int, away double")
-    # The hashed key spreads many copies of one vector over partitions.
-    index = materialise(index.withColumn("spread", F.xxhash64("vec_id")).repartitionByRange("pivot", "away", "spread").sortWithinPartitions("pivot", "away").drop("spread"), "index")
+    # The hashed row spreads many copies of one vector over partitions, also those of one key.
+    index = materialise(index.withColumn("spread", F.xxhash64("vec_id", F.monotonically_increasing_id())).repartitionByRange("pivot", "away", "spread").sortWithinPartitions("pivot", "away").drop("spread"), "index")
 
     found = []
-    blocks = -(-facts["queries"] // block)
+    blocks = -(-n_queries // block)
     for number in range(blocks):
-        asked = ready.where((F.col("vec_id") % every == 0) & (F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == number)).select("vec_id", "v").collect()
-        own = Block(np.array([r["vec_id"] for r in asked], np.int64), _matrix([r["v"] for r in asked], width), top, centres, k, exact)
+        asked = queries.where(F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)) == number).collect()
+        own = Block(np.array([r["vec_id"] for r in asked], np.int64), _matrix([r["v"] for r in asked], width), np.array([r["copies"] for r in asked], np.int64), top, centres, k, exact)
         own.start(drawn_keys, drawn_vectors)
         handle = spark.sparkContext.broadcast(own)
 
@@ -172,6 +177,8 @@ def top_products(vectors: DataFrame, scale: int = SCALE, k: int = TOP, every: in
                         at = ring[a : a + ANNULUS]
                         annuli.append((p, away[at].min(), away[at].max(), *_fewest(keys[at], rows[at], k)))
                 query, key_, score = handle.value.search(annuli, fixed.value)
+                each = handle.value.copies[query]
+                query, key_, score = np.repeat(query, each), np.repeat(key_, each), np.repeat(score, each)
                 return pa.RecordBatch.from_arrays([pa.array(handle.value.keys[query], pa.int64()), pa.array(key_), pa.array(score)], names=["query_id", "vec_id", "score"])
 
             parts, size = [], 0
@@ -186,7 +193,7 @@ def top_products(vectors: DataFrame, scale: int = SCALE, k: int = TOP, every: in
 
         found.append(index.mapInArrow(search, "query_id long, vec_id long, score long"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    merged = reduce(DataFrame.unionAll, found).distinct().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    merged = reduce(DataFrame.unionAll, found).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return merged.select("query_id", "rank", "vec_id", "score")
 
 

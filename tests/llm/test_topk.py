@@ -1,6 +1,8 @@
+import duckdb
 import numpy as np
+import pytest
 
-from shelfline.llm.topk import top_products
+from shelfline.llm.topk import ORACLE, top_products
 
 
 def brute(rows, width):
@@ -27,3 +29,20 @@ def test_few_rows(spark):
     few = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in top_products(few).collect()] == [(0, 1, 1, 64 * 128)]
     assert top_products(few.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("copies", [2, 30])
+def test_repeated_rows_rank_as_the_check_sql_says(spark, tmp_path, copies):
+    rng = np.random.default_rng(5)
+    rows = [(k, rng.normal(size=8).astype(np.float32).tolist()) for k in range(1, 121)] * copies
+    # One key with the best score on many rows, a query key with two vectors, and equal vectors on a query's own rows and others.
+    rows += [(900, [9.0] * 8)] * copies + [(901, [9.0] * 8)] * 3 + [(40, [0.5] * 8)] + [(k, [0.25] * 8) for k in (940, 941, 942)] + [(920, [0.25] * 8)] * copies
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    vectors.write.parquet(str(tmp_path / "embeddings.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    want = sorted(con.execute(ORACLE).fetchall())
+    assert len(want) == 20 * 9
+    for block in (2, 8192):
+        got = top_products(vectors, sample=64, pivots=8, block=block)
+        assert sorted(tuple(r) for r in got.collect()) == want
