@@ -1,13 +1,18 @@
 """Secret scan with corpus-wide ownership frequency, in DataFrame expressions only.
 
-Documents are searched for assignments, access keys, hex runs, private key
-headers, vendor tokens and long mixed strings. Every candidate value is hashed
-and counted over the whole corpus by distinct repositories and owners. A value
-that several owners hold is a widely copied example. One that a single owner
+Documents are searched for assignments, access keys, hex runs, private keys from
+their header to their END line, vendor tokens and long mixed strings. Every
+candidate value is hashed and counted over the whole corpus by distinct
+repositories and owners. A value that several owners hold is a widely copied example. One that a single owner
 holds, and that does not read like a placeholder, looks live. The long mixed
 strings alone are too common to report, so they become spans only where the
 counts say that they look live; all other kinds are always reported.
 
+A private key without an END line within 20,000 characters ends with its base64
+run: chunks of 16 characters or more, and one shorter line after them. Quotes and
+escaped line ends may stand between. Copies of a key that differ only in white
+space or escaped line ends count as one value.
+
 Null text counts as empty, a null owner or repository as an owner of that name
 (empty text). Rows repeated with one key are scanned one by one. Spans are code
 points, end exclusive.
@@ -22,13 +27,20 @@ from shelfline.llm.common import materialise
 
 
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+_PEM_HEAD = r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+# A character at a time or possessive, so that long keys need no stack.
+_PEM_END = r"(?:(?!-----BEGIN )[\s\S]){0,20000}?-----END [A-Z ]*PRIVATE KEY-----"
+_PEM_FIELDS = r"(?:(?:\s|\\[nr])*+[A-Z][A-Za-z-]*+:[^\n\\]*+)*+"
+_PEM_CHUNKS = r"""(?:[\s"'\\,>#*]*+[A-Za-z0-9+/=]{16,}+)++"""
+_PEM_LAST = r"""(?:["',]*+(?:\r?\n|\\[nr])[\s"'\\>#*]*+[A-Za-z0-9+/=]++(?=["',]*+(?:[\r\n\\]|\z)))?+"""
+PEM = f"{_PEM_HEAD}(?:{_PEM_END}|{_PEM_FIELDS}{_PEM_CHUNKS}{_PEM_LAST})?+"
 #: kind, pattern, group of the value, least characters of the value. The order is that of ties.
 KINDS = [
     ("assign", ASSIGN, 2, 12),
     # A run of the class is one match, so the least length may stand in the pattern.
     ("access", r"AKIA[A-Z0-9]{14,}", 0, 18),
     ("hex", r"(?<![0-9a-f])[0-9a-f]{16,}", 0, 16),
-    ("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+    ("pem", PEM, 0, 1),
     ("vendor", r"(?<![A-Za-z0-9_])(?:gh[opsur]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|[rs]k_live_[A-Za-z0-9]{16,}|eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,})", 0, 1),
     ("owned", r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[0-9+/_-]*[A-Za-z])[A-Za-z0-9+/_-]{20,}", 0, 20),
 ]
@@ -36,6 +48,8 @@ BASE = ("assign", "access", "hex")
 #: Values held by this many owners or more are widely copied.
 COPIED_OWNERS = 2
 PLACEHOLDER = r"(?i)example|sample|dummy|changeme|placeholder|your[_-]?|xxxx|(.)\1{7}|0123456789|abcdefgh"
+#: Base64 of a live key may hold runs of one letter and short words.
+PEM_PLACEHOLDER = r"(?i)example|changeme|placeholder|your[_-]"
 
 SPAN = "array<struct<start:int,rank:int,kind:string,end:int,value:string>>"
 
@@ -79,13 +93,14 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "lang") -> tu
     own = F.coalesce(F.col(owner).cast("string"), F.lit(""))
     repo = F.coalesce(F.col(repository).cast("string"), F.lit(""))
     each = suspects.select("_row", own.alias("_owner"), repo.alias("_repo"), F.explode("_found").alias("s"))
-    each = each.select("_row", "_owner", "_repo", "s", F.sha2(F.col("s.value"), 256).alias("_hash"))
+    pem = F.col("s.kind") == "pem"
+    each = each.select("_row", "_owner", "_repo", "s", F.sha2(F.when(pem, F.regexp_replace("s.value", r"\s|\\[nr]", "")).otherwise(F.col("s.value")), 256).alias("_hash"))
     counts = each.groupBy("_hash", "_owner", "_repo").agg(F.count("*").alias("uses"))
     counts = counts.groupBy("_hash", "_owner").agg(F.count("*").alias("repos"), F.sum("uses").alias("uses"))
     counts = counts.groupBy("_hash").agg(F.count("*").alias("owners"), F.sum("repos").alias("repos"), F.sum("uses").alias("uses"))
     judged = each.join(counts, "_hash").select(
         "_row", F.col("s.start").alias("start"), F.col("s.rank").alias("rank"), F.col("s.kind").alias("kind"), F.col("s.end").alias("end"),
-        ((F.col("owners") < COPIED_OWNERS) & ~F.col("s.value").rlike(PLACEHOLDER)).alias("live"), "owners", "repos", "uses")
+        ((F.col("owners") < COPIED_OWNERS) & ~F.when(pem, F.col("s.value").rlike(PEM_PLACEHOLDER)).otherwise(F.col("s.value").rlike(PLACEHOLDER))).alias("live"), "owners", "repos", "uses")
     judged = judged.where("kind <> 'owned' or live")
     spans = judged.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("start", "rank", "kind", "end", "live", "owners", "repos", "uses"))).alias("_spans"))
     none = F.array().cast("array<struct<start:int,rank:int,kind:string,end:int,live:boolean,owners:bigint,repos:bigint,uses:bigint>>")

@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import string
 
 from shelfline.llm import secrets
 from tests.llm import cases
@@ -47,3 +49,28 @@ def test_masking(spark):
     assert got[100] == "x <secret> y" and got[102] == "tok <secret>\"!" and got[103] == TEXTS[3]
     assert got[110] == "<secret> <secret>" and len(got) == len({r[0] for r in table(spark)[1]})
     assert secrets.mask_secrets(cases.empty(spark)).count() == 0
+
+
+def test_a_private_key_goes_whole_whoever_holds_it(spark, tmp_path):
+    rnd = random.Random(4)
+    lines = ["".join(rnd.choice(string.ascii_letters + string.digits + "+/") for _ in range(64)) for _ in range(20)]
+    lines[3], lines[4] = "ABCDefgh" * 8, "AAAAAAAA" * 8  # no digit; one letter
+    lines.append("kQ==")
+    head, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    whole = "\n".join([head, *lines, end])
+    fields = "\n".join([head, "Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0A1B2C", "", *lines])
+    texts = {
+        1: f"a {whole} b", 2: f"a {whole} b", 3: "x " + whole.replace("\n", "\r\n") + " y", 4: "k = '" + whole.replace("\n", "\\n") + "'", 5: "one line " + whole.replace("\n", " ") + " z",
+        6: "\n".join(["cut", head, *lines]), 7: "\n".join(["cut", head, *lines, "", "More text here."]), 8: fields, 9: f"{head}\n{lines[0]}\nprose after a cut key\n{whole} tail",
+        10: head + "\n" + "\n".join(lines[:20] * 100), 11: "\n".join(f'"{x}\\n" +' for x in [head, *lines, end]), 12: f"the mark {head} alone, then prose of some words",
+        13: "k = '" + "\\n".join([head, *lines]) + "'",
+    }
+    rows = [(i, t, "en", f"s{i % 2}", 1, 1, 1, 1, 1, 1, "", 0.0) for i, t in texts.items()]
+    docs = spark.createDataFrame(rows, cases.SCHEMA)
+    got = {r.doc_id: r.text for r in secrets.mask_secrets(docs).collect()}
+    assert not [i for i, t in got.items() for x in [*lines, head, end] if x in t]
+    assert got[1] == got[2] == "a <secret> b" and got[3] == "x <secret> y" and got[4] == got[13] == "k = '<secret>'" and got[5] == "one line <secret> z"
+    assert got[6] == "cut\n<secret>" and got[7] == "cut\n<secret>\n\nMore text here." and got[8] == got[10] == "<secret>"
+    assert got[9] == "<secret>\nprose after a cut key\n<secret> tail" and got[12] == "the mark <secret> alone, then prose of some words"
+    found = {r.doc_id: r for r in secrets.op9_secrets(spark, cases.saved(spark, tmp_path, documents=docs)).collect()}
+    assert f"pem:2:{2 + len(whole)}" in found[1].spans and found[1].n_copied >= 1
