@@ -4,9 +4,15 @@ Entities are e-mail addresses, phone numbers, card numbers, IPv4 addresses, soci
 security numbers, and persons (a title or a listed given name before capitalised
 words, in Latin, Cyrillic or Greek script). Each distinct entity of the corpus gets
 one surrogate that a keyed hash draws, so that all mentions of an entity agree in
-all documents. Surrogates keep the format: the length and kind of every character
+all documents. Mentions are of one entity if they have the same digits (phone, card
+and social security numbers), letters without regard to case (e-mail addresses), or
+name without titles. A single name after a title stands for a full name of the same
+document that has it as surname, or else as given name: of several, those of the
+title's gender, the last before it or else the first after it. Each mention shows its
+entity's surrogate in its own case, separators and title. Surrogates keep the format: the length and kind of every character
 of an address, the grouping of digits, the number of digits of each octet, the
-check digit of a card number, and script, gender and case of a name.
+check digit of a card number, the country code of a phone number that is written with
+``+`` anywhere, and script, gender and case of a name.
 
 A collision check over the whole corpus follows: two entities of one kind may not
 share a surrogate, and no surrogate may be an entity itself. All but the first of a
@@ -56,13 +62,16 @@ PATTERNS = [
     ("card", r"(?<![\w+-])\d(?:[ -]?\d){12,18}(?![\w-])"),
     ("ssn", r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"),
     ("phone", r"(?<!\w)(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]\d{3,4}(?!\w)|(?<!\w)\+\d{8,14}(?!\w)|(?<!\w)\+\d{1,3}(?:[ .-]\d{2,4}){2,5}(?!\w)"),
-    ("person", rf"(?<!\w)(?:(?:{_TITLE})\.? {_WORD}|(?:{'|'.join(_GIVEN)})(?= {_WORD}))(?: {_WORD}){{0,2}}(?!\w)"),
+    ("person", rf"(?<!\w)(?:(?:(?:{_TITLE})\.? )+{_WORD}|(?:{'|'.join(_GIVEN)})(?= {_WORD}))(?: {_WORD}){{0,2}}(?!\w)"),
 ]
 #: Rows without any of these can hold no entity; the test runs before Python does.
 SUSPECT = r"@|[0-9][^A-Za-z]{0,3}[0-9]|\b(?:" + _TITLE + "|" + "|".join(_GIVEN) + r")\b"
 _COMPILED = [(kind, re.compile(p)) for kind, p in PATTERNS]
 _DIGITS = re.compile(r"\d")
-FOUND = "array<struct<start:int,end:int,kind:string,value:string>>"
+_TITLED = re.compile(rf"((?:(?:{_TITLE})\.? )*)(.*)", re.S)
+#: Country codes of phone numbers by their first digits.
+_COUNTRY = re.compile(r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}")
+FOUND = "array<struct<start:int,end:int,kind:string,value:string,entity:string,part:string,hint:string>>"
 
 
 def entities(text: str) -> list[tuple[int, int, str, str]]:
@@ -77,6 +86,38 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
     return sorted(taken)
 
 
+def _gender(titles: str) -> str:
+    return next((g for g, p in TITLES.items() if g and re.search(rf"(?:^| )(?:{p})\.? ", titles)), "")
+
+
+def entity(kind: str, value: str) -> tuple[str, str]:
+    """What all mentions of an entity have in common, and a hint that only some give: ``+``, or the gender of a title."""
+    if kind == "person":
+        titles, names = _TITLED.fullmatch(value).groups()
+        return names, _gender(titles)
+    if kind in ("phone", "card", "ssn"):
+        return "".join(_DIGITS.findall(value)), "+" if value.startswith("+") else ""
+    return value.lower(), ""
+
+
+def mentions(text: str) -> list[tuple[int, int, str, str, str, str, str]]:
+    """The spans of ``entities`` with entity, part of it that is named (all, first or last) and hint."""
+    found = [(*e, *entity(e[2], e[3])) for e in entities(text)]
+    full = [(start, name) for start, _, kind, _, name, _ in found if kind == "person" and " " in name]
+    out = []
+    for start, end, kind, value, name, hint in found:
+        part = "all"
+        if kind == "person" and " " not in name:
+            for at, which in ((-1, "last"), (0, "first")):
+                some = [(s, n) for s, n in full if n.split(" ")[at] == name]
+                some = [(s, n) for s, n in some if hint and _GIVEN.get(n.split(" ")[0], ("", ""))[1] == hint] or some
+                if some:
+                    name, part = ([n for s, n in some if s < start] or [some[0][1]])[-1], which
+                    break
+        out.append((start, end, kind, value, name, part, hint))
+    return out
+
+
 class Draw:
     """A stream of keyed random numbers for one entity and attempt."""
 
@@ -110,14 +151,16 @@ def luhn_holds(digits: list[int]) -> bool:
     return _luhn(digits[:-1]) == digits[-1]
 
 
-def _person(value: str, draw: Draw, attempt: int) -> str:
-    words = value.split(" ")
-    title = [w for w in words[:1] if re.fullmatch(rf"(?:{_TITLE})\.?", w)]
-    names = words[len(title) :]
+def _digits(text: str, draw: Draw) -> str:
+    """Random digits; only 0 becomes 0, so that no separator can make one lead."""
+    return "".join(str(draw(10) if c == "0" else 1 + draw(9)) for c in text)
+
+
+def _person(name: str, gender: str, draw: Draw, attempt: int) -> str:
+    names = name.split(" ")
     first = names[0]
     script = "cyrillic" if re.match("[А-яЁё]", first) else "greek" if re.match("[Ά-ώ]", first) else "latin"
-    by_title = next((g for g, p in TITLES.items() if g and title and re.fullmatch(rf"(?:{p})\.?", title[0])), "")
-    gender = by_title or _GIVEN.get(first, ("", ""))[1] or "mf"[draw(2)]
+    gender = gender or _GIVEN.get(first, ("", ""))[1] or "mf"[draw(2)]
     given = first in _GIVEN or len(names) > 1
     out = [NAMES[script, gender][draw(len(NAMES[script, gender]))]] if given else []
     while len(out) < len(names):
@@ -125,64 +168,92 @@ def _person(value: str, draw: Draw, attempt: int) -> str:
     if attempt > 3:
         # More names than the lists have: invented surnames, longer with every round of attempts.
         out[-1] = "".join(SYLLABLES[script][draw(len(SYLLABLES[script]))] for _ in range(2 + attempt // 4)).capitalize()
-    return " ".join([*title, *out])
+    return " ".join(out)
 
 
-def surrogate(kind: str, value: str, key: bytes, attempt: int = 0) -> str:
-    draw = Draw(key, kind, value, attempt)
+def drawn_entity(kind: str, name: str, hint: str, key: bytes, attempt: int = 0) -> str:
+    """The surrogate of an entity, in the form of ``entity``."""
+    draw = Draw(key, kind, name, attempt)
     if kind == "email":
-        name, _, domain = value.partition("@")
+        box, _, domain = name.partition("@")
         host, _, top = domain.rpartition(".")
         # One domain has one surrogate, whoever writes from it.
-        return f"{_like(name, draw)}@{_like(host, Draw(key, 'domain', host.lower(), 0))}.{top}"
+        return f"{_like(box, draw)}@{_like(host, Draw(key, 'domain', host, 0))}.{top}"
     if kind == "ip":
-        return ".".join(str({1: 1 + draw(9), 2: 10 + draw(90), 3: 100 + draw(156)}[len(o)]) for o in value.split("."))
-    if kind == "phone" and value.startswith("+"):
-        country = re.match(r"\+\d{1,3}(?=\D)|\+\d", value)[0]
-        return country + _like(value[len(country) :], draw)
+        return ".".join(str({1: 1 + draw(9), 2: 10 + draw(90), 3: 100 + draw(156)}[len(o)]) for o in name.split("."))
     if kind == "card":
-        old = [int(c) for c in value if c.isdigit()]
+        old = [int(c) for c in name]
         new = [old[0], *(draw(10) for _ in old[1:])]
         new[-1] = _luhn(new[:-1]) if luhn_holds(old) else (_luhn(new[:-1]) + 1 + draw(9)) % 10
-        digits = iter(new)
-        return _DIGITS.sub(lambda _: str(next(digits)), value)
-    return _person(value, draw, attempt) if kind == "person" else _like(value, draw)
+        return "".join(map(str, new))
+    if kind == "person":
+        return _person(entity(kind, name)[0], hint or entity(kind, name)[1], draw, attempt)
+    country = _COUNTRY.match(name)[0] if hint == "+" else ""
+    return country + _digits(name[len(country) :], draw)
+
+
+def rendered(kind: str, value: str, part: str, new: str) -> str:
+    """An entity's surrogate in the format of a mention."""
+    if kind == "person":
+        words = new.split(" ")
+        return _TITLED.fullmatch(value)[1] + {"all": new, "first": words[0], "last": words[-1]}[part]
+    if kind == "email":
+        if len(new) != len(value):
+            return new.upper() if value.isupper() else new
+        return "".join(n.upper() if v.isupper() else n for v, n in zip(value, new, strict=True))
+    if kind == "ip":
+        return new
+    digits = iter(new)
+    return _DIGITS.sub(lambda _: next(digits), value) + "".join(digits)
+
+
+def surrogate(kind: str, value: str, key: bytes, attempt: int = 0) -> str:
+    return rendered(kind, value, "all", drawn_entity(kind, *entity(kind, value), key, attempt))
 
 
 def _find(batches):
-    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("value", pa.string())]))
+    fields = ("start", "end", "kind", "value", "entity", "part", "hint")
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), *((c, pa.string()) for c in ("kind", "value", "entity", "part", "hint"))]))
     for batch in batches:
-        found = [[dict(zip(("start", "end", "kind", "value"), e, strict=True)) for e in entities(t)] if t else [] for t in batch.column("text").to_pylist()]
+        found = [[dict(zip(fields, e, strict=True)) for e in mentions(t)] if t else [] for t in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], names=[*batch.schema.names, "_found"])
 
 
 def _name(key: bytes):
     def run(batches):
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("kind", "value", "attempt")]
-            yield pa.RecordBatch.from_arrays([batch.column("kind"), batch.column("value"), batch.column("attempt"), pa.array([surrogate(k, v, key, a) for k, v, a in zip(*columns, strict=True)], pa.string())], names=["kind", "value", "attempt", "surrogate"])
+            columns = [batch.column(c).to_pylist() for c in ("kind", "value", "hint", "attempt")]
+            new = pa.array([drawn_entity(k, v, h, key, a) for k, v, h, a in zip(*columns, strict=True)], pa.string())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("kind", "value", "hint", "attempt")), new], names=["kind", "value", "hint", "attempt", "surrogate"])
 
     return run
 
 
+def _render(batches):
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in ("kind", "value", "part", "surrogate")]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("_row", "start", "end", "kind")), pa.array([rendered(*x) for x in zip(*columns, strict=True)], pa.string())], names=["_row", "start", "end", "kind", "surrogate"])
+
+
 def mapping(found: DataFrame, key: bytes) -> DataFrame:
-    """``kind``, ``value``, ``surrogate`` for the distinct entities of ``found``, checked for collisions."""
-    every = materialise(found.select("kind", "value").distinct(), "entities")
+    """``kind``, ``value``, ``surrogate`` for the distinct entities of ``found`` (with ``hint`` if it has that), checked for collisions."""
+    hint = F.col("hint") if "hint" in found.columns else F.lit("")
+    every = materialise(found.groupBy("kind", "value").agg(F.max(hint).alias("hint")), "entities")
     todo, done = every.withColumn("attempt", F.lit(0)), None
     while True:
-        drawn = materialise(todo.mapInArrow(_name(key), "kind string, value string, attempt int, surrogate string"), "drawn")
+        drawn = materialise(todo.mapInArrow(_name(key), "kind string, value string, hint string, attempt int, surrogate string"), "drawn")
         pool = drawn.withColumn("new", F.lit(1)) if done is None else drawn.withColumn("new", F.lit(1)).unionByName(done.withColumn("new", F.lit(0)))
         # Settled entities keep theirs; among new ones the first by value does.
         first = pool.groupBy("kind", "surrogate").agg(F.min(F.struct("new", "value"))["value"].alias("owner"))
         real = every.select("kind", F.col("value").alias("surrogate"), F.lit(True).alias("real"))
         judged = drawn.join(first, ["kind", "surrogate"]).join(real, ["kind", "surrogate"], "left")
-        judged = materialise(judged.select("kind", "value", "attempt", "surrogate", ((F.col("owner") == F.col("value")) & F.col("real").isNull()).alias("good")), "judged")
+        judged = materialise(judged.select("kind", "value", "hint", "attempt", "surrogate", ((F.col("owner") == F.col("value")) & F.col("real").isNull()).alias("good")), "judged")
         good = judged.where("good").drop("good")
         done = good if done is None else done.unionByName(good)
         left = judged.where("not good")
         if left.isEmpty():
-            return done.drop("attempt")
-        todo = left.select("kind", "value", (F.col("attempt") + 1).alias("attempt"))
+            return done.drop("attempt", "hint")
+        todo = left.select("kind", "value", "hint", (F.col("attempt") + 1).alias("attempt"))
 
 
 def _replaced(text: Column, spans: Column) -> Column:
@@ -201,7 +272,8 @@ def replace_entities(docs: DataFrame, key: bytes = b"shelfline") -> DataFrame:
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     rows = materialise(docs.where(suspect).mapInArrow(_find, f"{kinds}, _found {FOUND}").withColumn("_row", F.monotonically_increasing_id()), "suspects")
     each = rows.select("_row", F.explode("_found").alias("e")).select("_row", "e.*")
-    named = each.join(mapping(each, key), ["kind", "value"])
+    names = mapping(each.select("kind", F.col("entity").alias("value"), "hint"), key).withColumnRenamed("value", "entity")
+    named = each.join(names, ["kind", "entity"]).mapInArrow(_render, "_row long, start int, end int, kind string, surrogate string")
     spans = named.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind", "surrogate"))).alias("_spans"))
     joined = rows.join(spans, "_row", "left")
     text = F.when(F.col("_spans").isNotNull(), _replaced(F.col("text"), F.col("_spans"))).otherwise(F.col("text"))

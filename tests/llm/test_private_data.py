@@ -46,3 +46,21 @@ def test_distinct_entities_stay_distinct(spark):
     got = p.mapping(spark.createDataFrame(values, "kind string, value string"), KEY).collect()
     assert len(got) == len(set(values)) == len({(r.kind, r.surrogate) for r in got})
     assert not {(r.kind, r.surrogate) for r in got} & set(values)
+
+
+def test_mentions_in_other_forms_are_one_entity(spark):
+    texts = [
+        "Dr. Anna Keller wrote. Anna Keller and Frau Keller and Frau Dr. Anna Keller; Herr Keller, Paul Keller", "Anna Keller alone", "Frau Keller alone",
+        "Ann.Bo@Mail.example.com ann.bo@mail.example.com ANN.BO@MAIL.EXAMPLE.COM", "+1 (736) 555-2678, +1 736 555 2678; +1.736.555.2678; +1-736-555-2678", "4242 4242 4242 4242, 4242424242424242, 4242-4242-4242-4242", "Mr Xanthor then",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r.text for r in p.replace_entities(docs, KEY).orderBy("doc_id").collect()]
+    first, last, other = re.fullmatch(r"Dr\. (\w+) (\w+) wrote\. \1 \2 and Frau \2 and Frau Dr\. \1 \2; Herr \w+, (\w+ \w+)", got[0]).groups()
+    assert got[1] == f"{first} {last} alone" and first in p.NAMES["latin", "f"] and other != f"{first} {last}"
+    assert got[0].split("Herr ")[1].split(",")[0] == other.split()[1] and not any("Keller" in t for t in got)
+    a, b, c = got[3].split(" ")
+    assert a.lower() == b == c.lower() and c.isupper() and a[0].isupper() and a != texts[3].split(" ")[0]
+    for k in (4, 5):
+        assert len({re.sub(r"\D", "", x) for x in re.split("[,;]", got[k])}) == 1 and re.sub(r"\d", "0", got[k]) == re.sub(r"\d", "0", texts[k])
+    assert got[4].startswith("+1 (") and got[4] != texts[4] and p.luhn_holds([int(x) for x in got[5].split(",")[1].strip()])
+    assert got[6].startswith("Mr ") and "Xanthor" not in got[6]
