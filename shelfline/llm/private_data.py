@@ -16,8 +16,11 @@ check digit of a card number, the country code of a phone number that is written
 
 A collision check over the whole corpus follows: two entities of one kind may not
 share a surrogate, and no surrogate may be an entity itself. All but the first of a
-colliding group are drawn again with the next number until none collide; names grow
-by initials and then by invented syllables, so that the supply never ends.
+colliding group are drawn again with the next number until none collide. Four draws
+keep the format. Who finds nothing free in these gets a wider one, so that the supply
+does not end: a letter more in the mailbox, a digit more in a phone, card or social
+security number for every further draw, octets of any length for an address, and for
+names invented surnames that grow by syllables.
 
 Null text stays null and has no entities. All rows and columns are kept.
 """
@@ -69,6 +72,8 @@ SUSPECT = r"@|[0-9][^A-Za-z]{0,3}[0-9]|\b(?:" + _TITLE + "|" + "|".join(_GIVEN)
 _COMPILED = [(kind, re.compile(p)) for kind, p in PATTERNS]
 _DIGITS = re.compile(r"\d")
 _TITLED = re.compile(rf"((?:(?:{_TITLE})\.? )*)(.*)", re.S)
+#: Draws that keep the format of an entity; later ones widen it.
+KEEPING = 4
 #: Country codes of phone numbers by their first digits.
 _COUNTRY = re.compile(r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}")
 FOUND = "array<struct<start:int,end:int,kind:string,value:string,entity:string,part:string,hint:string>>"
@@ -165,7 +170,7 @@ def _person(name: str, gender: str, draw: Draw, attempt: int) -> str:
     out = [NAMES[script, gender][draw(len(NAMES[script, gender]))]] if given else []
     while len(out) < len(names):
         out.append(SURNAMES[script][draw(len(SURNAMES[script]))])
-    if attempt > 3:
+    if attempt >= KEEPING:
         # More names than the lists have: invented surnames, longer with every round of attempts.
         out[-1] = "".join(SYLLABLES[script][draw(len(SYLLABLES[script]))] for _ in range(2 + attempt // 4)).capitalize()
     return " ".join(out)
@@ -174,22 +179,25 @@ def _person(name: str, gender: str, draw: Draw, attempt: int) -> str:
 def drawn_entity(kind: str, name: str, hint: str, key: bytes, attempt: int = 0) -> str:
     """The surrogate of an entity, in the form of ``entity``."""
     draw = Draw(key, kind, name, attempt)
+    more = max(0, attempt - KEEPING + 1)
     if kind == "email":
         box, _, domain = name.partition("@")
         host, _, top = domain.rpartition(".")
         # One domain has one surrogate, whoever writes from it.
-        return f"{_like(box, draw)}@{_like(host, Draw(key, 'domain', host, 0))}.{top}"
+        return f"{_like(box + 'a' * more, draw)}@{_like(host, Draw(key, 'domain', host, 0))}.{top}"
     if kind == "ip":
+        if more:
+            return ".".join(str(1 + draw(255)) for _ in range(4))
         return ".".join(str({1: 1 + draw(9), 2: 10 + draw(90), 3: 100 + draw(156)}[len(o)]) for o in name.split("."))
     if kind == "card":
         old = [int(c) for c in name]
-        new = [old[0], *(draw(10) for _ in old[1:])]
+        new = [old[0], *(draw(10) for _ in old[1:]), *(draw(10) for _ in range(more))]
         new[-1] = _luhn(new[:-1]) if luhn_holds(old) else (_luhn(new[:-1]) + 1 + draw(9)) % 10
         return "".join(map(str, new))
     if kind == "person":
         return _person(entity(kind, name)[0], hint or entity(kind, name)[1], draw, attempt)
     country = _COUNTRY.match(name)[0] if hint == "+" else ""
-    return country + _digits(name[len(country) :], draw)
+    return country + _digits(name[len(country) :] + "0" * more, draw)
 
 
 def rendered(kind: str, value: str, part: str, new: str) -> str:

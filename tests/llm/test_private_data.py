@@ -64,3 +64,16 @@ def test_mentions_in_other_forms_are_one_entity(spark):
         assert len({re.sub(r"\D", "", x) for x in re.split("[,;]", got[k])}) == 1 and re.sub(r"\d", "0", got[k]) == re.sub(r"\d", "0", texts[k])
     assert got[4].startswith("+1 (") and got[4] != texts[4] and p.luhn_holds([int(x) for x in got[5].split(",")[1].strip()])
     assert got[6].startswith("Mr ") and "Xanthor" not in got[6]
+
+
+def test_a_full_format_is_widened(spark):
+    values = [("ip", f"{1 + k // 729}.{1 + k // 81 % 9}.{1 + k // 9 % 9}.{1 + k % 9}") for k in range(5000)]
+    values += [("email", f"{a}@{b}.io") for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnop"]
+    got = {(r.kind, r.value): r.surrogate for r in p.mapping(spark.createDataFrame(values, "kind string, value string"), KEY).collect()}
+    assert set(got) == set(values) and len({(k, s) for (k, _), s in got.items()}) == len(values)
+    assert not {(k, s) for (k, _), s in got.items()} & set(values)
+    assert all(p.entities(f"x {s} y")[0][2:] == (k, s) for (k, _), s in got.items())
+    for kind, value in (("phone", "+1 (736) 555-2678"), ("ssn", "123-45-6789"), ("card", "4242 4242 4242 4242")):
+        old, new = p.surrogate(kind, value, KEY, 3), p.surrogate(kind, value, KEY, 5)
+        assert len(old) == len(value) and len(new) == len(value) + 2
+    assert p.luhn_holds([int(c) for c in new if c.isdigit()])
