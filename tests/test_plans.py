@@ -123,7 +123,7 @@ def test_a_hot_key_is_split_where_the_master_is_too_large(spark, folder, monkeyp
         for k, v in settings.items():
             spark.conf.set(k, v)
         out = branch_rows(spark.read.parquet(folder("fact")), spark.read.parquet(folder("customers")), materials,
-                          [ReportBranch("b", ("X",), ("0",))]).select("zjcustbrg", "text")
+                          [ReportBranch("b", ("X:x",), ("0:n",))]).select("zjcustbrg", "text")
         assert len(out.collect()) == n
         assert "skew=true" in plan(out)
     finally:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shelfline import schemas
 from shelfline.operators import joins
 from shelfline.plans import equipment, pos, sales
-from shelfline.sources.report import ReportBranch
+from shelfline.sources.report import BUDGET_DRINKS, BUDGET_OTHER, DATA_USUAL, DATA_VENDING, ReportBranch
 
 D = dt.date(2021, 1, 1)
 MEASURES = [f"cm_{y}_{m}" for m in ("bapc", "nsr", "cogs", "gp") for y in ("cy", "ly")]
@@ -33,15 +33,15 @@ def star(spark):
         rows, "calday date, zjcustbrg string, zjmatrial string, comp_code string, "
         + ", ".join(f"{m} decimal(18,6)" for m in MEASURES))
     customers = master(spark, schemas.CUSTOMER_MASTER, [
-        {"zjcust": "c1", "zero_region___t": "east", "zjdfflg": "0:n", "zjdivold2": "13", "zjddexfl___t": "送信対象"},
-        {"zjcust": "c2", "zero_region___t": "west", "zjdfflg": "2:v", "zjdivold2": "35"},
-        {"zjcust": "c2", "zero_region___t": "west", "zjdfflg": "2:v", "zjdivold2": "35"},
+        {"zjcust": "c1", "zero_region___t": "east", "zjdfflg": DATA_USUAL, "zjdivold2": "13", "zjddexfl___t": "送信対象"},
+        {"zjcust": "c2", "zero_region___t": "west", "zjdfflg": DATA_VENDING, "zjdivold2": "35"},
+        {"zjcust": "c2", "zero_region___t": "west", "zjdfflg": DATA_VENDING, "zjdivold2": "35"},
         {"zjcust": None, "zero_region___t": "nowhere"},
     ])
     materials = master(spark, schemas.MATERIAL_MASTER, [
-        {"zjmate": "m1", "zjejbrand___t": "b1", "zjbudtf": "X:x"},
-        {"zjmate": "m2", "zjejbrand___t": "b2", "zjbudtf": "Y:y"},
-        {"zjmate": "m2", "zjejbrand___t": "b3", "zjbudtf": "Y:y"},
+        {"zjmate": "m1", "zjejbrand___t": "b1", "zjbudtf": BUDGET_DRINKS},
+        {"zjmate": "m2", "zjejbrand___t": "b2", "zjbudtf": BUDGET_OTHER},
+        {"zjmate": "m2", "zjejbrand___t": "b3", "zjbudtf": BUDGET_OTHER},
     ])
     return detail, customers, materials
 
@@ -72,7 +72,7 @@ def test_pulse_limit_orders_nulls_last(star):
 
 def test_branches_keep_repeats(star):
     detail, customers, materials = star
-    both = (ReportBranch("one", ("X",), ("0", "2")), ReportBranch("two", ("X", "Y"), ("2",)))
+    both = (ReportBranch("one", (BUDGET_DRINKS,), (DATA_USUAL, DATA_VENDING)), ReportBranch("two", (BUDGET_DRINKS, BUDGET_OTHER), (DATA_VENDING,)))
     union = sales.sales_union(detail, customers, materials, both)
     assert union.columns == detail.columns
     # c1 fits one branch; c2 fits two branches and has two master rows.
@@ -81,9 +81,9 @@ def test_branches_keep_repeats(star):
 
 def test_branch_company_and_sending(star):
     detail, customers, materials = star
-    sending = (ReportBranch("s", ("X",), ("0", "2"), sending="送信対象"),)
+    sending = (ReportBranch("s", (BUDGET_DRINKS,), (DATA_USUAL, DATA_VENDING), sending="送信対象"),)
     assert {r.zjcustbrg for r in sales.sales_union(detail, customers, materials, sending).collect()} == {"c1"}
-    other = (ReportBranch("o", ("X",), ("0", "2"), company="1000"),)
+    other = (ReportBranch("o", (BUDGET_DRINKS,), (DATA_USUAL, DATA_VENDING), company="1000"),)
     assert sales.sales_union(detail, customers, materials, other).isEmpty()
 
 
