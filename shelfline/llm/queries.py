@@ -1,6 +1,6 @@
 """The registered queries of this package, and the SQL of those that SQL can express."""
 
-from shelfline.llm import decontaminate, jaccard_join, language, lm_score, packing, private_data, quality, secrets, suffix_dedup, topk
+from shelfline.llm import decontaminate, fill_middle, jaccard_join, language, lm_score, packing, private_data, quality, secrets, suffix_dedup, topk
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -13,10 +13,12 @@ QUERIES = {
     "op8_lm_score": lm_score.op8_lm_score,
     "op9_secrets": secrets.op9_secrets,
     "op10_topk": topk.op10_topk,
+    "op13_fill_middle": fill_middle.op13_fill_middle,
 }
 
 #: The others are fitted, tokenise, or follow links; they are tested against brute force.
 ORACLES = {
     "op7_decontaminate": decontaminate.ORACLE,
     "op10_topk": topk.ORACLE,
+    "op13_fill_middle": fill_middle.ORACLE,
 }
