@@ -57,13 +57,18 @@ def _powers(n: int) -> list[np.ndarray]:
     return _POWERS
 
 
-def prefix_hash(data: np.ndarray) -> np.ndarray:
-    """Running polynomial hash of bytes; ``span_hash`` reads any span from it."""
-    out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_CODES[data] * _powers(len(data) + 1)[0][: len(data)], out=out[1:])
+def prefix_hash_of(codes: np.ndarray) -> np.ndarray:
+    """Running polynomial hash of 64-bit codes; ``span_hash`` reads any span from it."""
+    out = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(codes * _powers(len(codes) + 1)[0][: len(codes)], out=out[1:])
     return out
 
 
+def prefix_hash(data: np.ndarray) -> np.ndarray:
+    """Running polynomial hash of bytes."""
+    return prefix_hash_of(_BYTE_CODES[data])
+
+
 def span_hash(running: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hash of the bytes from ``start`` to ``end``, the same wherever they stand."""
     return mix((running[end] - running[start]) * _powers(len(running))[1][start])
