@@ -1,6 +1,6 @@
 """The registered queries of this package, and the SQL of those that SQL can express."""
 
-from shelfline.llm import decontaminate, fill_middle, jaccard_join, language, lm_score, packing, periodic, private_data, quality, secrets, suffix_dedup, topk
+from shelfline.llm import decontaminate, fill_middle, jaccard_join, language, lm_score, minhash, packing, periodic, private_data, quality, secrets, suffix_dedup, topk
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -14,6 +14,7 @@ QUERIES = {
     "op9_secrets": secrets.op9_secrets,
     "op10_topk": topk.op10_topk,
     "op11_periodic": periodic.op11_periodic,
+    "op12_minhash": minhash.op12_minhash,
     "op13_fill_middle": fill_middle.op13_fill_middle,
 }
 
