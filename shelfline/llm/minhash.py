@@ -10,9 +10,12 @@ the stated share of their union.
    member of a bucket first meets the bucket's hub, the member with the most company
    in all its buckets. Pairs whose minima agree too rarely go; the rest are confirmed
    on whole shingle sets, which are built from the texts of those classes only.
-3. Members of a bucket that neither is the hub and that are not in one component yet
-   meet in chunks: two chunks of a bucket are compared in one row, and only pairs
-   whose minima agree come out of it. They are confirmed like the others.
+3. The members beside the hub that are not all in one component yet meet in chunks:
+   a cell compares two chunks of a bucket, all whole sets of one with all of the
+   other, as a product of incidence matrices. Out of a cell come only as many links
+   as join its components, fewer than it has members, so no bucket emits its pairs.
+   The comparisons themselves are all made: their number, not that of rows, grows
+   with the square of a bucket whose members are alike but not linked.
 4. Links become components by large-star and small-star in turn, each round a written
    table, until nothing moves.
 
@@ -40,8 +43,8 @@ from shelfline.llm.common import materialise, mix, shingle_runs
 SHINGLE_WORDS, SIMILARITY = 3, 85
 BANDS, BAND_ROWS = 32, 5
 MINIMA = BANDS * BAND_ROWS
-#: Members of a bucket that are compared with each other in one row.
-CHUNK = 64
+#: Members of a bucket, and shingles of them, that form one chunk.
+CHUNK, CHUNK_SHINGLES = 512, 150_000
 
 _RNG = np.random.default_rng(85)
 _FACTORS = _RNG.integers(1, 2**64, MINIMA, dtype=np.uint64) | np.uint64(1)
@@ -134,37 +137,51 @@ def _buckets(batches):
         yield pa.RecordBatch.from_arrays([batch.column("class"), batch.column("n"), lists], names=["class", "n", "keys"])
 
 
-def _agreeing(least: int):
-    """Pairs whose minima agree often enough."""
+def overlaps(left: list[np.ndarray], right: list[np.ndarray], width: int = 8192) -> np.ndarray:
+    """Sizes of the intersections of all sets of one side with all of the other, as products of incidence matrices."""
+    sides = [(np.concatenate(s), np.repeat(np.arange(len(s)), [len(x) for x in s])) for s in (left, right)]
+    common = np.intersect1d(sides[0][0], sides[1][0])
+    out = np.zeros((len(left), len(right)), np.float32)
+    for at in range(0, len(common), width):
+        some, blocks = common[at : at + width], []
+        for (values, rows), number in zip(sides, (len(left), len(right)), strict=True):
+            place = np.minimum(np.searchsorted(some, values), len(some) - 1)
+            held = some[place] == values
+            block = np.zeros((number, len(some)), np.float32)
+            block[rows[held], place[held]] = 1
+            blocks.append(block)
+        out += blocks[0] @ blocks[1].T
+    return out.astype(np.int64)
+
+
+def _meet(similarity: int):
+    """Links between two chunks of a bucket (or inside one), no more than join their components."""
+
+    def links(left: list[dict], right: list[dict] | None):
+        other = left if right is None else right
+        x, y = ([np.frombuffer(m["shingles"], np.uint64) for m in side] for side in (left, other))
+        both = overlaps(x, y)
+        nx, ny = (np.array([len(s) for s in side]) for side in (x, y))
+        linked = 100 * both >= similarity * (nx[:, None] + ny - both)
+        if right is None:
+            linked &= np.triu(np.ones(linked.shape, bool), 1)
+        up: dict[bytes, bytes] = {}
+
+        def find(part: bytes) -> bytes:
+            while up.get(part, part) != part:
+                part = up[part] = up.get(up[part], up[part])
+            return part
+
+        for i, j in zip(*(k.tolist() for k in np.nonzero(linked)), strict=True):
+            p, q = find(left[i]["part"]), find(other[j]["part"])
+            if p != q:
+                up[p] = q
+                yield left[i]["class"], other[j]["class"]
 
     def run(batches):
         for batch in batches:
-            if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, MINIMA) for c in ("x", "y"))
-                yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= least))
-
-    return run
-
-
-def _meeting_chunks(least: int, similarity: int):
-    """Pairs of two chunks of a bucket that may link, lie in different components and fit in size."""
-
-    def run(batches):
-        for batch in batches:
-            out: list[tuple[bytes, bytes]] = []
-            for same, left, right in zip(batch.column("same").to_pylist(), batch.column("left"), batch.column("right"), strict=True):
-                left, right = left.as_py(), right.as_py()
-                x, y = (np.frombuffer(b"".join(m["minima"] for m in side), np.uint32).reshape(-1, MINIMA) for side in (left, right))
-                nx, ny = (np.array([m["n"] for m in side]) for side in (left, right))
-                fit = 100 * np.minimum(nx[:, None], ny) >= similarity * np.maximum(nx[:, None], ny)
-                if same:
-                    fit &= np.triu(np.ones(fit.shape, bool), 1)
-                for i in np.flatnonzero(fit.any(axis=1)).tolist():
-                    for j in np.flatnonzero(fit[i] & ((y == x[i]).sum(axis=1) >= least)).tolist():
-                        if left[i]["part"] != right[j]["part"]:
-                            a, b = sorted((left[i]["class"], right[j]["class"]))
-                            out.append((a, b))
-            a, b = zip(*set(out), strict=True) if out else ((), ())
+            out = [link for left, right in zip(batch.column("left"), batch.column("right"), strict=True) for link in links(left.as_py(), right.as_py())]
+            a, b = zip(*out, strict=True) if out else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
     return run
@@ -183,44 +200,42 @@ def _sets_of(words: int):
                 blobs = [hashes[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
                 some = batch.slice(first, number).take(pa.array(filled))
                 mine = [x == y for x, y in zip(some.column("class").to_pylist(), _fingerprints(hashes, starts, sizes[filled]), strict=True)]
-                yield pa.RecordBatch.from_arrays([some.column("class"), pa.array(blobs, pa.binary())], names=["class", "shingles"]).filter(pa.array(mine))
+                yield pa.RecordBatch.from_arrays([some.column("class"), some.column("minima"), pa.array(blobs, pa.binary())], names=["class", "minima", "shingles"]).filter(pa.array(mine))
 
     return run
 
 
-def shingle_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
-    """``class`` and ``shingles`` of the classes of ``pairs``, from the text of one member each."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    needed = classes.join(needed, "class", "left_semi").select("class", F.col("first.doc_id").alias("first_id"), F.col("first.text_key").alias("first_text"))
+def shingle_sets(docs: DataFrame, classes: DataFrame, needed: DataFrame, words: int) -> DataFrame:
+    """``class``, ``minima`` and ``shingles`` of the ``needed`` classes, from the text of one member each."""
+    needed = classes.join(needed, "class", "left_semi").select("class", F.col("first.doc_id").alias("first_id"), F.col("first.text_key").alias("first_text"), "minima")
     texts = _keyed(docs).join(needed, F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_key") == F.col("first_text")))
-    sets = texts.select("class", "text").mapInArrow(_sets_of(words), "class binary, shingles binary")
-    return sets.groupBy("class").agg(F.first("shingles").alias("shingles"))
+    sets = texts.select("class", "minima", "text").mapInArrow(_sets_of(words), "class binary, minima binary, shingles binary")
+    return sets.groupBy("class").agg(F.first("minima").alias("minima"), F.first("shingles").alias("shingles"))
 
 
-def _confirm(similarity: int):
+def _confirm(least: int, similarity: int):
+    """Pairs whose minima agree often enough and whose whole sets overlap enough."""
+
     def run(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                p, q = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, y))
+            if not batch.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, MINIMA) for c in ("minima_a", "minima_b"))
+            keep = (x == y).sum(axis=1) >= least
+            for k in np.flatnonzero(keep).tolist():
+                p, q = (np.frombuffer(batch.column(c)[k].as_buffer(), np.uint64) for c in ("shingles_a", "shingles_b"))
                 both = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(100 * both >= similarity * (len(p) + len(q) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                keep[k] = 100 * both >= similarity * (len(p) + len(q) - both)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     return run
 
 
-def _with_both(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
-    x = table.select(F.col("class").alias("a"), F.col(column).alias("x"))
-    y = table.select(F.col("class").alias("b"), F.col(column).alias("y"))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-
-
-def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, similarity: int) -> DataFrame:
-    """The pairs whose whole shingle sets overlap enough; a written table."""
-    pairs = materialise(pairs, "close-pairs")
-    sets = materialise(shingle_sets(docs, classes, pairs, words), "pair-sets")
-    return materialise(_with_both(pairs, sets, "shingles").mapInArrow(_confirm(similarity), "a binary, b binary"), "links")
+def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """The links among pairs of classes, from their minima, then their whole sets; a written table."""
+    for side in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("class").alias(side), F.col("minima").alias(f"minima_{side}"), F.col("shingles").alias(f"shingles_{side}")), side)
+    return materialise(pairs.mapInArrow(_confirm(least_agreement(similarity), similarity), "a binary, b binary"), "links")
 
 
 def star_components(edges: DataFrame) -> DataFrame:
@@ -233,28 +248,30 @@ def star_components(edges: DataFrame) -> DataFrame:
     and its neighbours never meet in one place.
     """
 
-    def state(table: DataFrame) -> tuple:
-        return tuple(table.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-
-    edges = materialise(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    now = state(edges)
-    while True:
+    def large(edges: DataFrame) -> DataFrame:
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
-        large = materialise(large, "large-star")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        moved = large.join(least, "a").select(F.explode(F.array(F.col("a"), F.col("b"))).alias("a"), F.col("m").alias("b"))
-        edges = materialise(moved.where("a <> b").distinct(), "small-star")
-        before, now = now, state(edges)
-        if now == before:
-            break
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).union(edges.select("b", "b").distinct())
+        return both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+
+    def small(edges: DataFrame) -> DataFrame:
+        least = edges.groupBy("a").agg(F.min("b").alias("m"))
+        moved = edges.join(least, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
+        return moved.where("a <> b")
+
+    def flat(edges: DataFrame) -> bool:
+        """Every node hangs on one other, or others hang on it."""  # edges may be there twice
+        roles = edges.selectExpr("stack(2, a, b, b, null) as (node, up)").groupBy("node")
+        return roles.agg(F.min("up").alias("p"), F.max("up").alias("q"), F.count("up").alias("ups"), F.count("*").alias("uses")).where("p <> q or (ups > 0 and ups < uses)").isEmpty()
+
+    edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    edges, number = materialise(edges.distinct(), "edges"), 0
+    while not flat(edges):
+        edges, number = materialise(small(edges).distinct() if number % 2 else large(edges), "stars"), number + 1
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).union(edges.select("b", "b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY, words: int = SHINGLE_WORDS) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of every row of ``docs`` (``doc_id``, ``text``)."""
-    least = least_agreement(similarity)
     judged = materialise(signatures(docs, words), "signatures")
     classes = judged.where("class is not null").groupBy("class").agg(
         F.min(F.struct("doc_id", "text_key")).alias("first"), F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("minima").alias("minima"))
@@ -264,14 +281,16 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY, words: int =
     banded = banded.select("class", "n", F.explode("keys").alias("key"))
     shared = banded.join(banded.groupBy("key").agg(F.count("*").alias("many")).where("many > 1"), "key")
     shared = materialise(shared.select("key", "class", "n", "many"), "buckets")
-    company = shared.groupBy("class").agg(F.sum("many").alias("company"))
-    hubs = shared.join(company, "class").groupBy("key").agg(F.max_by(F.struct("class", "n"), F.struct("company", "class")).alias("hub"))
-    met = materialise(shared.join(hubs.select("key", F.col("hub.class").alias("hub"), F.col("hub.n").alias("hub_n")), "key"), "met")
+    # A class has at most one bucket for each band.
+    company = shared.groupBy("class").agg(F.first("n").alias("n"), F.sum("many").alias("company"), F.collect_list(F.struct("key", "many")).alias("buckets"))
+    met = company.select("class", "n", "company", F.inline("buckets"))
+    hubs = met.groupBy("key").agg(F.max_by(F.struct("class", "n"), F.struct("company", "class")).alias("hub"))
+    met = met.join(hubs.select("key", F.col("hub.class").alias("hub"), F.col("hub.n").alias("hub_n")), "key")
+    met = materialise(met.select("key", "class", "n", "many", "hub", "hub_n"), "met")
+    sets = materialise(shingle_sets(docs, classes, met.select("class").distinct(), words), "class-sets")
     fit = F.lit(100) * F.least("n", "hub_n") >= F.lit(similarity) * F.greatest("n", "hub_n")
     starred = met.where((F.col("class") != F.col("hub")) & fit).select(F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b")).distinct()
-    signs = classes.select("class", "minima")
-    agreeing = _with_both(starred, signs, "minima").mapInArrow(_agreeing(least), "a binary, b binary")
-    first = confirmed(docs, classes, agreeing, words, similarity)
+    first = confirmed(starred, sets, similarity)
     labels = materialise(star_components(first), "labels")
 
     # Pairs with a hub are judged. The rest of a bucket meets where it lies in several components;
@@ -279,17 +298,20 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY, words: int =
     rest = met.where("class <> hub and many > 2").join(labels, F.col("class") == F.col("node"), "left")
     rest = materialise(rest.select("key", "class", "n", F.coalesce("label", "class").alias("part")), "rest")
     kinds = rest.groupBy("key").agg(
-        F.count("*").alias("size"), F.min("part").alias("p"), F.max("part").alias("q"),
+        F.count("*").alias("size"), F.sum("n").alias("total"), F.min("part").alias("p"), F.max("part").alias("q"),
         F.sum(F.xxhash64("class").cast("decimal(38,0)")).alias("s1"), F.sum(F.xxhash64("class", F.lit(1)).cast("decimal(38,0)")).alias("s2"))
-    kinds = kinds.where("p <> q").groupBy("size", "s1", "s2").agg(F.min("key").alias("key"))
-    members = rest.join(kinds.select("key", "size"), "key").join(signs, "class")
-    chunk = F.pmod(F.xxhash64("class"), F.ceil(F.col("size") / F.lit(CHUNK)).cast("long"))
-    chunks = members.groupBy("key", chunk.alias("chunk")).agg(F.collect_list(F.struct("class", "part", "n", "minima")).alias("members"))
+    kinds = kinds.where("p <> q").groupBy("size", "total", "s1", "s2").agg(F.min("key").alias("key"))
+    members = materialise(rest.join(kinds.select("key", "size", "total"), "key"), "members")
+    parts = F.greatest(F.ceil(F.col("size") / F.lit(CHUNK)), F.ceil(F.col("total") / F.lit(CHUNK_SHINGLES))).cast("long")
+    chunks = members.withColumn("parts", parts).withColumn("chunk", F.pmod(F.xxhash64("class", F.lit(7)), F.col("parts")))
+    chunks = chunks.join(sets.select("class", "shingles"), "class").groupBy("key", "parts", "chunk").agg(F.collect_list(F.struct("class", "part", "shingles")).alias("members"))
     chunks = materialise(chunks, "chunks")
-    left, right = chunks.select("key", F.col("chunk").alias("c"), F.col("members").alias("left")), chunks.select("key", F.col("chunk").alias("d"), F.col("members").alias("right"))
-    pairs = left.join(right, "key").where("c <= d").select((F.col("c") == F.col("d")).alias("same"), "left", "right")
-    pairs = pairs.mapInArrow(_meeting_chunks(least, similarity), "a binary, b binary").distinct()
-    second = confirmed(docs, classes, pairs, words, similarity)
+    whole = chunks.where("parts = 1").select(F.col("members").alias("left"), F.lit(None).cast(chunks.schema["members"].dataType).alias("right"))
+    cut = chunks.where("parts > 1")
+    across = (cut.select("key", F.col("chunk").alias("c"), F.explode(F.sequence("chunk", F.col("parts") - 1)).alias("d"), F.col("members").alias("left"))
+              .join(cut.select("key", F.explode(F.sequence(F.lit(0).cast("long"), "chunk")).alias("c"), F.col("chunk").alias("d"), F.col("members").alias("right")), ["key", "c", "d"]))
+    across = across.select("left", F.when(F.col("c") != F.col("d"), F.col("right")).alias("right"))
+    second = materialise(whole.unionByName(across).mapInArrow(_meet(similarity), "a binary, b binary").distinct(), "links")
     if not second.isEmpty():
         labels = materialise(star_components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(second)), "labels")
 
