@@ -34,41 +34,35 @@ class Climb:
 def climb(tree: DataFrame, node: str, parent: str, carry: Sequence[str] = ()) -> Climb:
     """Follow parent pointers from every node until no parent is found, however deep.
 
-    Each level is one equi-join of the open rows with the tree, written below
-    one folder; the climb ends at the first empty level. A section that meets
-    itself is part of a cycle, and rows that stand on such a section climb no
-    further, so every cycle ends the climb after its own length. Rows without a
-    parent leave before the join, so nulls never form a hot key, and a parent
-    shared by many nodes is a probe-side skew that AQE splits (or a broadcast).
+    The chain doubles: after a round it holds the next ``span`` sections of every
+    walk, and a walk that is open there goes on by joining the chain of the section
+    it points at. So a tree needs as many joins as its depth has binary digits, each
+    written as a table. A walk that never ends points at such a walk again; once all
+    open walks point at open walks, what is open is a cycle or leads into one.
+    Rows without a parent leave before the join, so nulls never form a hot key, and a
+    parent shared by many nodes is a probe-side skew that AQE splits (or a broadcast).
+    Repeated rows of a section are walks of their own.
     """
-    base = work_path(tree.sparkSession, "climb")
     columns = [node, parent, *carry]
     first = materialise(tree.select(F.col(node).alias("leaf"), F.lit(0).alias("depth"), *columns), "tree")
-    steps = first.select(*[F.col(c).alias(f"_t_{c}") for c in columns])
     stored = tree.sparkSession.read.schema(first.schema)
-    looped = first.select(F.col("leaf").alias("_loop")).limit(0)
-    level, found, loops, depth = first, [], False, 0
+    base, paths, span = work_path(tree.sparkSession, "climb"), [], 1
+    chain, last = first, first
     while True:
-        depth += 1
-        path = f"{base}/depth-{depth:05d}"
-        (level.where(F.col(parent).isNotNull())
-         .join(steps, F.col(parent) == F.col(f"_t_{node}"), "inner")
-         .select("leaf", F.lit(depth).alias("depth"), *[F.col(f"_t_{c}").alias(c) for c in columns])
-         .write.parquet(path))
-        level = stored.parquet(path)
-        rows, met = level.agg(F.count(F.lit(1)), F.count_if(F.col(node) == F.col("leaf"))).first()
-        if not rows:
+        open_ = last.where((F.col("depth") == span - 1) & F.col(parent).isNotNull()).select("leaf", F.col(parent).alias("_up"))
+        names = open_.select(F.col("leaf").alias("_leaf")).distinct()
+        if open_.join(names, F.col("_up") == F.col("_leaf"), "left_anti").isEmpty():
             break
-        found.append(path)
-        if met:
-            members = level.where(F.col(node) == F.col("leaf")).select(F.col("leaf").alias("_loop")).distinct()
-            looped, loops = materialise(looped.unionByName(members).distinct(), "loops"), True
-        if loops:
-            level = level.join(looped, F.col(node) == F.col("_loop"), "left_anti")
-    chain = first.unionByName(stored.parquet(*found)) if found else first
-    if not loops:
-        return Climb(chain, first.select("leaf").limit(0))
-    cyclic = materialise(chain.join(looped, F.col(node) == F.col("_loop"), "left_semi").select("leaf").distinct(), "cyclic")
+        above = chain.select(F.col("leaf").alias("_leaf"), F.col("depth").alias("_depth"), *[F.col(c).alias(f"_t_{c}") for c in columns])
+        paths.append(f"{base}/span-{span}")
+        (open_.join(above, F.col("_up") == F.col("_leaf"))
+         .select("leaf", (F.col("_depth") + span).alias("depth"), *[F.col(f"_t_{c}").alias(c) for c in columns])
+         .write.parquet(paths[-1]))
+        chain, last, span = first.unionByName(stored.parquet(*paths)), stored.parquet(paths[-1]), span * 2
+    cyclic = names.select(F.col("_leaf").alias("leaf"))
+    if cyclic.isEmpty():
+        return Climb(chain, cyclic)
+    cyclic = materialise(cyclic, "cyclic")
     return Climb(chain.join(cyclic, "leaf", "left_anti"), cyclic)
 
 

@@ -1,3 +1,4 @@
+import os
 from collections import Counter
 
 import pandas as pd
@@ -83,6 +84,26 @@ def test_usage(spark):
 TREE = "SectionCD string, ParentSectionCD string, LCD string, SectionNameEN string, name_localized string"
 
 
+def test_climb_doubles_its_reach(spark, monkeypatch):
+    """A chain of 200 sections, a cycle of three with a tail, a repeated section and a parent that is missing."""
+    rows = [(f"n{k:03d}", f"n{k - 1:03d}" if k else None, "L") for k in range(200)]
+    rows += [("c0", "c1", "L"), ("c1", "c2", "L"), ("c2", "c0", "L"), ("t0", "c1", "L"), ("t1", "t0", "L"), ("self", "self", "L")]
+    rows += [("d", "n003", "L"), ("d", "gone", "M"), ("e", "d", "L"), (None, "n001", "L")]
+    made = []
+    keep = org.work_path
+    monkeypatch.setattr(org, "work_path", lambda s, n: made.append(keep(s, n)) or made[-1])
+    climbed = org.climb(spark.createDataFrame(rows, "code string, parent string, kind string"), "code", "parent", ["kind"])
+    want = Counter()
+    for code, parent, kind in rows:
+        walks = [(0, code, parent, kind)]
+        while walks and code not in ("c0", "c1", "c2", "t0", "t1", "self"):
+            want.update((code, *w) for w in walks)
+            walks = [(d + 1, c, p, k) for d, _, up, _ in walks for c, p, k in rows if up is not None and c == up]
+    assert bag(climbed.chain.select("leaf", "depth", "code", "parent", "kind")) == want
+    assert {r.leaf for r in climbed.cyclic.collect()} == {"c0", "c1", "c2", "t0", "t1", "self"}
+    assert len(os.listdir(made[0])) == 8  # joins for a depth of 200
+
+
 def test_climb_reports_cycles(spark):
     tree = spark.createDataFrame(
         [("r", None, "L0", "R", "r"), ("a", "r", "L1", "A", "a"), ("b", "a", "L2.5", "B", "b"),
