@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shelfline.session import materialise, work_path
@@ -31,6 +31,11 @@ class Climb:
     cyclic: DataFrame
 
 
+def _open(chain: DataFrame, parent: str, span: int) -> DataFrame:
+    """Walks that go on after ``span`` sections, and where."""
+    return chain.where((F.col("depth") == span - 1) & F.col(parent).isNotNull()).select("leaf", F.col(parent).alias("_up"))
+
+
 def climb(tree: DataFrame, node: str, parent: str, carry: Sequence[str] = ()) -> Climb:
     """Follow parent pointers from every node until no parent is found, however deep.
 
@@ -47,21 +52,26 @@ def climb(tree: DataFrame, node: str, parent: str, carry: Sequence[str] = ()) ->
     first = materialise(tree.select(F.col(node).alias("leaf"), F.lit(0).alias("depth"), *columns), "tree")
     stored = tree.sparkSession.read.schema(first.schema)
     base, paths, span = work_path(tree.sparkSession, "climb"), [], 1
-    chain, last = first, first
+    chain, last, before = first, first, None
     while True:
-        open_ = last.where((F.col("depth") == span - 1) & F.col(parent).isNotNull()).select("leaf", F.col(parent).alias("_up"))
-        names = open_.select(F.col("leaf").alias("_leaf")).distinct()
-        if open_.join(names, F.col("_up") == F.col("_leaf"), "left_anti").isEmpty():
-            break
         above = chain.select(F.col("leaf").alias("_leaf"), F.col("depth").alias("_depth"), *[F.col(c).alias(f"_t_{c}") for c in columns])
+        longer = (_open(last, parent, span).join(above, F.col("_up") == F.col("_leaf"))
+                  .select("leaf", (F.col("_depth") + span).alias("depth"), *[F.col(f"_t_{c}").alias(c) for c in columns]))
         paths.append(f"{base}/span-{span}")
-        (open_.join(above, F.col("_up") == F.col("_leaf"))
-         .select("leaf", (F.col("_depth") + span).alias("depth"), *[F.col(f"_t_{c}").alias(c) for c in columns])
-         .write.parquet(paths[-1]))
-        chain, last, span = first.unionByName(stored.parquet(*paths)), stored.parquet(paths[-1]), span * 2
-    cyclic = names.select(F.col("_leaf").alias("leaf"))
-    if cyclic.isEmpty():
-        return Climb(chain, cyclic)
+        seen, span = Observation(), span * 2
+        still = (F.col("depth") == span - 1) & F.col(parent).isNotNull()
+        longer.observe(seen, F.count_if(still).alias("open")).write.parquet(paths[-1])
+        chain, last = first.unionByName(stored.parquet(*paths)), stored.parquet(paths[-1])
+        number = seen.get["open"]
+        if not number:
+            return Climb(chain, first.select("leaf").limit(0))
+        # Walks that end lower the number; only where none did can all of them be endless.
+        if before is not None and number >= before:
+            open_ = _open(last, parent, span)
+            cyclic = open_.select("leaf").distinct()
+            if open_.join(cyclic.withColumnRenamed("leaf", "_leaf"), F.col("_up") == F.col("_leaf"), "left_anti").isEmpty():
+                break
+        before = number
     cyclic = materialise(cyclic, "cyclic")
     return Climb(chain.join(cyclic, "leaf", "left_anti"), cyclic)
 
