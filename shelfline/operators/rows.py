@@ -2,27 +2,37 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from shelfline.session import materialise
 
 
+def _repeatable(df: DataFrame) -> bool:
+    """Whether a repeated task yields the same rows in the same order: no shuffle and no changing value before it."""
+    execution = df._jdf.queryExecution()
+    return execution.optimizedPlan().deterministic() and "Exchange hash" not in (text := execution.executedPlan().toString()) and not any(
+        k in text for k in ("Exchange range", "Exchange Round", "Exchange Single", "Exchange Rebalance", "REBALANCE", "REPARTITION"))
+
+
 def with_row_number(df: DataFrame, order_by: Sequence[str], name: str = "row_number") -> DataFrame:
     """Dense row numbers from 0 in a global order, without a one-task window.
 
-    Rows are range-sorted and written, with the task number and the position in
+    Rows are range-sorted and written once, with the task number and the position in
     the task as values. The row count per task then gives each task its offset;
     that table has one row per task. An arrival number breaks ties, so even a
-    large group of copies spreads over several ranges. It is written before the
-    sort, so that a task repeated after the loss of an executor sends every row
-    to the same range again.
+    large group of copies spreads over several ranges. A task repeated after the loss
+    of an executor has to send every row to the same range again: rows that come
+    straight from a scan do, others are written before the sort.
     """
-    arrival = materialise(df.withColumn("_arrival", F.monotonically_increasing_id()), "arrival")
+    arrival = df.withColumn("_arrival", F.monotonically_increasing_id())
+    if not _repeatable(df):
+        arrival = materialise(arrival, "arrival")
     ranged = arrival.orderBy(*order_by, "_arrival").withColumn("_place", F.monotonically_increasing_id())
     placed = materialise(
         ranged.select(*df.columns, F.shiftrightunsigned("_place", 33).alias("_task"),
@@ -36,6 +46,53 @@ def with_row_number(df: DataFrame, order_by: Sequence[str], name: str = "row_num
     return numbered.select(*df.columns, (F.col("_offset") + F.col("_pos")).alias(name))
 
 
+#: Keys below the wanted place that a sample of the keys should hold, and rows that one task may sort outright.
+PLACES, ONE_TASK = 100, 50_000
+
+
+def first_rows(df: DataFrame, n: int, order_by: Sequence[str], *, seed: int = 7) -> DataFrame:
+    """The first ``n`` rows of a stated order (nulls first), without sorting or writing the table.
+
+    A thin sample of the keys gives a bound just above the ``n``-th; one pass of the
+    keys counts what lies below and at it, and the bound moves up until that is
+    enough. Only rows up to the bound, few more than ``n``, meet in the last sort. Its
+    first column is a plain filter, which prunes the scan. Of rows that tie with the
+    bound only as many as are missing go on, so a key of many rows does no harm; rows
+    of equal keys are interchangeable.
+    """
+    if n <= 0:
+        return df.limit(0)
+    total = df.count()
+    if total <= max(n, ONE_TASK):
+        return df.orderBy(*order_by).limit(n)
+    keys = df.select(*order_by)
+    share = min(1.0, PLACES / n)
+    sampled = keys.sample(share, seed).orderBy(*order_by)
+    place = math.ceil(n * share + 5 * math.sqrt(n * share) + 10)
+    while place < total * share:
+        found = sampled.limit(place).orderBy(*[F.desc(c) for c in order_by]).first()
+        if found is None:
+            break
+        below, upto = _at_bound(df, order_by, found)
+        less, same = keys.where(upto).agg(F.count_if(below), F.count_if(~below)).first()
+        if less + same >= n:
+            rows = df.where(upto)
+            if less >= n:
+                return rows.where(below).orderBy(*order_by).limit(n)
+            return rows.where(below).unionByName(rows.where(~below).limit(n - less))
+        place *= 2
+    return df.orderBy(*order_by).limit(n)
+
+
+def _at_bound(df: DataFrame, order_by: Sequence[str], bound) -> tuple[Column, Column]:
+    """Whether a row's key lies below the bound, and whether it lies below or at it."""
+    kinds = df.select(*order_by).schema
+    key, at = F.struct(*order_by), F.struct(*[F.lit(bound[f.name]).cast(f.dataType).alias(f.name) for f in kinds])
+    first, value = F.col(order_by[0]), F.lit(bound[order_by[0]]).cast(kinds[order_by[0]].dataType)
+    prune = first.isNull() if bound[order_by[0]] is None else first.isNull() | (first <= value)
+    return key < at, prune & (key <= at)
+
+
 def row_slices(df: DataFrame, order_by: Sequence[str], slices: Sequence[tuple[int, int | None]]) -> DataFrame:
     """Rows whose number falls in one of the ``[start, end)`` slices, appended."""
     numbered = with_row_number(df, order_by)

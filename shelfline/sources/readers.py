@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline.functions.dates import Window
-from shelfline.operators.rows import with_row_number
+from shelfline.operators.rows import first_rows
 from shelfline.sinks.guards import GuardError
 
 
@@ -108,12 +108,8 @@ def active_jobs(df: DataFrame, column: str = "emplStatus") -> DataFrame:
 
 
 def sample(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
-    """The first ``n`` rows of a stated order.
-
-    Rows are numbered by a range sort: a sorted limit would send ``n`` rows of
-    every task to a single one.
-    """
-    return with_row_number(df, order_by, "_number").where(F.col("_number") < n).drop("_number")
+    """The first ``n`` rows of a stated order; see :func:`first_rows`."""
+    return first_rows(df, n, order_by)
 
 
 def read_csv_files(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,

@@ -57,6 +57,35 @@ def test_row_slices(spark):
     assert got == [*range(10), *range(95, 100)]
 
 
+@pytest.mark.parametrize("n", [1, 40, 700, 2999, 3000, 5000])
+def test_first_rows_with_ties_nulls_and_a_hot_key(spark, folder, monkeypatch, n):
+    """The bound falls into a key that a third of the rows share, among nulls, and beyond the table."""
+    monkeypatch.setattr(rows, "ONE_TASK", 10)
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(50)).when(F.col("id") % 50 == 1, None).otherwise((F.col("id") * 7919) % 211).cast("int").alias("a"),
+        F.when(F.col("id") % 3 != 0, (F.col("id") * 31) % 17).cast("string").alias("b"))
+    df.repartition(6).write.mode("overwrite").parquet(folder(f"t{n}"))
+    table = spark.read.parquet(folder(f"t{n}"))
+    every = sorted((tuple(r) for r in table.collect()), key=lambda r: tuple((x is not None, x) for x in r))
+    got = rows.first_rows(table, n, ["a", "b"])
+    assert bag(got) == Counter(every[:n])
+    if n < 1000:
+        text = got._jdf.queryExecution().toString()
+        assert "rangepartitioning" not in text and ("PushedFilters: [Or(IsNull(a),LessThanOrEqual(a" in text or "PushedFilters: [IsNull(a)]" in text)
+
+
+def test_rows_from_a_scan_are_numbered_in_one_write(spark, folder, monkeypatch):
+    spark.range(1000).selectExpr("id % 7 as k", "1 as same").write.parquet(folder("scan"))
+    scan = spark.read.parquet(folder("scan"))
+    made, keep = [], rows.materialise
+    monkeypatch.setattr(rows, "materialise", lambda df, name: made.append(name) or keep(df, name))
+    for df, writes in ((scan, ["numbered"]), (scan.where("k > 0"), ["numbered"]), (scan.distinct(), ["arrival", "numbered"]),
+                       (scan.repartition(3), ["arrival", "numbered"]), (scan.withColumn("r", F.rand()), ["arrival", "numbered"])):
+        made.clear()
+        out = rows.with_row_number(df, ["k"])
+        assert sorted(r.row_number for r in out.collect()) == list(range(df.count())) and made == writes
+
+
 def test_append_fills_missing_columns(spark):
     a, b = spark.createDataFrame([(1,)], "x int"), spark.createDataFrame([("t",)], "y string")
     assert bag(rows.append_frames(a, b)) == Counter([(1, None), (None, "t")])
