@@ -615,14 +615,12 @@ def pulse_incremental(spark, sf):
     """Rows arrive in two batches; those of some customers have no day."""
     detail, customers, materials = _star(spark, sf)
     detail = detail.withColumn("calday", F.when(~F.col("zjcustbrg").endswith("7"), F.col("calday")))
-    wanted = ["calday", "zjcustbrg", "zjmatrial", *[f"cm_{y}_{m}" for m in ("bapc", "nsr", "cogs", "gp")
-                                                    for y in ("cy", "ly")]]
+    wanted = [*pulse_stream.KEYS, *sales.PULSE_SUMS]
     landing, target = work_path(spark, "detail"), work_path(spark, "pulse")
     detail.select(*wanted).repartitionByRange(2, "calday").write.parquet(landing)
     schema = spark.read.parquet(landing).schema
     stream = pulse_stream.pulse_incremental(
         spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing),
-        lambda s: s.read.schema(schema).parquet(landing),
         customers, materials, target, work_path(spark, "pulse-checkpoint"))
     stream.awaitTermination()
     result = spark.read.parquet(target)

@@ -31,7 +31,7 @@ def _stage(df: DataFrame, target: str, *, transform: Transform, schema: T.Struct
     """Write the input beside the target, check it, and hand back the written rows.
 
     Every run has a staging folder of its own, so that two runs on one target do
-    not meet; :func:`_unstage` removes it after the load, refused or not.
+    not meet; :func:`remove` removes it after the load, refused or not.
     """
     df = apply_transform(df, transform)
     if schema is not None:
@@ -49,14 +49,14 @@ def _stage(df: DataFrame, target: str, *, transform: Transform, schema: T.Struct
         if stray_rows:
             raise GuardError(f"{stray_rows} rows lie outside the slice")
     except GuardError:
-        _unstage(df.sparkSession, staging)
+        remove(df.sparkSession, staging)
         raise
     return staged, rows, staging
 
 
-def _unstage(spark: SparkSession, staging: str) -> None:
-    """Remove the staging folder of one run, by the file system it lies in."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(staging)
+def remove(spark: SparkSession, folder: str) -> None:
+    """Remove a folder, by the file system it lies in."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
@@ -91,7 +91,7 @@ def full_refresh(df: DataFrame, target: str, *, day: str | None = None, sort_key
     """
     staged, rows, staging = _stage(df, target, transform=transform, schema=schema, max_rows=max_rows)
     _write(staged, target, "overwrite", day, sort_keys)
-    _unstage(df.sparkSession, staging)
+    remove(df.sparkSession, staging)
     return LoadResult(target, rows, True)
 
 
@@ -101,7 +101,7 @@ def append(df: DataFrame, target: str, *, day: str | None = None, sort_keys: Seq
     """Add rows; a rerun adds them again."""
     staged, rows, staging = _stage(df, target, transform=transform, schema=schema, max_rows=max_rows)
     _write(staged, target, "append", day, sort_keys)
-    _unstage(df.sparkSession, staging)
+    remove(df.sparkSession, staging)
     return LoadResult(target, rows, False)
 
 
@@ -121,7 +121,7 @@ def reload_range(df: DataFrame, target: str, day: str, window: Window, *, sort_k
     nothing = staged.drop(day).limit(0)
     for stale in sorted(_stored_days(staged.sparkSession, target, day, window) - filled):
         nothing.write.mode("overwrite").parquet(f"{target.rstrip('/')}/{day}={stale.isoformat()}")
-    _unstage(df.sparkSession, staging)
+    remove(df.sparkSession, staging)
     return LoadResult(target, rows, False, window.first, window.last)
 
 
@@ -138,7 +138,7 @@ def replace_slices(df: DataFrame, target: str, by: Sequence[str], *, transform:
     staged, rows, staging = _stage(df, target, transform=transform, schema=None, max_rows=max_rows)
     (staged.hint("rebalance", *[F.col(c) for c in by]).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(target))
-    _unstage(df.sparkSession, staging)
+    remove(df.sparkSession, staging)
     return LoadResult(target, rows, False)
 
 
@@ -179,11 +179,11 @@ def many_targets(parts: DataFrame, kind: str, staging: str, *,
         for count in counts.values():
             require_at_most(count, max_rows)
     except GuardError:
-        _unstage(spark, staging)
+        remove(spark, staging)
         raise
     for name, df in built.items():
         _write(df, paths[name], "overwrite", days[name], (), dynamic=True)
-    _unstage(spark, staging)
+    remove(spark, staging)
     return {n: LoadResult(paths[n], counts[n], False) for n in built}
 
 

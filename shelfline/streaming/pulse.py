@@ -2,43 +2,84 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from shelfline.plans.sales import business_pulse, on_days
-from shelfline.sinks.loads import lay_out
+from shelfline.plans.sales import PULSE_SUMS, TOTAL, business_pulse, on_days
+from shelfline.sinks.loads import lay_out, remove
 
+#: The columns by which detail rows are summed; both masters hang on the last two.
+KEYS = ("calday", "zjcustbrg", "zjmatrial")
+_SUMS = f"zjcustbrg string, zjmatrial string, {', '.join(f'{m} {TOTAL}' for m in PULSE_SUMS)}, batch bigint, calday date"
 
-def refresh_days(days: DataFrame, detail: DataFrame, customers: DataFrame, materials: DataFrame,
-                 target: str) -> None:
-    """Recompute the pulse of the given days and replace just those days.
 
-    ``days`` has one row per touched day, null for rows without a day. The days
-    become literals of the scan's filter, so only their partitions are read.
-    Replacing whole days makes a repeated batch harmless.
-    """
-    touched = detail.where(on_days("calday", [r[0] for r in days.collect()]))
-    pulse = business_pulse(touched, customers, materials)
-    (lay_out(pulse, "calday", ("customer_id", "product_code"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("calday").parquet(target))
+def _summed(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*KEYS).agg(*[F.sum(m).cast(TOTAL).alias(m) for m in PULSE_SUMS])
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def _versions(versions: dict) -> Column:
+    """The stored sums of each day as of one batch; prunes partitions."""
+    rules = [(F.col("batch") == number) & on_days("calday", [d for d, v in versions.items() if v == number])
+             for number in sorted(set(versions.values()))]
+    return reduce(lambda a, b: a | b, rules, F.lit(False))
 
 
-def pulse_incremental(new_rows: DataFrame, read_detail: Callable[[SparkSession], DataFrame],
-                      customers: DataFrame, materials: DataFrame, target: str,
-                      checkpoint: str) -> StreamingQuery:
-    """Follow a stream of new detail rows; each batch refreshes the days it touches.
+def add_batch(batch: DataFrame, number: int, customers: DataFrame, materials: DataFrame, target: str, sums: str) -> None:
+    """Add the rows of one batch to the running sums and replace the pulse of the days it touches.
 
-    ``read_detail`` opens the detail table anew for every batch, so rows landed
-    since the last batch are seen.
+    ``sums`` holds, for a day and the number of a batch, the day's sums by key up to and
+    with that batch: the ledger of what has been counted. A batch reads the last
+    sums below its own number, adds its rows and writes its own partition, so a
+    repeated batch adds nothing, whatever of it was written before. Neither old detail
+    rows nor other days are read; a hot day costs its keys, not its rows. The sums a
+    day had two batches ago go.
     """
-    def refresh(batch: DataFrame, _: int) -> None:
-        days = batch.select("calday").distinct()
-        refresh_days(days, read_detail(batch.sparkSession), customers, materials, target)
+    spark = batch.sparkSession
+    days = [r[0] for r in batch.select("calday").distinct().collect()]
+    if not days:
+        return
+    stored = spark.read.schema(_SUMS)
+    found: list[tuple] = []
+    rows = batch.select(*KEYS, *PULSE_SUMS)
+    if _exists(spark, sums):
+        known = stored.parquet(sums).where(on_days("calday", days) & (F.col("batch") < number)).select("calday", "batch").distinct()
+        found = [tuple(r) for r in known.collect()]
+    last = {day: max(v for d, v in found if d == day) for day, _ in found}
+    fresh = _summed(rows)
+    if last:
+        before = stored.parquet(sums).where(_versions(last))
+        fresh = _summed(fresh.unionByName(before.select(*fresh.columns)))
+    _replace(fresh.withColumn("batch", F.lit(number)), sums, ("batch", "calday"), KEYS[1:])
+    counted = stored.parquet(sums).where((F.col("batch") == number) & on_days("calday", days))
+    _replace(business_pulse(counted, customers, materials), target, ("calday",), ("customer_id", "product_code"))
+    for day, version in found:
+        if version < last[day]:
+            name = "__HIVE_DEFAULT_PARTITION__" if day is None else day.isoformat()
+            remove(spark, f"{sums.rstrip('/')}/batch={version}/calday={name}")
 
+
+def _replace(rows: DataFrame, path: str, by: Sequence[str], sort_keys: Sequence[str]) -> None:
+    (lay_out(rows, "calday", sort_keys).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path))
+
+
+def pulse_incremental(new_rows: DataFrame, customers: DataFrame, materials: DataFrame, target: str,
+                      checkpoint: str, sums: str | None = None) -> StreamingQuery:
+    """Follow a stream of new detail rows; each batch adds to the days it touches.
+
+    The sums belong to the checkpoint, whose batch numbers they carry, and lie beside it.
+    """
+    sums = sums or f"{checkpoint.rstrip('/')}-sums"
     return (
-        new_rows.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
+        new_rows.writeStream.foreachBatch(lambda batch, number: add_batch(batch, number, customers, materials, target, sums))
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )

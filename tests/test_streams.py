@@ -64,7 +64,7 @@ def test_only_touched_days_are_replaced(spark, folder):
 
     def run():
         stream = spark.readStream.schema(kinds).parquet(detail)
-        pulse.pulse_incremental(stream, lambda s: s.read.schema(kinds).parquet(detail), customers, materials,
+        pulse.pulse_incremental(stream, customers, materials,
                                 folder("pulse"), folder("cp")).awaitTermination()
         got = spark.read.parquet(folder("pulse"))
         assert set(got.columns) == {*sales.PULSE_KEYS, *sales.PULSE_MEASURES}
@@ -81,3 +81,24 @@ def test_only_touched_days_are_replaced(spark, folder):
     rows(d2, 6).write.mode("append").parquet(detail)
     assert run() == {(d1, 3), (d2, 11)}
     assert untouched == files(d1)
+
+
+def test_a_repeated_batch_adds_nothing_and_old_rows_are_not_read(spark, folder):
+    kinds = "calday date, zjcustbrg string, zjmatrial string, " + ", ".join(f"{m} decimal(18,6)" for m in sales.PULSE_SUMS)
+    customers = spark.createDataFrame([tuple("k" if n == "zjcust" else "x" for n in schemas.CUSTOMER_MASTER.names)], schemas.CUSTOMER_MASTER)
+    materials = spark.createDataFrame([tuple("m" if n == "zjmate" else "x" for n in schemas.MATERIAL_MASTER.names)], schemas.MATERIAL_MASTER)
+    d1, d2 = dt.date(2021, 1, 1), dt.date(2021, 1, 2)
+
+    def add(number, *rows):
+        batch = spark.createDataFrame([(day, "k", "m", *[Decimal(a)] * 8) for day, a in rows], kinds)
+        pulse.add_batch(batch, number, customers, materials, folder("pulse"), folder("sums"))
+        return {(r.calday, r.bapc_cy) for r in spark.read.parquet(folder("pulse")).select("calday", "bapc_cy").collect()}
+
+    assert add(0, (d1, 1), (d1, 2), (None, 4)) == {(d1, 3), (None, 4)}
+    assert add(1, (d1, 10), (d2, 5)) == {(d1, 13), (d2, 5), (None, 4)}
+    assert add(1, (d1, 10), (d2, 5)) == {(d1, 13), (d2, 5), (None, 4)}  # the same batch once more
+    assert add(2, (d1, 100), (None, 1)) == {(d1, 113), (d2, 5), (None, 5)}
+    assert add(2, (d1, 100), (None, 1)) == {(d1, 113), (d2, 5), (None, 5)}
+    assert add(3) == {(d1, 113), (d2, 5), (None, 5)}
+    left = spark.read.parquet(folder("sums")).select("calday", "batch").distinct().collect()
+    assert {tuple(r) for r in left} == {(d1, 1), (d1, 2), (d2, 1), (None, 0), (None, 2)}  # one step back for a repeat
