@@ -11,9 +11,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,27 +32,32 @@ def _stage(df: DataFrame, target: str, *, transform: Transform, schema: T.Struct
     """Write the input beside the target, check it, and hand back the written rows.
 
     Every run has a staging folder of its own, so that two runs on one target do
-    not meet; :func:`remove` removes it after the load, refused or not.
+    not meet; it goes after the load, refused, failed or not.
     """
     df = apply_transform(df, transform)
     if schema is not None:
         require_columns(df, schema)
         df = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
     staging = f"{target.rstrip('/')}__staging/{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(staging)
-    staged = df.sparkSession.read.schema(df.schema).parquet(staging)
-    # Counting written Parquet reads footers, or the one column of the slice test.
-    strays = F.lit(False) if outside is None else outside
-    rows, stray_rows = staged.agg(F.count(F.lit(1)), F.count_if(strays)).first()
     try:
+        rows, stray_rows = write_counted(df, staging, outside)
         require_rows(rows)
         require_at_most(rows, max_rows)
         if stray_rows:
             raise GuardError(f"{stray_rows} rows lie outside the slice")
-    except GuardError:
+    except Exception:
         remove(df.sparkSession, staging)
         raise
-    return staged, rows, staging
+    return df.sparkSession.read.schema(df.schema).parquet(staging), rows, staging
+
+
+def write_counted(df: DataFrame, path: str, outside: Column | None = None, *by: str) -> tuple[int, int]:
+    """Write rows, and how many they were in all and ``outside``, counted by the tasks that write them."""
+    seen = Observation()
+    strays = F.lit(False) if outside is None else outside
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(strays).alias("strays")).write.mode("overwrite")
+    (writer.partitionBy(*by) if by else writer).parquet(path)
+    return seen.get["rows"], seen.get["strays"]
 
 
 def remove(spark: SparkSession, folder: str) -> None:
@@ -173,17 +179,17 @@ def many_targets(parts: DataFrame, kind: str, staging: str, *,
     parts.write.mode("overwrite").partitionBy(kind).parquet(staging)
     landed = spark.read.schema(layout).parquet(staging)
     built = {n: build(landed.where(F.col(kind) == reads[n]).drop(kind)) for n, build in builders.items()}
-    counts = {n: df.count() for n, df in built.items()}
+    one = reduce(DataFrame.unionByName, [df.select(F.lit(n).alias("name")) for n, df in built.items()])
     try:
+        found = dict(one.groupBy("name").count().collect())  # one row for each target
+        counts = {n: found.get(n, 0) for n in built}
         require_rows(sum(counts.values()))
         for count in counts.values():
             require_at_most(count, max_rows)
-    except GuardError:
+        for name, df in built.items():
+            _write(df, paths[name], "overwrite", days[name], (), dynamic=True)
+    finally:
         remove(spark, staging)
-        raise
-    for name, df in built.items():
-        _write(df, paths[name], "overwrite", days[name], (), dynamic=True)
-    remove(spark, staging)
     return {n: LoadResult(paths[n], counts[n], False) for n in built}
 
 
