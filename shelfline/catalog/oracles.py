@@ -418,6 +418,22 @@ ORACLES["month_reload"] = _reloaded("2024-02-01", "2024-02-29", "2024-02-05")
 ORACLES["month_refresh"] = _reloaded("2024-02-01", "2024-02-29")
 ORACLES["slice_copy"] = _PLAN_ROWS + """select * from ledger
 where calday between date '2024-02-01' and date '2024-02-29'"""
+_DAYS = ("calday", "budat", "bw_calday_week", "calday_prevyear", "calday_week_prevyear")
+_TYPED = ", ".join(f"strptime({c}, '%Y%m%d')::date as {c}" for c in _DAYS) + ", calmonth[1:4] || '-' || calmonth[5:] as calmonth"
+_TWICE = "cast(case when comp_code = '7828' {and_days} then cm_cy_bapc * 2 else cm_cy_bapc end as decimal(18,6)) as cm_cy_bapc"
+ORACLES["sales_detail_load"] = cte("sales_extract") + f"""select * replace ({_TYPED},
+ {_TWICE.format(and_days="and calday in ('19980616', '19980617')")}) from sales_extract where calmonth = '199806'"""
+ORACLES["sales_table_refresh"] = cte("sales_extract") + f"select * replace ({_TYPED}, {_TWICE.format(and_days='')}) from sales_extract"
+_WHOLE = [f"cm_{y}_{m}" for y in ("cy", "ly") for m in (
+    "bapc", "barasu", "nsr", "cogs", "pc", "rb", "gp", "fscom", "logistics_cst", "sal_del_cst", "cen_shp_cst", "cent_fee",
+    "bs_en_fee", "trp_cst", "mp", "jr_opr_cst", "jr_tr_fee")]
+_CUT = ", ".join(f"cast(trunc({c}) as {k}) as {c}" for c, k in (
+    *((c, "decimal(18,6)") for c in _WHOLE), *((f"absmg_{y}", "decimal(18,5)") for y in ("cy", "ly")),
+    *((f"vv{n}_{y}", "decimal(15,2)") for n in (511, 512, 513, 517, 521, 522, 523, 524, 525, 526, 527, 528) for y in ("cy", "ly"))))
+_DASHED = ", ".join(f"{c}[1:4] || '-' || {c}[5:6] || '-' || {c}[7:] as {c}" for c in _DAYS)
+ORACLES["sales_documents"] = cte("sales_extract") + f"""select * exclude ({', '.join(
+    f'cm_{y}_{m}' for m in ('net_ccr_prc', 'rpp_nsr', 'ccr_prc', 'off_inv_rb', 'otr_cst', 'otr_rb') for y in ('cy', 'ly'))})
+ replace ({_DASHED}, calmonth[1:4] || '-' || calmonth[5:] as calmonth, {_CUT}) from sales_extract"""
 ORACLES["sharded_copy"] = _PLAN_ROWS + "select * from ledger"
 
 ORACLES["row_slices"] = cte("pos_store_daily") + """select company_code, store_code, jan_code, period, quantity,
@@ -440,9 +456,14 @@ union all select email, day, cast(n as float)
  from (select * from (select distinct email from usage_counts), (select distinct day from usage_counts))
  left join usage_counts using (email, day)
 union all select email, date '2099-01-01', cast(sum(n) as float) from usage_counts group by email"""
-ORACLES["rejected_rows"] = cte("activity", "raw_transactions") + """select 'document' as kind, Id as key, 'doc' as reason
+ORACLES["rejected_rows"] = cte("activity", "raw_transactions", "pos_periods") + """select 'document' as kind, Id as key, 'doc' as reason
 from activity where Workload is null
-union all select 'day', doc || '-' || cast(line as varchar), 'calday' from raw_transactions where line = 7"""
+union all select 'day', doc || '-' || cast(line as varchar), 'calday' from raw_transactions where line = 7
+union all select 'accepted', company_code || ',' || coalesce(store_code, '') || ',' || cast(period as varchar), null
+ from pos_periods where cast(company_code as bigint) % 7 <> 0 and cast(company_code as bigint) % 3 <> 0
+union all select 'line', case when cast(company_code as bigint) % 7 = 0 then company_code
+  else company_code || ',' || coalesce(store_code, '') || ',no day' end, 'line'
+ from pos_periods where cast(company_code as bigint) % 7 = 0 or cast(company_code as bigint) % 3 = 0"""
 ORACLES["guarded_loads"] = cte("ledger") + """select job, 'FAILURE' as status, message, (select count(*) from ledger) as row_count
 from (values ('columns', 'missing columns [], unknown columns [''district_code'']'),
  ('cap', 'the extract holds 3 rows, more than the cap of 2'), ('transform', 'transform must be callable'),

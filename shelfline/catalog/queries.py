@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from shelfline.functions import clean, dates
 from shelfline.operators import org, reshape, rows, visits
 from shelfline.plans import equipment, hr, jobs, pos, sales
 from shelfline.session import work_path
-from shelfline.sinks import audit, export, loads
+from shelfline.sinks import audit, export, loads, tables
 from shelfline.sources import landed, readers, report
 from shelfline.streaming import activity as activity_stream
 from shelfline.streaming import pulse as pulse_stream
@@ -476,6 +477,45 @@ def sharded_copy(spark, sf):
     return _read(spark, target)
 
 
+def _doubled(df: DataFrame) -> DataFrame:
+    """A later extract: one company's sales doubled."""
+    amount = F.when(F.col("comp_code") == "7828", F.col("cm_cy_bapc") * 2).otherwise(F.col("cm_cy_bapc"))
+    return df.withColumn("cm_cy_bapc", amount.cast("decimal(18,6)"))
+
+
+@query
+def sales_detail_load(spark, sf):
+    """A month of the raw extract, loaded twice to the 93 target columns; then two of its days anew."""
+    target, extract = work_path(spark, "sales-detail"), table(spark, sf, "sales_extract")
+    for _ in range(2):
+        jobs.load_sales_month(extract, target, TARGET_DAY, schema=schemas.SALES_DETAIL)
+    jobs.load_sales_detail(extract, target, TARGET_DAY, transform=_doubled, schema=schemas.SALES_DETAIL)
+    return spark.read.schema(schemas.SALES_DETAIL).parquet(target)
+
+
+@query
+def sales_table_refresh(spark, sf):
+    """Sales detail as a catalog table, replaced by a later extract; an empty one is refused."""
+    name, base = f"sales_{uuid.uuid4().hex}", work_path(spark, "sales-table")
+    typed = clean.apply_transaction_rules(table(spark, sf, "sales_extract"), strict=True)
+    for transform in (None, _doubled):
+        tables.refresh_table(typed, name, base, transform=transform, schema=schemas.SALES_DETAIL, sort_keys=("calday", "zjcustbrg"))
+    try:
+        tables.refresh_table(typed.limit(0), name, base, schema=schemas.SALES_DETAIL)
+    except loads.GuardError:
+        pass
+    return spark.table(name)
+
+
+@query
+def sales_documents(spark, sf):
+    """Sales rows as JSON documents of ten, read back with their 81 typed columns."""
+    path = work_path(spark, "sales-documents")
+    extract = table(spark, sf, "sales_extract").select(*schemas.SALES_DOCUMENT.names)
+    jobs.export_sales_documents(extract, path, order_by=["calday", "comp_code", "zjcustbrg", "zjmatrial"])
+    return landed.sales_documents(landed.read_json(spark, path, landed.SALES_DOCUMENTS, multi_line=False))
+
+
 @query
 def row_slices(spark, sf):
     df = table(spark, sf, "pos_store_daily").select("company_code", "store_code", "jan_code", "period", "quantity")
@@ -521,16 +561,31 @@ def usage_load(spark, sf):
 
 @query
 def rejected_rows(spark, sf):
-    """Rows that can't be read: cut documents, and days that are no days."""
+    """Rows that can't be read: cut documents, days that are no days, and lines of CSV beside the lines that can."""
     texts = table(spark, sf, "activity").select(
         "Id", F.concat(F.lit('{"root": [{"Id": "'), "Id", F.when(F.col("Workload").isNull(), F.lit("")).otherwise(F.lit('"}]}'))).alias("doc"))
     _, documents = landed.split_json(texts, "doc", schemas.ACTIVITY_DOCUMENT)
     raw = table(spark, sf, "raw_transactions")
     raw = raw.withColumn("calday", F.when(F.col("line") == 7, F.lit("20211345")).otherwise(F.col("calday")))
     _, days = clean.split_unreadable(raw)
+    accepted, rejects = _weekly_lines(spark, sf)
     return rows.append_frames(
         documents.select(F.lit("document").alias("kind"), F.col("Id").alias("key"), F.lit("doc").alias("reason")),
-        days.select(F.lit("day").alias("kind"), F.concat_ws("-", "doc", F.col("line").cast("string")).alias("key"), "reason"))
+        days.select(F.lit("day").alias("kind"), F.concat_ws("-", "doc", F.col("line").cast("string")).alias("key"), "reason"),
+        accepted.select(F.lit("accepted").alias("kind"), F.concat_ws(",", "company_code", F.coalesce("store_code", F.lit("")), "period").alias("key"), F.lit(None).cast("string").alias("reason")),
+        rejects.select(F.lit("line").alias("kind"), F.col("line").alias("key"), "reason"))
+
+
+def _weekly_lines(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """CSV lines, some cut short and some without a readable day, loaded to a table and a reject table."""
+    base = work_path(spark, "lines")
+    number = F.col("company_code").cast("bigint")
+    day = F.when(number % 3 == 0, F.lit("no day")).otherwise(F.col("period").cast("string"))
+    line = F.when(number % 7 == 0, F.col("company_code")).otherwise(F.concat_ws(",", "company_code", F.coalesce("store_code", F.lit("")), day))
+    table(spark, sf, "pos_periods").select(line.alias("value")).write.text(f"{base}/csv")
+    judged = readers.judged_csv_files(spark, f"{base}/csv", schemas.POS_PERIOD_LIST)
+    loads.load_accepted(judged, f"{base}/weekly", f"{base}/rejects", "weekly", max_rejects=10**9)
+    return spark.read.parquet(f"{base}/weekly"), spark.read.parquet(f"{base}/rejects")
 
 
 @query

@@ -88,6 +88,23 @@ select substring(cast({_DAY} as string), 1, 4) as calyear,
 from {_LINES} l join {{orders}} o on l_orderkey = o_orderkey
 """
 
+
+
+def _extract_column(name: str, kind: str, computed: str) -> str:
+    """One column of the raw sales extract: days and months as plain text, the rest as ``detail`` has it or near it."""
+    if kind == "date" or name == "calmonth":
+        return f"replace(cast({name} as string), '-', '') as {name}"
+    if f" as {name}" in computed:
+        return name
+    if name.endswith(("_cy", "_ly")) or name.startswith("cm_"):
+        year = "ly" if "_ly" in name else "cy"
+        return f"cast(cm_{year}_nsr as {kind}) as {name}"
+    return "zjmatrial as zjmatagsp" if name == "zjmatagsp" else f"'{name[:1].upper()}' as {name}"
+
+
+_EXTRACT = ", ".join(_extract_column(f.name, f.dataType.simpleString(), SQL["detail"]) for f in schemas.SALES_DETAIL)
+SQL["sales_extract"] = f"select {_EXTRACT} from ({SQL['detail']}) d"
+
 _BOTTLERS = ("13", "21", "22", "23", "24", "28", "32", "39", "35", "42")
 _BOTTLER = "case c_nationkey % 10 " + " ".join(
     f"when {i} then '{b}'" for i, b in enumerate(_BOTTLERS)) + " end"

@@ -148,6 +148,33 @@ def replace_slices(df: DataFrame, target: str, by: Sequence[str], *, transform:
     return LoadResult(target, rows, False)
 
 
+def load_accepted(judged: DataFrame, target: str, rejects: str, run: str, *, reason: str = "reason", aside: Sequence[str] = ("line",),
+                  max_rejects: int = 0, day: str | None = None, sort_keys: Sequence[str] = ()) -> LoadResult:
+    """Load the rows without a ``reason`` and keep the others in a reject table, under the name of the run.
+
+    Both kinds are staged in one write that counts them. More rejects than
+    ``max_rejects`` refuse the load, and neither table changes. The target gets the
+    rows without ``reason`` and the ``aside`` columns; the reject table gets all columns,
+    and a repeated run replaces its own rejects.
+    """
+    spark, staging = judged.sparkSession, f"{target.rstrip('/')}__staging/{uuid.uuid4().hex}"
+    parts = judged.withColumn("_accepted", F.col(reason).isNull())
+    try:
+        rows, bad = write_counted(parts, staging, ~F.col("_accepted"), "_accepted")
+        if bad > max_rejects:
+            raise GuardError(f"{bad} rows were rejected, more than the cap of {max_rejects}")
+        require_rows(rows - bad)
+        staged = spark.read.schema(parts.schema).parquet(staging)
+        good = staged.where("_accepted").select(*[c for c in judged.columns if c not in (reason, *aside)])
+        _write(good, target, "overwrite", day, sort_keys)
+        if bad:
+            (staged.where("not _accepted").drop("_accepted").withColumn("run", F.lit(run)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(rejects))
+    finally:
+        remove(spark, staging)
+    return LoadResult(target, rows - bad, True)
+
+
 def slice_copy(source: DataFrame, target: str, day: str, window: Window, *,
                sort_keys: Sequence[str] = ()) -> LoadResult:
     """Copy a day slice of one table to another, replacing it there."""

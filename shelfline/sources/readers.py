@@ -117,9 +117,25 @@ def read_csv_files(spark: SparkSession, paths: str | Sequence[str], schema: T.St
     """Numbered CSV files as one scan: a glob or list of paths, no loop, no union.
 
     Empty cells are null. With ``header`` the first line of every file is dropped.
-    A line that does not fit the schema fails the job; ``mode="PERMISSIVE"`` with a
-    column for ``columnNameOfCorruptRecord`` sets such lines apart instead.
+    A line that does not fit the schema fails the job; :func:`judged_csv_files` sets
+    such lines apart instead.
     """
     settings = {"nullValue": "", "emptyValue": "", "mode": "FAILFAST", **options}
     reader = spark.read.schema(schema).option("header", header).option("enforceSchema", True)
     return reader.options(**settings).csv(paths if isinstance(paths, str) else list(paths))
+
+
+#: Columns of judged rows: what is wrong with a row (null: nothing), and its line as it came.
+REASON, LINE = "reason", "line"
+
+
+def judged_csv_files(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,
+                     *, header: bool = False, **options: str) -> DataFrame:
+    """CSV files with broken lines set apart: the columns of ``schema``, ``reason`` and ``line``.
+
+    A line with too few or too many values, or with a value that is not of its type,
+    has the reason ``line`` and its text in ``line``; both are null for all others.
+    """
+    judged = T.StructType([*schema.fields, T.StructField(LINE, T.StringType())])
+    rows = read_csv_files(spark, paths, judged, header=header, **{"mode": "PERMISSIVE", "columnNameOfCorruptRecord": LINE, **options})
+    return rows.withColumn(REASON, F.when(F.col(LINE).isNotNull(), F.lit("line"))).select(*schema.names, REASON, LINE)

@@ -159,3 +159,19 @@ def test_pos_weekly_job(spark, folder):
     rows = spark.read.parquet(folder("pos")).orderBy("period").collect()
     assert [r.gross_profit for r in rows] == [3, None]
     assert rows[0].store_code is None and rows[0].load_date == dt.date(2021, 9, 7)
+
+
+def test_broken_lines_go_to_the_reject_table(spark, tmp_path, folder):
+    (tmp_path / "a.csv").write_text("a,1,2021-01-01\nb,x,2021-01-01\nc,3\nd,4,2021-01-02,more\ne,,2021-01-03\n")
+    kinds = readers.T.StructType.fromDDL("name string, n int, day date")
+    judged = readers.judged_csv_files(spark, str(tmp_path / "a.csv"), kinds)
+    with pytest.raises(guards.GuardError, match="3 rows were rejected, more than the cap of 2"):
+        loads.load_accepted(judged, folder("t"), folder("r"), "one", max_rejects=2)
+    assert not (tmp_path / "t").exists() and not (tmp_path / "r").exists()
+    for _ in range(2):
+        loads.load_accepted(judged, folder("t"), folder("r"), "one", max_rejects=3)
+        assert sorted(tuple(r) for r in spark.read.parquet(folder("t")).collect()) == [("a", 1, D1), ("e", None, D3)]
+        assert sorted(tuple(r) for r in spark.read.parquet(folder("r")).select("line", "reason", "run").collect()) == [
+            ("b,x,2021-01-01", "line", "one"), ("c,3", "line", "one"), ("d,4,2021-01-02,more", "line", "one")]
+    with pytest.raises(guards.GuardError):
+        loads.load_accepted(judged.where("reason is not null"), folder("t"), folder("r"), "two", max_rejects=9)
