@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -32,8 +33,8 @@ from shelfline.llm.common import materialise
 
 SEQUENCE, END_ID = 4096, 2
 TOKENIZER = "word_bpe_49k.json"
-#: Words, and parts of words, that a Python worker remembers.
-CACHED_WORDS = 300_000
+#: Words and parts of words that a Python worker remembers.
+CACHED_WORDS = 600_000
 #: Characters that str.split takes for white space and the tokenizer does not, and the start of a special token.
 _ODD = ("<|", "\x1c", "\x1d", "\x1e", "\x1f")
 
@@ -52,8 +53,9 @@ class WordIds:
     The tokenizer lower-cases, drops white space and splits words into runs of
     letters, single digits and runs of the rest; nothing joins across these. So
     unknown words are split here and only unknown parts go through its merges.
-    Words with characters beyond ``LAST`` go through the whole tokenizer. Both
-    memories drop their older half when full.
+    Words with characters beyond ``LAST`` go through the whole tokenizer. A part has
+    the ids it would have as a word, so both share one memory, which drops its older
+    half when full.
     """
 
     # The tokenizer's own split, for lower-cased text up to LAST.
@@ -67,22 +69,26 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.words, self.old_words, self.parts, self.old_parts = {}, {}, {}, {}
+        self.words, self.old_words = {}, {}
         # Byte-level vocabularies write each byte as a visible character.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = iter(range(256, 512))
         self.shown = {i: chr(i) if i in shown else chr(next(hidden)) for i in range(256)}
 
+    def _keep(self, text: str, ids: bytes) -> bytes:
+        if len(self.words) > CACHED_WORDS // 2:
+            self.old_words, self.words = self.words, {}
+        self.words[text] = ids
+        return ids
+
     def _part(self, part: str) -> bytes:
-        ids = self.parts.get(part)
+        ids = self.words.get(part)
         if ids is None:
-            ids = self.old_parts.get(part)
+            ids = self.old_words.get(part)
             if ids is None:
                 text = part if part.isascii() and part.isprintable() else part.encode().decode("latin-1").translate(self.shown)
-                ids = np.array([t.id for t in self.model.tokenize(text)], "<u4").tobytes()
-            if len(self.parts) > CACHED_WORDS // 2:
-                self.old_parts, self.parts = self.parts, {}
-            self.parts[part] = ids
+                ids = array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
+            self._keep(part, ids)
         return ids
 
     def __call__(self, word: str) -> bytes:
@@ -93,10 +99,9 @@ class WordIds:
             else:
                 low = word.lower()
                 ids = self._part(low) if low.isalpha() else b"".join([self._part(x) for x in self.PARTS.findall(low)])
-        if len(self.words) > CACHED_WORDS // 2:
-            self.old_words, self.words = self.words, {}
-        self.words[word] = ids
-        return ids
+                if word == low and low.isalpha():
+                    return ids
+        return self._keep(word, ids)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
