@@ -102,10 +102,36 @@ def _judge(docs: pa.Table, shared: pa.Table) -> pa.Table:
     return pa.table({"doc_id": docs.column("doc_id"), **{k: pa.array(v, kinds[k]) for k, v in rows.items()}})
 
 
+#: Pieces or strings that a task hands on at once.
+TOGETHER = 200_000
+
+
+def _listed(column: pa.Array, names: tuple[str, ...]):
+    """Per row the fields of a list of structs as arrays, without an object for each entry."""
+    offsets, values = column.offsets.to_numpy().tolist(), column.values
+    fields = [values.field(n).to_numpy(zero_copy_only=False) for n in names]
+    for a, b in zip(offsets[:-1], offsets[1:], strict=True):
+        yield tuple(f[a:b] for f in fields)
+
+
 def _pieces_of(batch: pa.RecordBatch):
     """Rows of texts with the fields of their open pieces as arrays."""
-    for row, text, open_ in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist(), batch.column("open").to_pylist(), strict=True):
-        yield row, prefix_hash(np.frombuffer(text, np.uint8)), *(np.array([s[c] for s in open_], np.int64) for c in ("place", "first", "last", "alone"))
+    fields = _listed(batch.column("open"), ("place", "first", "last", "alone"))
+    for row, text, open_ in zip(batch.column("row").to_pylist(), batch.column("text"), fields, strict=True):
+        yield row, prefix_hash(np.frombuffer(text.as_buffer(), np.uint8)), *open_
+
+
+def _in_parts(parts, names: list[str]):
+    """Rows of equally long arrays as batches of about ``TOGETHER`` entries."""
+    held, size = [], 0
+    for arrays in parts:
+        held.append(arrays)
+        size += len(arrays[0])
+        if size >= TOGETHER:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], names=names)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], names=names)
 
 
 def _runs(size: np.ndarray) -> np.ndarray:
@@ -115,35 +141,32 @@ def _runs(size: np.ndarray) -> np.ndarray:
 
 def _cells(batches):
     """The cells of each open block: what all strings of a cell share, and what they span."""
-    for whole in batches:
-        for k in range(0, whole.num_rows, 200):
-            out = [[np.zeros(0, np.int64)] for _ in range(7)]
-            for row, running, place, first, last, alone in _pieces_of(whole.slice(k, 200)):
-                low, high = (place - last) // CELL, (place - first) // CELL
-                size = high - low + 1
-                cell = np.repeat(low, size) + _runs(size)
-                place, first, last, alone = (np.repeat(x, size) for x in (place, first, last, alone))
-                start = place - cell * CELL - CELL + 1  # of the first string of a whole cell
-                shared = span_hash(running, start + CELL - 1, start + LENGTH) + mix(cell.astype(np.uint64))
-                a, b = np.maximum(first, start), np.minimum(last, start + CELL - 1)
-                span = mix(span_hash(running, a, b + LENGTH) + ((a - start) * CELL + (b - start)).astype(np.uint64))
-                for x, y in zip(out, (np.full(len(a), row), place, a, b, alone, mix(shared).astype(np.int64), span.astype(np.int64)), strict=True):
-                    x.append(y)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["row", "place", "first", "last", "alone", "bucket", "block"])
+
+    def of(row, running, place, first, last, alone):
+        low, high = (place - last) // CELL, (place - first) // CELL
+        size = high - low + 1
+        cell = np.repeat(low, size) + _runs(size)
+        place, first, last, alone = (np.repeat(x, size) for x in (place, first, last, alone))
+        start = place - cell * CELL - CELL + 1  # of the first string of a whole cell
+        shared = span_hash(running, start + CELL - 1, start + LENGTH) + mix(cell.astype(np.uint64))
+        a, b = np.maximum(first, start), np.minimum(last, start + CELL - 1)
+        span = mix(span_hash(running, a, b + LENGTH) + ((a - start) * CELL + (b - start)).astype(np.uint64))
+        return np.full(len(a), row), place, a, b, alone, mix(shared).astype(np.int64), span.astype(np.int64)
+
+    yield from _in_parts((of(*piece) for batch in batches for piece in _pieces_of(batch)), ["row", "place", "first", "last", "alone", "bucket", "block"])
 
 
 def _strings(batches):
     """Each string of an open cell with its pair of identifiers."""
     q = LENGTH // 2
-    for whole in batches:
-        for k in range(0, whole.num_rows, 200):
-            out = [[np.zeros(0, np.int64)] for _ in range(5)]
-            for row, running, _, first, last, alone in _pieces_of(whole.slice(k, 200)):
-                size = last - first + 1
-                start = np.repeat(first, size) + _runs(size)
-                for x, y in zip(out, (np.full(len(start), row), start, np.repeat(alone, size), span_hash(running, start, start + q).astype(np.int64), span_hash(running, start + q, start + LENGTH).astype(np.int64)), strict=True):
-                    x.append(y)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["row", "start", "alone", "b1", "b2"])
+
+    def of(row, running, _, first, last, alone):
+        size = last - first + 1
+        start = np.repeat(first, size) + _runs(size)
+        return (np.full(len(start), row), start, np.repeat(alone, size),
+                span_hash(running, start, start + q).astype(np.int64), span_hash(running, start + q, start + LENGTH).astype(np.int64))
+
+    yield from _in_parts((of(*piece) for batch in batches for piece in _pieces_of(batch)), ["row", "start", "alone", "b1", "b2"])
 
 
 def _refined(pieces: DataFrame, suspects: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
@@ -165,29 +188,35 @@ def _refined(pieces: DataFrame, suspects: DataFrame, name: str) -> tuple[DataFra
     return spans, left.join(suspects.select("row", "text"), "row").select("row", "text", "open")
 
 
+#: Kept bytes that a task hands on at once.
+KEPT_BYTES = 8 << 20
+
+
 def _cut(batches):
     """Remove the union of the spans of each row."""
-    for whole in batches:
-        for k in range(0, whole.num_rows, 200):
-            batch = whole.slice(k, 200)
-            removed, spans, kept, sha, lists = [], [], [], [], []
-            for text, marked in zip(batch.column("text").to_pylist(), batch.column("marked").to_pylist(), strict=True):
-                data = np.frombuffer(text, np.uint8)
-                step = np.zeros(len(data) + 1, np.int64)
-                for s in marked or ():
-                    step[s["first"]] += 1
-                    step[s["last"]] -= 1
-                gone = np.cumsum(step)[:-1] > 0
-                edge = np.diff(np.concatenate([[0], gone.astype(np.int8), [0]]))
-                left = data[~gone].tobytes()
-                removed.append(int(gone.sum()))
-                spans.append(int((edge == 1).sum()))
-                lists.append(np.stack([np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)], 1).ravel())
-                kept.append(left)
-                sha.append(hashlib.sha256(left).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("n_bytes"), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha, pa.string()), pa.array(lists, pa.list_(pa.int64())), pa.array(kept, pa.binary())],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"])
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.binary()]
+    held, size = [], 0
+
+    def flush():
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held, strict=True), kinds, strict=True)], names=names)
+
+    for batch in batches:
+        marked = _listed(batch.column("marked"), ("first", "last"))
+        for key, n_bytes, text, (first, last) in zip(batch.column("doc_id").to_pylist(), batch.column("n_bytes").to_pylist(), batch.column("text"), marked, strict=True):
+            data = np.frombuffer(text.as_buffer(), np.uint8)
+            step = np.bincount(first, minlength=len(data) + 1) - np.bincount(last, minlength=len(data) + 1)
+            gone = np.cumsum(step)[:-1] > 0
+            edge = np.diff(np.concatenate([[0], gone.astype(np.int8), [0]]))
+            left = data[~gone].tobytes()
+            spans = np.stack([np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)], 1).ravel()
+            held.append((key, n_bytes, int(gone.sum()), len(spans) // 2, hashlib.sha256(left).hexdigest(), spans, left))
+            size += len(left) + spans.nbytes
+            if size > KEPT_BYTES:
+                yield flush()
+                held, size = [], 0
+    if held:
+        yield flush()
 
 
 CUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>, kept binary"
