@@ -41,6 +41,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
         conf.set(CLEAN_SHUFFLE, before)
 
 
+def carried(docs: DataFrame, **named) -> DataFrame:
+    """``text``, the ``named`` columns, and all other columns of ``docs`` as one struct, whose names clash with none here."""
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"], F.lit(True))
+    return docs.select("text", others.alias("_others"), *[column.alias(name) for name, column in named.items()])
+
+
+def unpacked(columns: list[str], text, others: str = "_others") -> list:
+    """The columns of a carried table in their order, with ``text`` as given."""
+    return [(F.col(text) if isinstance(text, str) else text).alias(c) if c == "text" else F.col(others)[c].alias(c) for c in columns]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread 64-bit values over all bits (the finaliser of splitmix64)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -34,8 +34,9 @@ import re
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from shelfline.llm.common import materialise
+from shelfline.llm.common import carried, materialise, unpacked
 
 
 # Names by script and gender: surrogates, and given names that mark a person.
@@ -274,11 +275,19 @@ def _replaced(text: Column, spans: Column) -> Column:
 
 
 def replace_entities(docs: DataFrame, key: bytes = b"shelfline") -> DataFrame:
-    """``docs`` with surrogates in ``text``, and their number in ``n_entities``; ``key`` should be secret in production."""
+    """``docs`` with surrogates in ``text``, and their number in ``n_entities``; ``key`` should be secret in production.
+
+    All other columns stay as they are; where the table has an ``n_entities`` already, the
+    number is called ``n_entities_found``, or that with more lines below.
+    """
+    count = "n_entities"
+    while count in docs.columns:
+        count = "n_entities_found" if count == "n_entities" else f"{count}_"
     suspect = F.coalesce(F.col("text").rlike(SUSPECT), F.lit(False))
-    rest = docs.where(~suspect).withColumn("n_entities", F.lit(0).cast("long"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    rows = materialise(docs.where(suspect).mapInArrow(_find, f"{kinds}, _found {FOUND}").withColumn("_row", F.monotonically_increasing_id()), "suspects")
+    rest = docs.where(~suspect).withColumn(count, F.lit(0).cast("long"))
+    carrier = carried(docs.where(suspect))
+    found = T.StructType([*carrier.schema.fields, *T.StructType.fromDDL(f"_found {FOUND}").fields])
+    rows = materialise(carrier.mapInArrow(_find, found).withColumn("_row", F.monotonically_increasing_id()), "suspects")
     each = rows.select("_row", F.explode("_found").alias("e")).select("_row", "e.*")
     names = mapping(each.select("kind", F.col("entity").alias("value"), "hint"), key).withColumnRenamed("value", "entity")
     named = each.join(names, ["kind", "entity"]).mapInArrow(_render, "_row long, start int, end int, kind string, surrogate string")
@@ -286,8 +295,8 @@ def replace_entities(docs: DataFrame, key: bytes = b"shelfline") -> DataFrame:
     joined = rows.join(spans, "_row", "left")
     text = F.when(F.col("_spans").isNotNull(), _replaced(F.col("text"), F.col("_spans"))).otherwise(F.col("text"))
     number = F.coalesce(F.size("_spans"), F.lit(0)).cast("long")
-    joined = joined.withColumn("n_entities", F.when(F.col("_spans").isNull(), F.lit(0)).otherwise(number).cast("long")).withColumn("text", text)
-    return joined.select(*rest.columns).unionByName(rest)
+    number = F.when(F.col("_spans").isNull(), F.lit(0)).otherwise(number).cast("long")
+    return joined.select(*unpacked(docs.columns, text), number.alias(count)).unionByName(rest)
 
 
 def op5_private_data(spark, sf_dir: str) -> DataFrame:

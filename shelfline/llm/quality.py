@@ -21,8 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from shelfline.llm.common import IS_SPACE, LOWER, materialise, prefix_hash, span_hash, utf8_parts, word_spans
+from shelfline.llm.common import IS_SPACE, LOWER, carried, materialise, prefix_hash, span_hash, unpacked, utf8_parts, word_spans
 
 #: The model is fitted on about this many labelled rows, drawn by hash of the key.
 SAMPLE_ROWS = 6000
@@ -145,8 +146,7 @@ def evidence(docs: DataFrame, weights: np.ndarray | None) -> DataFrame:
                 odds[first : first + n] += np.bincount(rows, weight[ids], n)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(odds)], names=[*batch.schema.names, "_odds"])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{kinds}, _odds double")
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_odds", T.DoubleType())]))
 
 
 def site_rates(scored: DataFrame) -> tuple[DataFrame, float]:
@@ -200,9 +200,8 @@ def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
     scored = materialise(evidence(sites, weights).drop("text"), "evidence")
     rates, rate = site_rates(scored)
     if whole:
-        names = docs.columns
-        docs = docs.select(*(F.col(f"`{c}`") for c in names), F.col(host).cast("string").alias("_host"), F.col(path).cast("string").alias("_path"))
-        return posterior(evidence(docs, weights), rates, rate).where(F.col("_bad") <= REJECT_AT).select(*(F.col(f"`{c}`") for c in names))
+        rows = carried(docs, _host=F.col(host).cast("string"), _path=F.col(path).cast("string"))
+        return posterior(evidence(rows, weights), rates, rate).where(F.col("_bad") <= REJECT_AT).select(*unpacked(docs.columns, "text"))
     return posterior(scored, rates, rate).select(
         "doc_id", F.col("_odds").alias("evidence"), F.col("_host_rate").alias("host_rate"), F.col("_path_rate").alias("path_rate"), F.col("_bad").alias("bad"), (F.col("_bad") <= REJECT_AT).alias("keep"))
 

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import materialise
+from shelfline.llm.common import carried, materialise, unpacked
 
 
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -123,9 +123,10 @@ def mask(text: Column, spans: Column, label: str = "<secret>") -> Column:
 
 def mask_secrets(docs: DataFrame, owner: str = "source", repository: str = "lang") -> DataFrame:
     """``docs`` with every span masked in ``text``; other columns and the other rows stay as they are."""
-    suspects, rest = scan(docs, owner, repository)
+    rows = carried(docs, _by=F.col(owner), _from=F.col(repository))
+    suspects, rest = scan(rows, "_by", "_from")
     masked = F.when(F.size("_spans") > 0, mask(F.col("text"), F.col("_spans"))).otherwise(F.col("text"))
-    return rest.unionByName(suspects.withColumn("text", masked).select(*rest.columns))
+    return rest.select(*unpacked(docs.columns, "text")).unionByName(suspects.select(*unpacked(docs.columns, masked)))
 
 
 def op9_secrets(spark, sf_dir: str) -> DataFrame:
