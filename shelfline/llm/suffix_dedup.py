@@ -36,70 +36,93 @@ from shelfline.llm.common import in_blocks, materialise, mix, prefix_hash, share
 #: Bytes of a repeated string, and strings of a cell between whole blocks and single strings.
 LENGTH, CELL = 200, 16
 
+#: Bytes of text that are hashed at once, and the bits of a hash that give way to a place in a window. They are the same
+#: for all texts, so that equal strings have equal anchors wherever they stand.
+WINDOW, PLACE_BITS = 1 << 18, np.uint64(20)
 
-def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH):
-    """Anchors of all strings of ``length`` bytes that lie in one row.
+#: Text bytes of a block, and of the suffixes that a task counts.
+BLOCK_BYTES, COUNTED_BYTES = 4 << 20, 16 << 20
 
-    Returns their places, bucket identifiers, first and last string starts, and
-    the running hash from which more identifiers can be read.
-    """
+
+def _in_window(data: np.ndarray, ends: np.ndarray, length: int):
+    """Anchors of the strings of a window; ``ends`` holds the end of each byte's row."""
     q = length // 2
     w = length - q + 1
-    running = prefix_hash(data)
     n = len(data) - length + 1
-    none = np.zeros(0, np.int64)
-    if n <= 0:
-        return none, none.astype(np.uint64), none, none, running
     starts = np.arange(len(data) - q + 1)
-    grams = span_hash(running, starts, starts + q)
-    bits = np.uint64(max(1, int(len(data)).bit_length()))
-    value = ((grams >> bits) << bits) | starts.astype(np.uint64)
+    grams = span_hash(prefix_hash(data), starts, starts + q)
+    value = ((grams >> PLACE_BITS) << PLACE_BITS) | starts.astype(np.uint64)
     fill = -len(value) % w
     tiles = np.concatenate([value, np.full(fill, 2**64 - 1, np.uint64)]).reshape(-1, w)
     ahead = np.minimum.accumulate(tiles, axis=1).ravel()
     behind = np.minimum.accumulate(tiles[:, ::-1], axis=1)[:, ::-1].ravel()
     least = np.minimum(behind[:n], ahead[w - 1 : w - 1 + n])
-    place = (least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
-    sizes = np.diff(offsets)
-    room = np.repeat(offsets[1:], sizes)[:n] - np.arange(n) >= length
-    string = np.flatnonzero(room)
-    if not len(string):
-        return none, none.astype(np.uint64), none, none, running
-    own = place[string]
-    new = np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]) | (string[1:] != string[:-1] + 1)]))
-    first, last = string[new], string[np.append(new[1:], len(string)) - 1]
-    return own[new], grams[own[new]], first, last, running
+    string = np.flatnonzero(ends[:n] - starts[:n] >= length)
+    own = (least[string] & ((np.uint64(1) << PLACE_BITS) - np.uint64(1))).astype(np.int64)
+    new = np.flatnonzero(own != np.append(-1, own[:-1]))
+    last = np.append(new[1:], len(own))[: len(new)] - 1
+    return own[new], grams[own[new]], string[new], string[last]
+
+
+def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH):
+    """Anchors of all strings of ``length`` bytes that lie in one row.
+
+    Returns their places, bucket identifiers, and first and last string starts. A long
+    text is taken in windows; an anchor whose strings start in two of them counts once.
+    """
+    parts = [(np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for low in range(0, len(data) - length + 1, WINDOW):
+        high = min(len(data), low + WINDOW + length - 1)
+        ends = np.repeat(offsets[1:], np.diff(np.clip(offsets, low, high))) - low
+        place, bucket, first, last = _in_window(data[low:high], ends, length)
+        parts.append((place + low, bucket, first + low, last + low))
+    place, bucket, first, last = (np.concatenate(c) for c in zip(*parts, strict=True))
+    new = np.flatnonzero(place != np.append(-1, place[:-1]))
+    return place[new], bucket[new], first[new], last[np.append(new[1:], len(place))[: len(new)] - 1]
+
+
+def _windows(data: np.ndarray, first: np.ndarray):
+    """For the pieces in order of ``first`` that start in a window: which, the window's start, and its running hash."""
+    for low in range(0, len(data), WINDOW):
+        a, b = np.searchsorted(first, (low, low + WINDOW)).tolist()
+        if b > a:
+            yield slice(a, b), low, prefix_hash(data[low : low + WINDOW + 2 * LENGTH])
 
 
 def _buckets_of(column: pa.Array):
     """The q-gram buckets of the anchors of each row."""
     for _, data, offsets in utf8_parts(column):
-        place, bucket, _, _, _ = anchors(data, offsets)
+        place, bucket, _, _ = anchors(data, offsets)
         cut = np.searchsorted(place, offsets)
         for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
             yield bucket[a:b]
 
 
+JUDGED = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("sha", pa.string()), ("text", pa.binary()), *[(c, pa.list_(pa.int64())) for c in ("bucket", "block", "place", "first", "last")]])
+
+
+def _judged(keys: pa.Array, data: np.ndarray, offsets: np.ndarray, known) -> pa.RecordBatch:
+    """A run of rows with those anchors whose bucket holds several suffixes; the text only beside such anchors."""
+    place, bucket, first, last = anchors(data, offsets)
+    keep = known(bucket) > 1
+    place, bucket, first, last = place[keep], bucket[keep], first[keep], last[keep]
+    block = np.zeros(len(place), np.uint64)
+    for some, low, running in _windows(data, first):
+        block[some] = mix(span_hash(running, first[some] - low, last[some] - low + LENGTH) + (place[some] - first[some]).astype(np.uint64))
+    cut = np.searchsorted(place, offsets)
+    number = np.diff(cut)
+    bodies = [data[a:b].tobytes() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+    sha = [None if n else hashlib.sha256(body).hexdigest() for body, n in zip(bodies, number.tolist(), strict=True)]
+    texts = [body if n else None for body, n in zip(bodies, number.tolist(), strict=True)]
+    at = np.repeat(offsets[:-1], number)
+    lists = [pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(x)) for x in (bucket.view(np.int64), block.view(np.int64), place - at, first - at, last - at)]
+    return pa.RecordBatch.from_arrays([keys, pa.array(np.diff(offsets)), pa.array(sha, pa.string()), pa.array(texts, pa.binary()), *lists], schema=JUDGED)
+
+
 def _judge(docs: pa.Table, shared: pa.Table) -> pa.Table:
     known = unpack_shared(shared)
-    rows: dict[str, list] = {k: [] for k in ("n_bytes", "sha", "text", "bucket", "block", "place", "first", "last")}
-    for _, data, offsets in utf8_parts(docs.column("text")):
-        place, bucket, first, last, running = anchors(data, offsets)
-        keep = known(bucket) > 1 if len(bucket) else np.zeros(0, bool)
-        place, bucket, first, last = place[keep], bucket[keep], first[keep], last[keep]
-        block = mix(span_hash(running, first, last + LENGTH) + (place - first).astype(np.uint64)) if len(place) else bucket
-        cut = np.searchsorted(place, offsets)
-        for k, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)):
-            at = offsets[k]
-            body = data[at : offsets[k + 1]].tobytes()
-            rows["n_bytes"].append(len(body))
-            rows["sha"].append(None if b > a else hashlib.sha256(body).hexdigest())
-            rows["text"].append(body if b > a else None)
-            for name, values in (("bucket", bucket.astype(np.int64)), ("block", block.astype(np.int64)), ("place", place - at), ("first", first - at), ("last", last - at)):
-                rows[name].append(values[a:b])
-    longs = pa.list_(pa.int64())
-    kinds = {"n_bytes": pa.int64(), "sha": pa.string(), "text": pa.binary(), "bucket": longs, "block": longs, "place": longs, "first": longs, "last": longs}
-    return pa.table({"doc_id": docs.column("doc_id"), **{k: pa.array(v, kinds[k]) for k, v in rows.items()}})
+    runs = ((batch.column("doc_id").slice(k, len(offsets) - 1), data, offsets) for batch in docs.to_batches() for k, data, offsets in utf8_parts(batch.column("text")))
+    return pa.Table.from_batches([_judged(*run, known) for run in runs], JUDGED)
 
 
 #: Pieces or strings that a task hands on at once.
@@ -115,10 +138,13 @@ def _listed(column: pa.Array, names: tuple[str, ...]):
 
 
 def _pieces_of(batch: pa.RecordBatch):
-    """Rows of texts with the fields of their open pieces as arrays."""
+    """The open pieces of each row by windows of its text: row, start and running hash of the window, fields as arrays."""
     fields = _listed(batch.column("open"), ("place", "first", "last", "alone"))
-    for row, text, open_ in zip(batch.column("row").to_pylist(), batch.column("text"), fields, strict=True):
-        yield row, prefix_hash(np.frombuffer(text.as_buffer(), np.uint8)), *open_
+    for row, text, (place, first, last, alone) in zip(batch.column("row").to_pylist(), batch.column("text"), fields, strict=True):
+        order = np.argsort(first, kind="stable")
+        place, first, last, alone = place[order], first[order], last[order], alone[order]
+        for some, low, running in _windows(np.frombuffer(text.as_buffer(), np.uint8), first):
+            yield row, low, running, place[some] - low, first[some] - low, last[some] - low, alone[some]
 
 
 def _in_parts(parts, names: list[str]):
@@ -142,16 +168,16 @@ def _runs(size: np.ndarray) -> np.ndarray:
 def _cells(batches):
     """The cells of each open block: what all strings of a cell share, and what they span."""
 
-    def of(row, running, place, first, last, alone):
-        low, high = (place - last) // CELL, (place - first) // CELL
-        size = high - low + 1
-        cell = np.repeat(low, size) + _runs(size)
+    def of(row, low, running, place, first, last, alone):
+        least, most = (place - last) // CELL, (place - first) // CELL
+        size = most - least + 1
+        cell = np.repeat(least, size) + _runs(size)
         place, first, last, alone = (np.repeat(x, size) for x in (place, first, last, alone))
         start = place - cell * CELL - CELL + 1  # of the first string of a whole cell
         shared = span_hash(running, start + CELL - 1, start + LENGTH) + mix(cell.astype(np.uint64))
         a, b = np.maximum(first, start), np.minimum(last, start + CELL - 1)
         span = mix(span_hash(running, a, b + LENGTH) + ((a - start) * CELL + (b - start)).astype(np.uint64))
-        return np.full(len(a), row), place, a, b, alone, mix(shared).astype(np.int64), span.astype(np.int64)
+        return np.full(len(a), row), place + low, a + low, b + low, alone, mix(shared).astype(np.int64), span.astype(np.int64)
 
     yield from _in_parts((of(*piece) for batch in batches for piece in _pieces_of(batch)), ["row", "place", "first", "last", "alone", "bucket", "block"])
 
@@ -160,10 +186,10 @@ def _strings(batches):
     """Each string of an open cell with its pair of identifiers."""
     q = LENGTH // 2
 
-    def of(row, running, _, first, last, alone):
+    def of(row, low, running, _, first, last, alone):
         size = last - first + 1
         start = np.repeat(first, size) + _runs(size)
-        return (np.full(len(start), row), start, np.repeat(alone, size),
+        return (np.full(len(start), row), start + low, np.repeat(alone, size),
                 span_hash(running, start, start + q).astype(np.int64), span_hash(running, start + q, start + LENGTH).astype(np.int64))
 
     yield from _in_parts((of(*piece) for batch in batches for piece in _pieces_of(batch)), ["row", "start", "alone", "b1", "b2"])
@@ -205,11 +231,15 @@ def _cut(batches):
         marked = _listed(batch.column("marked"), ("first", "last"))
         for key, n_bytes, text, (first, last) in zip(batch.column("doc_id").to_pylist(), batch.column("n_bytes").to_pylist(), batch.column("text"), marked, strict=True):
             data = np.frombuffer(text.as_buffer(), np.uint8)
-            step = np.bincount(first, minlength=len(data) + 1) - np.bincount(last, minlength=len(data) + 1)
-            gone = np.cumsum(step)[:-1] > 0
-            edge = np.diff(np.concatenate([[0], gone.astype(np.int8), [0]]))
+            order = np.argsort(first, kind="stable")
+            first, reach = first[order], np.maximum.accumulate(last[order])
+            new = np.flatnonzero(first > np.append(-1, reach[:-1]))
+            start, end = first[new], reach[np.append(new[1:], len(first))[: len(new)] - 1]
+            step = np.zeros(len(data) + 1, np.int8)
+            step[start], step[end] = 1, -1
+            gone = np.cumsum(step[:-1], dtype=np.int8).view(bool)
             left = data[~gone].tobytes()
-            spans = np.stack([np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)], 1).ravel()
+            spans = np.stack([start, end], 1).ravel()
             held.append((key, n_bytes, int(gone.sum()), len(spans) // 2, hashlib.sha256(left).hexdigest(), spans, left))
             size += len(left) + spans.nbytes
             if size > KEPT_BYTES:
@@ -225,8 +255,8 @@ CUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 stri
 def repeated(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(changed, whole): documents that may lose bytes, with ``spans`` (start, end, start, ...) and the ``kept`` bytes; and those that lose none."""
     total = text_bytes(docs)
-    rows, n_blocks = in_blocks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), total)
-    shared = shared_values(rows, max(n_blocks, -(-total // 100_000_000)), _buckets_of)
+    rows, _ = in_blocks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), total, BLOCK_BYTES)
+    shared = shared_values(rows, -(-total // COUNTED_BYTES) or 1, _buckets_of)
     judged = rows.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(
         _judge, "doc_id long, n_bytes long, sha string, text binary, bucket array<long>, block array<long>, place array<long>, first array<long>, last array<long>")
     judged = materialise(judged.withColumn("row", F.monotonically_increasing_id()), "anchors")

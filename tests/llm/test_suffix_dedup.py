@@ -2,6 +2,8 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
+
 from shelfline.llm import suffix_dedup
 from tests.llm import cases
 
@@ -43,3 +45,31 @@ def test_removal_equals_brute_force(spark, tmp_path):
 
 def test_no_rows(spark, tmp_path):
     assert suffix_dedup.op3_suffix_dedup(spark, cases.saved(spark, tmp_path, documents=cases.empty(spark))).count() == 0
+
+
+def test_texts_longer_than_a_window(spark, tmp_path):
+    rnd = random.Random(9)
+    make = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    passage, edge = make(700), suffix_dedup.WINDOW
+    # The passage stands across the border of two windows, after it, and in a short text; one stretch repeats one byte.
+    rows = [(1, make(edge - 350) + passage + make(9000) + passage + make(50)), (2, make(99) + passage[100:650] + make(99)),
+            (3, make(edge - 100) + "z" * 900 + make(40)), (4, make(edge) + passage[:199])]
+    rows = [(*r, *([None] * 10)) for r in rows]
+    got = suffix_dedup.op3_suffix_dedup(spark, cases.saved(spark, tmp_path, documents=spark.createDataFrame(rows, cases.SCHEMA))).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows)
+
+
+def test_anchors_do_not_depend_on_windows(monkeypatch):
+    rnd = random.Random(3)
+    texts = [bytes(rnd.choice(b"abc") for _ in range(n)) for n in (0, 5, 199, 200, 201, 640, 3000)] + [b"x" * 900, b"ab" * 400]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    offsets = np.cumsum([0, *map(len, texts)])
+    whole = suffix_dedup.anchors(data, offsets)
+    monkeypatch.setattr(suffix_dedup, "WINDOW", 57)
+    for a, b in zip(whole, suffix_dedup.anchors(data, offsets), strict=True):
+        assert a.tolist() == b.tolist()
+    # A text alone has the anchors that it has among others.
+    at = offsets[6]
+    alone = suffix_dedup.anchors(data[at:offsets[7]], np.array([0, 3000]))
+    inside = (whole[0] >= at) & (whole[0] < offsets[7])
+    assert alone[0].tolist() == (whole[0][inside] - at).tolist() and alone[1].tolist() == whole[1][inside].tolist()
