@@ -283,13 +283,10 @@ ORACLES["visit_photo"] = cte("visit_rows") + f"""select s || '-' || e0 as scene_
  'http://img.example/original/' || e0 as image_url_original, 'http://img.example/medium/' || e0 as image_url_medium,
  'http://img.example/small/' || e0 as image_url_small
 from visit_rows, (values ('1'), ('2')) as scenes(s), (values ('0'), ('1')) as shots(i)"""
-_LINES = "(select count(*) from lineitem join orders on l_orderkey = o_orderkey)"
-_KEPT = "(select count(*) from lineitem join orders on l_orderkey = o_orderkey where l_returnflag <> 'R')"
-ORACLES["visit_load"] = " union all ".join(
-    f"select '{fact}' as fact, {count} * {n} as row_count" for fact, count, n in (
-        ("poc", _LINES, 1), ("poc_score", _LINES, 1), ("msl_store", _LINES, 1), ("msl_product", _KEPT, 1),
-        ("sovi_category", _KEPT, 1), ("sovi_store", _KEPT, 2), ("unique", _LINES, 1), ("red", _LINES, 1),
-        ("photo", _LINES, 4)))
+_LOADED = ("poc", "poc_score", "msl_store", "msl_product", "sovi_category", "sovi_store", "unique", "red")
+ORACLES["visit_load"] = " union all by name ".join(
+    [f"select '{fact}' as fact, * replace (cast(date_trunc('month', visit_date) as date) as visit_date) from ({ORACLES['visit_' + fact]})" for fact in _LOADED]
+    + [f"select 'photo' as fact, *, cast(capture_time as date) as capture_date from ({ORACLES['visit_photo']})"])
 
 _STORE_NULL = ("store_display_name street address_line_2 postal_code latitude longitude manager_name manager_phone "
                "manager_email retailer_name state_code store_additional_attribute_1 account_name office_code "

@@ -66,20 +66,42 @@ def remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def lay_out(df: DataFrame, day: str | None, sort_keys: Sequence[str]) -> DataFrame:
+#: Bytes of a file where a load of sorted rows is cut into key ranges.
+FILE_BYTES = 256 << 20
+
+
+def stored_bytes(spark: SparkSession, folder: str) -> int:
+    """Bytes of the files below a folder, from the file system's own listing."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
+
+def lay_out(df: DataFrame, day: str | None, sort_keys: Sequence[str], size: int = 0) -> DataFrame:
     """Rows grouped by day and sorted inside each file.
 
     ``rebalance`` lets AQE cut a day with many rows into several files and merge
     small ones, where a plain ``repartition(day)`` would put a hot day in one task.
+
+    Sorted rows of a written table of more than ``FILE_BYTES`` (``size``) are dealt by
+    ranges of day and keys instead, so that the files of a split day hold key ranges that
+    meet at most at their ends, and a reader of one key opens few of them. The place of a
+    row in the written table is the last range column: a key of many rows spans several files,
+    and a repeated task deals its rows as before.
     """
-    if day is None:
-        return df.sortWithinPartitions(*sort_keys) if sort_keys else df
-    return df.hint("rebalance", F.col(day)).sortWithinPartitions(day, *sort_keys)
+    by = [day, *sort_keys] if day is not None else [*sort_keys]
+    if sort_keys and size > FILE_BYTES:
+        at = "_".join(["place", *df.columns])  # a free name
+        ranged = df.withColumn(at, F.monotonically_increasing_id()).repartitionByRange(-(-size // FILE_BYTES), *by, at)
+        return ranged.drop(at).sortWithinPartitions(*by)
+    if day is not None:
+        df = df.hint("rebalance", F.col(day))
+    return df.sortWithinPartitions(*by) if by else df
 
 
 def _write(df: DataFrame, target: str, mode: str, day: str | None, sort_keys: Sequence[str],
-           dynamic: bool = False) -> None:
-    writer = lay_out(df, day, sort_keys).write.mode(mode)
+           dynamic: bool = False, staging: str | None = None) -> None:
+    size = stored_bytes(df.sparkSession, staging) if staging and sort_keys else 0
+    writer = lay_out(df, day, sort_keys, size).write.mode(mode)
     if day is not None:
         writer = writer.partitionBy(day)
     if dynamic:
@@ -96,7 +118,7 @@ def full_refresh(df: DataFrame, target: str, *, day: str | None = None, sort_key
     last write leaves the staged rows, from which the load can be repeated.
     """
     staged, rows, staging = _stage(df, target, transform=transform, schema=schema, max_rows=max_rows)
-    _write(staged, target, "overwrite", day, sort_keys)
+    _write(staged, target, "overwrite", day, sort_keys, staging=staging)
     remove(df.sparkSession, staging)
     return LoadResult(target, rows, True)
 
@@ -106,7 +128,7 @@ def append(df: DataFrame, target: str, *, day: str | None = None, sort_keys: Seq
            max_rows: int | None = None) -> LoadResult:
     """Add rows; a rerun adds them again."""
     staged, rows, staging = _stage(df, target, transform=transform, schema=schema, max_rows=max_rows)
-    _write(staged, target, "append", day, sort_keys)
+    _write(staged, target, "append", day, sort_keys, staging=staging)
     remove(df.sparkSession, staging)
     return LoadResult(target, rows, False)
 
@@ -123,7 +145,7 @@ def reload_range(df: DataFrame, target: str, day: str, window: Window, *, sort_k
     outside = ~F.col(day).between(F.lit(window.first), F.lit(window.last)) | F.col(day).isNull()
     staged, rows, staging = _stage(df, target, transform=transform, schema=schema, max_rows=max_rows, outside=outside)
     filled = {r[0] for r in staged.select(day).distinct().collect()}
-    _write(staged, target, "overwrite", day, sort_keys, dynamic=True)
+    _write(staged, target, "overwrite", day, sort_keys, dynamic=True, staging=staging)
     nothing = staged.drop(day).limit(0)
     for stale in sorted(_stored_days(staged.sparkSession, target, day, window) - filled):
         nothing.write.mode("overwrite").parquet(f"{target.rstrip('/')}/{day}={stale.isoformat()}")
@@ -166,7 +188,7 @@ def load_accepted(judged: DataFrame, target: str, rejects: str, run: str, *, rea
         require_rows(rows - bad)
         staged = spark.read.schema(parts.schema).parquet(staging)
         good = staged.where("_accepted").select(*[c for c in judged.columns if c not in (reason, *aside)])
-        _write(good, target, "overwrite", day, sort_keys)
+        _write(good, target, "overwrite", day, sort_keys, staging=staging)
         if bad:
             (staged.where("not _accepted").drop("_accepted").withColumn("run", F.lit(run)).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(rejects))

@@ -175,3 +175,30 @@ def test_broken_lines_go_to_the_reject_table(spark, tmp_path, folder):
             ("b,x,2021-01-01", "line", "one"), ("c,3", "line", "one"), ("d,4,2021-01-02,more", "line", "one")]
     with pytest.raises(guards.GuardError):
         loads.load_accepted(judged.where("reason is not null"), folder("t"), folder("r"), "two", max_rejects=9)
+
+
+def test_files_of_a_split_day_hold_key_ranges(spark, folder, monkeypatch):
+    path = folder("t")
+    rows = spark.range(40_000).select(
+        F.when(F.col("id") % 10 == 0, F.lit(D2)).otherwise(F.lit(D1)).alias("calday"),
+        F.when(F.col("id") % 3 == 0, 500).otherwise(F.col("id") * 7919 % 1000).cast("int").alias("v"), F.sha2(F.col("id").cast("string"), 256).alias("body"))
+    monkeypatch.setattr(loads, "FILE_BYTES", 200_000)
+    for _ in range(2):
+        result = loads.full_refresh(rows, path, day="calday", sort_keys=("v",))
+    stored = spark.read.parquet(path)
+    assert result.row_count == 40_000
+    assert stored.exceptAll(rows.select(stored.columns)).isEmpty() and stored.count() == 40_000
+    files = sorted((r.low, r.high) for r in stored.where(F.col("calday") == D1).groupBy(F.input_file_name().alias("f")).agg(
+        F.min("v").alias("low"), F.max("v").alias("high")).collect())
+    assert len(files) > 6
+    assert all(a[1] <= b[0] for a, b in zip(files, files[1:], strict=False))
+    # One key opens a fraction of the day's files; a key of a third of all rows spans several, none of which holds them all.
+    assert sum(low <= 123 <= high for low, high in files) <= 2
+    assert 1 < sum(low <= 500 <= high for low, high in files) < len(files)
+
+
+def test_a_load_reads_its_size_below_which_days_are_not_cut(spark, folder):
+    path = folder("t")
+    loads.full_refresh(frame(spark, (D1, 2), (D1, 1), (D2, 3), (None, 4)), path, day="calday", sort_keys=("v",))
+    assert table(spark, path) == Counter([(D1, 2), (D1, 1), (D2, 3), (None, 4)])
+    assert loads.stored_bytes(spark, path) > 0
