@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_point
 from shelfline import schemas
 from shelfline.catalog.standins import table
+from shelfline.operators import rows
 from shelfline.plans import sales
 from shelfline.session import build_session, shared_folder
 from shelfline.sinks.loads import lay_out
@@ -64,9 +65,14 @@ def test_report_days_prune_partitions(spark, folder):
     assert re.search(r"PartitionFilters: \[[^]]*calday#\d+ >= \d", text)
 
 
-def test_sample_has_no_sorted_limit(spark):
-    text = plan(readers.sample(table(spark, SF_DIR, "detail").select("calday", "zjcustbrg"), 100, ["calday", "zjcustbrg"]))
-    assert "TakeOrdered" not in text and "RoundRobin" not in text
+def test_a_sample_sorts_only_rows_below_its_bound(spark, monkeypatch):
+    stored = table(spark, SF_DIR, "detail").select("calday", "zjcustbrg")
+    monkeypatch.setattr(rows, "ONE_TASK", 0)  # tables of fewer rows are sorted in one task
+    picked = readers.sample(stored, 100, ["calday", "zjcustbrg"])
+    text = plan(picked)
+    assert "RoundRobin" not in text and text.count("TakeOrdered") <= 1
+    assert re.search(r"Filter .*< \d{4}-\d\d-\d\d.*<= \[\d+,", text)
+    assert sorted(map(tuple, picked.collect())) == sorted(map(tuple, stored.orderBy("calday", "zjcustbrg").limit(100).collect()))
 
 
 def test_readers_refuse_commands(spark, folder):
