@@ -18,6 +18,7 @@ key, take no part. Missing components of shorter vectors count as 0. Rows with t
 query's own key are not its candidates. Rows are ranked, not keys: a candidate key
 that occurs on several rows takes a rank for each, and the candidates of a query key
 that occurs on several rows count once for each of these and are ranked together.
+Vectors so long that a score might not fit a long are refused with an error.
 """
 
 from __future__ import annotations
@@ -44,8 +45,9 @@ def _integers(scale: int):
             for key, vector in zip(batch.column("vec_id").to_pylist(), batch.column("embedding").to_pylist(), strict=True):
                 if key is None or vector is None or None in vector:
                     continue
-                x = np.floor(scale * np.array(vector, np.float64))
-                if np.isfinite(x).all():
+                vector = np.array(vector, np.float64)
+                if np.isfinite(vector).all():
+                    x = np.floor(scale * vector)
                     keys.append(key)
                     blobs.append(x.tobytes())
                     norms.append(float(x @ x))
@@ -141,6 +143,8 @@ def top_products(vectors: DataFrame, scale: int = SCALE, k: int = TOP, every: in
     queries = materialise(queries, "queries")
     if not (n_queries := queries.count()):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    if facts["top"] >= 2.0**62:
+        raise ValueError(f"a vector of squared length {facts['top']:g} after scaling: scores would not fit a long")
     width, top, exact = facts["bytes"] // 8, facts["top"], facts["top"] < 2.0**52
     share = min(1.0, sample / facts["n"])
     drawn = ready.where(F.pmod(F.xxhash64("vec_id", F.lit("pivot")), F.lit(1 << 20)) <= int(share * (1 << 20))).limit(2 * sample).collect()

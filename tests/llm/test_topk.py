@@ -46,3 +46,10 @@ def test_repeated_rows_rank_as_the_check_sql_says(spark, tmp_path, copies):
     for block in (2, 8192):
         got = top_products(vectors, sample=64, pivots=8, block=block)
         assert sorted(tuple(r) for r in got.collect()) == want
+
+
+@pytest.mark.parametrize("value", [1e9, 1e200, 1e308])
+def test_scores_beyond_a_long_are_refused(spark, value):
+    rows = [(k, [1.0, float(k)]) for k in range(40)] + [(41, [value, 0.0])]
+    with pytest.raises(ValueError, match="would not fit a long"):
+        top_products(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), sample=64, pivots=8)
