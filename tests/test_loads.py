@@ -202,3 +202,15 @@ def test_a_load_reads_its_size_below_which_days_are_not_cut(spark, folder):
     loads.full_refresh(frame(spark, (D1, 2), (D1, 1), (D2, 3), (None, 4)), path, day="calday", sort_keys=("v",))
     assert table(spark, path) == Counter([(D1, 2), (D1, 1), (D2, 3), (None, 4)])
     assert loads.stored_bytes(spark, path) > 0
+
+
+def test_json_batches_are_compressed_and_leave_no_work_table(spark, folder):
+    from shelfline import session
+
+    made = list(session._MADE)
+    df = spark.range(3000).withColumn("v", F.lit("x")).repartition(3)
+    export.write_json_batches(df, folder("z"), "sales", ["id"], batch=10, per_dir=100)
+    files = spark.read.json(folder("z")).inputFiles()
+    assert len(files) == 3 and all(f.endswith(".json.gz") for f in files)  # one file for each directory
+    assert session._MADE == made
+    assert spark.read.json(folder("z")).selectExpr("explode(sales.id)").distinct().count() == 3000
