@@ -94,3 +94,14 @@ def test_staging_counts_while_it_writes(spark, folder, monkeypatch):
     with pytest.raises(Exception, match="lost"):
         loads.full_refresh(bad, folder("t"))
     assert os.listdir(folder("t__staging")) == [] and spark.read.parquet(folder("t")).count() == 7
+
+
+def test_sales_table_keeps_one_version_in_small_files(spark):
+    import os
+
+    from shelfline.catalog.queries import QUERIES
+
+    files = QUERIES["sales_table_refresh"](spark, "/root/testdata/sf0.001").inputFiles()
+    base = os.path.dirname(os.path.dirname(files[0].removeprefix("file://")))
+    assert all(".zstd." in f for f in files)
+    assert [d for d in os.listdir(base) if d.startswith("v-")] == [os.path.basename(os.path.dirname(files[0]))]
