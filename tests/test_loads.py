@@ -214,3 +214,19 @@ def test_json_batches_are_compressed_and_leave_no_work_table(spark, folder):
     assert len(files) == 3 and all(f.endswith(".json.gz") for f in files)  # one file for each directory
     assert session._MADE == made
     assert spark.read.json(folder("z")).selectExpr("explode(sales.id)").distinct().count() == 3000
+
+
+def test_kinds_are_written_side_by_side(spark, folder, monkeypatch):
+    """The staged write keeps a file open for each kind, so that rows are not sorted by kind; the setting goes back."""
+    seen, name = [], "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    rows = spark.createDataFrame([("a", D1, 1), ("b", D1, 2), ("a", D2, 3)], "kind string, calday date, v int")
+    watched = rows.withColumn("kind", F.col("kind"))
+    keep = loads.open_writers
+    monkeypatch.setattr(loads, "open_writers", lambda s: seen.append(s) or keep(s))
+    loads.many_targets(watched, "kind", folder("staging"), builders={"a": lambda d: d, "b": lambda d: d}, reads={"a": "a", "b": "b"},
+                       paths={"a": folder("ta"), "b": folder("tb")}, days={"a": "calday", "b": "calday"})
+    assert len(seen) == 1 and spark.conf.get(name) == before
+    assert table(spark, folder("ta")) == Counter([(D1, 1), (D2, 3)])
+    with keep(spark):
+        assert int(spark.conf.get(name)) >= 9
