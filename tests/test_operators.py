@@ -171,3 +171,18 @@ def test_null_key_master_is_no_partner(spark):
     a = spark.createDataFrame([("1", "n1")], "personIdExternal string, nationality string")
     b = spark.createDataFrame([], "personIdExternal string, emailAddress string")
     assert bag(joins.full_outer(a, b, "personIdExternal")) == Counter([("1", "n1", None)])
+
+
+def test_distinct_rows_are_dealt_before_they_are_kept(spark):
+    df = spark.range(2000).selectExpr("cast(if(id % 2 = 0, 7, id) as string) as a", "if(id % 3 = 0, null, 'x') as b")
+    got = rows.distinct_rows(df)
+    assert bag(got) == bag(df.distinct())
+    text = rows.distinct_rows(df)._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in text and text.rindex("HashAggregate") < text.index("REBALANCE")  # nothing is kept before
+
+
+def test_spread_follows_the_stored_size(spark, folder):
+    spark.range(50_000).selectExpr("id as k", "sha2(cast(id as string), 256) as v").write.parquet(folder("s"))
+    stored = spark.read.parquet(folder("s"))
+    assert rows.spread(stored, "k", piece=200_000).rdd.getNumPartitions() > 10
+    assert rows.spread(stored, "k").count() == 50_000
