@@ -135,3 +135,8 @@ def test_a_hot_key_is_split_where_the_master_is_too_large(spark, folder, monkeyp
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_rollup_deals_rows_before_it_sums_them(spark):
+    text = plan(sales.sales_rollup(table(spark, SF_DIR, "detail")))
+    assert text.index("REPARTITION_BY_COL") > text.rindex("HashAggregate") if "REPARTITION_BY_COL" in text else text.index("REPARTITION_BY_NUM") > text.rindex("HashAggregate")
