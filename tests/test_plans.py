@@ -137,6 +137,33 @@ def test_a_hot_key_is_split_where_the_master_is_too_large(spark, folder, monkeyp
             spark.conf.set(k, v)
 
 
+def test_facts_are_not_sorted_for_large_masters(spark, monkeypatch):
+    from shelfline.operators import joins
+
+    monkeypatch.setattr(joins.fit, "__kwdefaults__", {"limit": 0})
+    monkeypatch.setattr(joins.measured, "__kwdefaults__", {"limit": 0})
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("sales_branch_fv", "sales_filtered_union", "alcohol_sales_detail", "daily_sales", "sales_detail_rows"):
+            df = table(spark, SF_DIR, "detail") if name == "sales_detail_rows" else entry_point.queries()[name](spark, SF_DIR)
+            fact = [line for line in plan(df).splitlines() if re.search(r"(SortMerge|ShuffledHash)Join.*(l_orderkey|zjcustbrg|zjmatrial)", line)]
+            assert fact and all("ShuffledHashJoin" in line for line in fact), name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_masters_of_branches_bring_only_their_key_and_one_number(spark, monkeypatch):
+    from shelfline.sources import report
+
+    seen = []
+    keep = report.measured
+    monkeypatch.setattr(report, "measured", lambda *sides: seen.append([s.columns for s in sides]) or keep(*sides))
+    star = [table(spark, SF_DIR, n) for n in ("detail", "customers", "materials")]
+    sales.sales_union(*star)
+    assert seen == [[["zjcust", "_customer_fits"], ["zjmate", "_material_fits"]]]
+
+
 def test_rollup_deals_rows_before_it_sums_them(spark):
     text = plan(sales.sales_rollup(table(spark, SF_DIR, "detail")))
     assert text.index("REPARTITION_BY_COL") > text.rindex("HashAggregate") if "REPARTITION_BY_COL" in text else text.index("REPARTITION_BY_NUM") > text.rindex("HashAggregate")
