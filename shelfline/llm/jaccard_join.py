@@ -35,6 +35,9 @@ from shelfline.llm.common import SIMILARITY, components, in_blocks, materialise,
 
 #: Distinct shingles of all blocks that one bucket should get.
 BUCKET_SHINGLES = 3_000_000
+#: Bytes of texts and sets that a task hands to Python at once.
+HANDED = 4 << 20
+
 
 def _judge_block(similarity: int):
     def run(docs: pa.Table, shared: pa.Table) -> pa.Table:
@@ -73,10 +76,10 @@ def _prefixes(similarity: int):
         for batch in batches:
             sizes = batch.column("n").to_numpy()
             keys, prefixes = [], []
-            for n, blob, counts in zip(sizes.tolist(), batch.column("shingles").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                values = np.frombuffer(blob, np.uint64)
+            for n, blob, counts in zip(sizes.tolist(), batch.column("shingles"), batch.column("counts"), strict=True):
+                values = np.frombuffer(blob.as_buffer(), np.uint64)
                 length = n - -(-similarity * n // 100) + 1
-                prefix = values[np.lexsort((values, np.frombuffer(counts, np.uint8)))[:length]]
+                prefix = values[np.lexsort((values, np.frombuffer(counts.as_buffer(), np.uint8)))[:length]]
                 factors = mix(np.arange(1, length + 1, dtype=np.uint64))
                 keys.append(int(mix(np.array([np.sum(mix(prefix) * factors)], np.uint64)).astype(np.int64)[0]))
                 prefixes.append(prefix.astype(np.int64))
@@ -91,8 +94,8 @@ def _verify(similarity: int):
     def run(batches):
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
+                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 both = len(np.intersect1d(p, q, assume_unique=True))
                 keep.append(100 * both >= similarity * (len(p) + len(q) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -116,7 +119,7 @@ def _may_link(a: str, b: str, similarity: int):
 
 def jaccard_components(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` of every row of ``docs`` (``doc_id``, ``text``; others are ignored)."""
-    judged = materialise(shingle_sets(docs, similarity), "sets")
+    judged = materialise(shingle_sets(docs, similarity), "sets", HANDED)
     maybe = judged.where("shingles is not null")
     classes = maybe.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("least"), F.max("n_shared").alias("n_shared"))
     classes = materialise(classes.withColumn("class", F.xxhash64("f1", "f2", "n")), "classes")
@@ -124,7 +127,7 @@ def jaccard_components(docs: DataFrame, similarity: int = SIMILARITY) -> DataFra
     sets = materialise(sets.select(F.xxhash64("f1", "f2", "n").alias("class"), "n", "n_shared", "shingles", "counts"), "class-sets")
 
     prefixes = sets.mapInArrow(_prefixes(similarity), "class long, n long, n_shared long, prefix_key long, prefix array<long>")
-    prefixes = materialise(prefixes.withColumn("grp", F.xxhash64("prefix_key", "n")), "prefixes")
+    prefixes = materialise(prefixes.withColumn("grp", F.xxhash64("prefix_key", "n")), "prefixes", HANDED)
     members = prefixes.select("grp", "class", F.col("n_shared").alias("m_shared"))
     groups = prefixes.groupBy("grp").agg(F.first("n").alias("n"), F.max(F.struct("n_shared", "class"))["class"].alias("head"), F.max("n_shared").alias("n_shared"), F.first("prefix").alias("prefix"))
     met = materialise(groups.select("grp", "head", "n", "n_shared", F.posexplode("prefix").alias("pos", "shingle")), "met")
@@ -138,7 +141,7 @@ def jaccard_components(docs: DataFrame, similarity: int = SIMILARITY) -> DataFra
     to_hub = best.join(members, "grp").select(F.col("hub").alias("a"), F.col("class").alias("b"))
     to_head = members.join(groups.select("grp", "head"), "grp").where("class <> head").select(F.col("head").alias("a"), F.col("class").alias("b"))
     starts = materialise(to_hub.union(to_head), "stars")
-    first = materialise(_links(starts, sets, similarity), "links")
+    first = materialise(_links(starts, sets, similarity), "links", HANDED)
     labels = components(first)
 
     # Then only what still lies in different components meets in full.
@@ -149,7 +152,7 @@ def jaccard_components(docs: DataFrame, similarity: int = SIMILARITY) -> DataFra
     rest = tagged.join(open_, "shingle")
     pairs = rest.alias("l").join(rest.alias("r"), (F.col("l.shingle") == F.col("r.shingle")) & (F.col("l.part") < F.col("r.part")) & _may_link("l", "r", similarity))
     pairs = pairs.select(F.col("l.class").alias("a"), F.col("r.class").alias("b")).distinct().join(starts, ["a", "b"], "left_anti")
-    second = _links(pairs, sets, similarity)
+    second = materialise(_links(pairs, sets, similarity), "links", HANDED)
     final = components(first.union(second))
 
     named = classes.join(final, F.col("class") == F.col("node"), "left").withColumn("part", F.coalesce("label", "class"))
