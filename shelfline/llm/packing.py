@@ -143,6 +143,7 @@ def _pieces(path: str, sequence: int, end_id: int):
                 columns = zip(*rows, strict=True)
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "start", "length", "doc_tokens", "part", "rank", "ids"])
+        word_ids.cache_clear()  # the worker may go on to other steps, which need the memory
 
     return run
 

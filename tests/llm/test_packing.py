@@ -1,8 +1,10 @@
 import random
 import zlib
 from collections import defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from shelfline.llm import packing
@@ -69,3 +71,11 @@ def test_histogram_keeps_every_length_with_little_padding():
 
 def test_no_rows(spark):
     assert packing.pack(cases.empty(spark)).count() == 0
+
+
+def test_words_go_with_their_task(monkeypatch):
+    """A worker outlives its task and serves other steps."""
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([1], pa.int64()), "text": pa.array(["some words"])})
+    assert sum(out.num_rows for out in packing._pieces(packing.tokenizer_path(), 4096, 2)([batch])) == 1
+    assert packing.word_ids.cache_info().currsize == 0
