@@ -1,6 +1,7 @@
 """Star-join rules on hand-made tables, against the plain form of the same query."""
 
 import datetime as dt
+import re
 from collections import Counter
 from decimal import Decimal
 
@@ -65,6 +66,27 @@ def test_pulse_equals_the_plain_query(star, limit, monkeypatch):
         [("b1", Decimal(9)), ("b2", Decimal(6)), ("b3", Decimal(6))])
 
 
+def test_pulse_moves_the_fact_once_for_each_large_master(spark, star, monkeypatch):
+    detail, customers, materials = star
+    # A day and key of two rows, and variants of one key in the customer master.
+    detail = detail.union(detail.where("zjcustbrg = 'gone' or zjmatrial = 'gone'").withColumn("calday", F.lit(None).cast("date"))).union(detail)
+    customers = customers.union(customers.where("zjcust = 'c1'").withColumn("zero_region___t", F.lit("north")))
+    expected = bag(plain_pulse(detail, customers, materials))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for small, moves in (([False, False], 2), ([False, True], 1), ([True, False], 2)):
+            monkeypatch.setattr(sales, "fit", lambda *sides, small=small: small)
+            got = sales.business_pulse(detail, customers, materials)
+            assert bag(got) == expected
+            final = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+            # Rows with unknown keys come from the same shuffles as the others.
+            own = [line for line in final.splitlines() if "ReusedExchange" not in line]
+            assert sum(bool(re.search(r"Exchange hashpartitioning\((zjcustbrg|zjmatrial)#", line)) for line in own) == moves
+            assert sum("Exchange hashpartitioning(calday#" in line for line in own) == 1  # of rows with an unknown key
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_pulse_limit_orders_nulls_last(star):
     regions = [r.region for r in sales.business_pulse(*star, limit=50).collect()]
     assert regions == sorted([r for r in regions if r]) + [None] * regions.count(None)
