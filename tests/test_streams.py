@@ -102,3 +102,25 @@ def test_a_repeated_batch_adds_nothing_and_old_rows_are_not_read(spark, folder):
     assert add(3) == {(d1, 113), (d2, 5), (None, 5)}
     left = spark.read.parquet(folder("sums")).select("calday", "batch").distinct().collect()
     assert {tuple(r) for r in left} == {(d1, 1), (d1, 2), (d2, 1), (None, 0), (None, 2)}  # one step back for a repeat
+
+
+def test_a_hot_day_spreads_over_tasks_and_equal_keys_meet(spark, folder, monkeypatch):
+    monkeypatch.setattr(pulse, "TASK_ROWS", 4, raising=False)
+    kinds = "calday date, zjcustbrg string, zjmatrial string, " + ", ".join(f"{m} decimal(18,6)" for m in sales.PULSE_SUMS)
+    customers = spark.createDataFrame([tuple(f"k{i}" if n == "zjcust" else "x" for n in schemas.CUSTOMER_MASTER.names) for i in range(20)], schemas.CUSTOMER_MASTER)
+    materials = spark.createDataFrame([tuple("m" if n == "zjmate" else "x" for n in schemas.MATERIAL_MASTER.names)], schemas.MATERIAL_MASTER)
+    day = dt.date(2021, 1, 1)
+    # Customers k20 to k23 are unknown: their sums meet in one row.
+    rows = [(d, f"k{i}", "m", *[Decimal(i)] * 8) for i in range(24) for d in (None, None, day)]
+    for number in (0, 1):
+        pulse.add_batch(spark.createDataFrame(rows, kinds).repartition(5), number, customers, materials, folder("pulse"), folder("sums"))
+        kept = spark.read.parquet(folder("sums")).where(F.col("batch") == number)
+        assert Counter(map(tuple, kept.select("calday", "zjcustbrg", "cm_cy_bapc").collect())) == Counter(
+            [(None, f"k{i}", 2 * i * (number + 1)) for i in range(24)] + [(day, f"k{i}", i * (number + 1)) for i in range(24)])
+        got = spark.read.parquet(folder("pulse"))
+        assert Counter(map(tuple, got.select("calday", "customer_id", "bapc_cy").collect())) == Counter(
+            [(None, f"k{i}", 2 * i * (number + 1)) for i in range(20)] + [(day, f"k{i}", i * (number + 1)) for i in range(20)]
+            + [(None, None, 172 * (number + 1)), (day, None, 86 * (number + 1))])
+    for table in (got, kept):  # no task got a hot day whole
+        files = table.groupBy("calday", F.input_file_name().alias("file")).count().collect()
+        assert all(r[2] <= 16 for r in files) and all(n > 1 for n in Counter(r.calday for r in files).values())
