@@ -155,3 +155,18 @@ def test_sales_documents(spark, tmp_path):
     assert len(rows.columns) == 81
     assert sorted((r.calyear, r.cm_cy_nsr) for r in rows.select("calyear", "cm_cy_nsr").collect()) == [
         ("2020", Decimal(7)), ("2021", None)]
+
+
+def test_a_text_is_computed_before_it_is_parsed(spark):
+    rows = spark.range(4).selectExpr("if(id = 3, null, to_json(struct(id as store_number, 'v' as session_uid))) as doc", "id")
+    got = landed.parse_json(rows, "doc", schemas.VISIT)
+    assert got.columns == ["id", *schemas.VISIT.names]
+    assert sorted((r.id, r.store_number, r.session_uid) for r in got.collect()) == [
+        (0, "0", "v"), (1, "1", "v"), (2, "2", "v"), (3, None, None)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    parsed, = [line for line in plan if "from_json" in line]
+    assert "StructsToJson" not in parsed and "to_json" not in parsed  # the parser reads a column
+    assert any("StructsToJson" in line or "to_json" in line for line in plan)
+    broken = spark.createDataFrame([('{"details": {"images": [{"scene_id": "1", "scene_images": 5}]}}',)], "doc string")
+    with pytest.raises(Exception, match="FAILFAST|MALFORMED"):  # also in a field that no fact reads
+        V.visit_fact(landed.parse_json(broken, "doc", schemas.VISIT), "sovi_category").collect()
