@@ -105,3 +105,22 @@ def test_sales_table_keeps_one_version_in_small_files(spark):
     base = os.path.dirname(os.path.dirname(files[0].removeprefix("file://")))
     assert all(".zstd." in f for f in files)
     assert [d for d in os.listdir(base) if d.startswith("v-")] == [os.path.basename(os.path.dirname(files[0]))]
+
+
+def test_tables_are_written_without_a_dictionary(spark):
+    import duckdb
+
+    from shelfline.catalog.queries import QUERIES
+
+    files = [f.removeprefix("file://") for f in QUERIES["sales_table_refresh"](spark, "/root/testdata/sf0.001").inputFiles()]
+    found = duckdb.sql(f"select distinct encodings from parquet_metadata({files!r})").fetchall()
+    assert found and not any("DICTIONARY" in r[0] for r in found)
+
+
+def test_a_task_joins_a_bounded_part_of_the_lines(spark, monkeypatch):
+    from shelfline.catalog import standins
+
+    monkeypatch.setattr(standins, "LINE_BYTES", 10_000)
+    df = standins.table(spark, "/root/testdata/sf0.001", "sales_extract")
+    counts = [n for _, n in df.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(counts) > spark.sparkContext.defaultParallelism and max(counts) < 1500 and sum(counts) == 6000
