@@ -170,3 +170,12 @@ def test_a_text_is_computed_before_it_is_parsed(spark):
     broken = spark.createDataFrame([('{"details": {"images": [{"scene_id": "1", "scene_images": 5}]}}',)], "doc string")
     with pytest.raises(Exception, match="FAILFAST|MALFORMED"):  # also in a field that no fact reads
         V.visit_fact(landed.parse_json(broken, "doc", schemas.VISIT), "sovi_category").collect()
+
+
+def test_a_visit_header_is_computed_once_for_all_its_parts(spark):
+    from shelfline.catalog import standins
+
+    visits = standins.visits(spark, "/root/testdata/sf0.001")
+    for df in (V.visit_parts(visits), V.visit_fact(visits, "poc")):
+        above, below = df._jdf.queryExecution().optimizedPlan().toString().split("Generate explode", 1)
+        assert "convert_timezone" in below and "convert_timezone" not in above
